@@ -20,7 +20,7 @@ from starloom.operators.lookup import broadcast_if_small, find_hot_keys
 from starloom.operators.merge import is_empty, merge_fact, merge_metrics
 from starloom.plans import dimensions, facts
 from starloom.schemas import DIMENSIONS, FACT_DATES, FACT_KEYS, FACT_REQUIRED
-from starloom.sources.store import Load, WarehouseStore
+from starloom.sources.store import Load, Origin, WarehouseStore
 
 METRICS_SCHEMA = (
     "table_name STRING, inserted LONG, matched LONG, changed LONG, deleted LONG, kept LONG, discarded LONG, source_rows LONG"
@@ -162,8 +162,7 @@ def run_load(
     workers: int = 4,
     with_metrics: bool = True,
     balance_hot_keys: bool = True,
-    batch_id: int | None = None,
-    fingerprint: str | None = None,
+    origin: Origin | None = None,
 ) -> LoadReport:
     """Load every dimension and fact from ``src`` on top of the published version, then publish."""
     spark = store.spark
@@ -171,16 +170,18 @@ def run_load(
     before = store.tables()
     metrics: dict[str, dict[str, int]] = {}
     try:
+        if src.get("metas") is not None:
+            src = {**src, "metas": load.write("stg_metas", src["metas"])}
         hot = measure_hot_keys(src) if balance_hot_keys else {}
         dims = load_dimensions(spark, src, load, before, first_day, last_day, metrics, workers)
         load_facts(src, dims, load, before, hot, metrics, workers, with_metrics)
     except Exception as error:
         raise LoadAborted(f"load aborted, nothing published: {error}") from error
-    return LoadReport(load.publish(batch_id, fingerprint), metrics)
+    return LoadReport(load.publish(origin), metrics)
 
 
 def refresh_goals(
-    store: WarehouseStore, staged: DataFrame, batch_id: int | None = None, fingerprint: str | None = None
+    store: WarehouseStore, staged: DataFrame, origin: Origin | None = None
 ) -> LoadReport:
     """Load only the goals: staging and goal fact are published together."""
     load = store.open_load()
@@ -199,7 +200,7 @@ def refresh_goals(
         metrics["fact_metas"] = _fact_metrics(previous, written, "fact_metas", None, None)
     except Exception as error:
         raise LoadAborted(f"goals not loaded, nothing published: {error}") from error
-    return LoadReport(load.publish(batch_id, fingerprint), metrics)
+    return LoadReport(load.publish(origin), metrics)
 
 
 def reset_scope(wh: Mapping[str, DataFrame], clients: DataFrame, contracts: DataFrame, claims: DataFrame) -> dict[str, DataFrame]:

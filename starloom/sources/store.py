@@ -8,30 +8,38 @@ previous version live.  One writer at a time is assumed, as with a single schedu
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator, Mapping
+from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LOG = (
-    "version LONG, table_name STRING, path STRING, status STRING, batch_id LONG, fingerprint STRING,"
-    " note STRING, recorded_at TIMESTAMP"
+    "version LONG, table_name STRING, path STRING, status STRING, stream STRING,"
+    " batch_id LONG, fingerprint STRING, note STRING, recorded_at TIMESTAMP"
 )
 
 
+@dataclass(frozen=True)
+class Origin:
+    """The streaming batch a version comes from; stored in the same commit, so a replayed batch is recognised."""
+
+    stream: str
+    batch_id: int
+    fingerprint: str
+
+
 class WarehouseStore:
     """Versioned tables below ``root``."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        spark.createDataFrame([], _LOG).write.mode("ignore").parquet(f"{self.root}/log")
 
     def log(self) -> DataFrame:
         """All commits; empty before the first."""
-        try:
-            return self.spark.read.schema(_LOG).parquet(f"{self.root}/log")
-        except AnalysisException:
-            return self.spark.createDataFrame([], _LOG)
+        return self.spark.read.schema(_LOG).parquet(f"{self.root}/log")
 
     def version(self) -> int:
         """Newest published version, 0 before the first."""
@@ -43,15 +51,19 @@ class WarehouseStore:
         rows = self.log().where((F.col("status") == "published") & (F.col("version") == version))
         return {r["table_name"]: r["path"] for r in rows.select("table_name", "path").collect()}
 
-    def tables(self, version: int | None = None) -> dict[str, DataFrame]:
-        """Published tables as DataFrames."""
-        return {name: self.spark.read.parquet(path) for name, path in self.paths(version).items()}
+    def tables(self, version: int | None = None) -> "PublishedTables":
+        """Published tables by name."""
+        return PublishedTables(self.spark, self.paths(version))
 
-    def last_batch(self) -> tuple[int, str | None]:
-        """Number and fingerprint of the newest streaming batch on record; (-1, None) before the first."""
-        rows = self.log().where("batch_id IS NOT NULL")
-        top = rows.agg(F.max(F.struct("batch_id", "fingerprint")).alias("m")).first()["m"]
-        return (top["batch_id"], top["fingerprint"]) if top else (-1, None)
+    def last_batch(self, stream: str) -> int:
+        """Number of the newest batch of a stream on record, -1 before the first."""
+        rows = self.log().where(F.col("stream") == stream)
+        return rows.agg(F.coalesce(F.max("batch_id"), F.lit(-1))).first()[0]
+
+    def last_fingerprint(self) -> str | None:
+        """Fingerprint of the snapshot handled last, whether it was loaded or refused."""
+        rows = self.log().where("fingerprint IS NOT NULL")
+        return rows.agg(F.max_by("fingerprint", F.struct("recorded_at", "batch_id"))).first()[0]
 
     def open_load(self) -> "Load":
         return Load(self)
@@ -61,9 +73,28 @@ class WarehouseStore:
         entries = self.spark.createDataFrame(rows, _LOG.replace(", recorded_at TIMESTAMP", ""))
         entries.withColumn("recorded_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{self.root}/log")
 
-    def reject(self, batch_id: int, fingerprint: str, note: str) -> None:
+    def reject(self, stream: str, batch_id: int, fingerprint: str, note: str) -> None:
         """Put a refused snapshot on record; the published version stays."""
-        self.record([(self.version(), None, None, "rejected", batch_id, fingerprint, note)])
+        self.record([(self.version(), None, None, "rejected", stream, batch_id, fingerprint, note)])
+
+
+class PublishedTables(Mapping[str, DataFrame]):
+    """The tables of one version; a table is opened when it is asked for, so a report touches only what it reads."""
+
+    def __init__(self, spark: SparkSession, paths: dict[str, str]):
+        self._spark, self._paths = spark, paths
+        self._open: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._open:
+            self._open[name] = self._spark.read.parquet(self._paths[name])
+        return self._open[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._paths)
+
+    def __len__(self) -> int:
+        return len(self._paths)
 
 
 class Load:
@@ -85,11 +116,13 @@ class Load:
         self.written[name] = path
         return self.store.spark.read.parquet(path)
 
-    def publish(self, batch_id: int | None = None, fingerprint: str | None = None, note: str | None = None) -> int:
+    def publish(self, origin: "Origin | None" = None) -> int:
         """Make the written tables, plus the untouched ones of the previous version, the current version."""
         version = self.store.version() + 1
+        stream, batch_id, fingerprint = (origin.stream, origin.batch_id, origin.fingerprint) if origin else (None,) * 3
         tables = {**self.previous, **self.written}
-        self.store.record(
-            [(version, name, path, "published", batch_id, fingerprint, note) for name, path in sorted(tables.items())]
-        )
+        self.store.record([
+            (version, name, path, "published", stream, batch_id, fingerprint, None)
+            for name, path in sorted(tables.items())
+        ])
         return version
