@@ -17,7 +17,7 @@ from starloom.operators.keys import assign_surrogate_keys
 from starloom.operators.lookup import find_hot_keys, lookup
 from starloom.plans.warehouse_load import LoadReport, run_load
 from starloom.schemas import RATING_LABELS
-from starloom.session import scratch_path
+from starloom.session import materialise, scratch_path
 from starloom.sources.store import WarehouseStore
 
 MONEY = "decimal(18,2)"
@@ -122,6 +122,10 @@ class Roles:
     # --- registers ---
 
     def registro_contrato(self) -> DataFrame:
+        """Contract lines: a table in the source model, so the join is written once and not repeated by every reader."""
+        return self._once("registro_contrato", lambda: materialise(self._contract_lines(), "registro_contrato"))
+
+    def _contract_lines(self) -> DataFrame:
         lines = lookup(
             self.raw("lineitem"), self.raw("orders"), {"l_orderkey": "o_orderkey"},
             ["o_custkey", "o_orderdate", "o_orderstatus"], "inner", hot=self.hot_orders)
@@ -133,6 +137,10 @@ class Roles:
             state.alias("estado_contrato"))
 
     def registro_siniestro(self) -> DataFrame:
+        """Claims, written once like the contract lines."""
+        return self._once("registro_siniestro", lambda: materialise(self._claim_lines(), "registro_siniestro"))
+
+    def _claim_lines(self) -> DataFrame:
         claims = lookup(
             self._claims(), self.raw("orders"), {"l_orderkey": "o_orderkey"}, ["o_orderdate"], "inner", hot=self.hot_orders)
         amount, closed = F.col("l_extendedprice").cast(MONEY), F.col("l_linestatus") == "F"
@@ -161,10 +169,34 @@ class Roles:
             (F.col("p_retailprice").cast(MONEY) * (F.col("anio") - lo + 1)).cast(MONEY).alias("monto_meta_ingreso"),
             F.col("p_size").alias("meta_renovacion"), (F.col("p_size") * 2).alias("meta_asegurados"))
 
-    def source(self) -> dict[str, DataFrame]:
-        names = ["pais", "ciudad", "sucursal", "tipo_producto", "producto", "cliente", "evaluacion_servicio", "contrato",
-                 "siniestro", "recomienda", "registro_contrato", "registro_siniestro", "metas"]
-        return {n: getattr(self, n)() for n in names}
+    def source(self) -> "Source":
+        return Source(self)
+
+
+class Source(Mapping[str, DataFrame]):
+    """The source tables by name; a role is built when it is asked for."""
+
+    NAMES = ["pais", "ciudad", "sucursal", "tipo_producto", "producto", "cliente", "evaluacion_servicio", "contrato",
+             "siniestro", "recomienda", "registro_contrato", "registro_siniestro", "metas"]
+
+    def __init__(self, r: Roles, replaced: Mapping[str, DataFrame] | None = None):
+        self._roles, self._replaced = r, dict(replaced or {})
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name in self._replaced:
+            return self._replaced[name]
+        if name not in self.NAMES:
+            raise KeyError(name)
+        return getattr(self._roles, name)()
+
+    def __iter__(self):
+        return iter(self.NAMES)
+
+    def __len__(self) -> int:
+        return len(self.NAMES)
+
+    def with_table(self, name: str, df: DataFrame) -> "Source":
+        return Source(self._roles, {**self._replaced, name: df})
 
 
 _roles: dict[tuple[str, str], Roles] = {}

@@ -274,11 +274,11 @@ def goals_empty_guard(spark, sf_dir):
     return facts.load_goals(staged, wh, wh["fact_metas"])
 
 
-def _without_first_year(r: Roles) -> dict[str, DataFrame]:
+def _without_first_year(r: Roles) -> Mapping[str, DataFrame]:
     """The source after the contracts that started in the first order year were purged."""
     cut = dt.date(r.order_years()[0].year + 1, 1, 1)
-    src = r.source()
-    return {**src, "registro_contrato": src["registro_contrato"].where(F.col("fecha_inicio") >= F.lit(cut))}
+    kept = r.registro_contrato().where(F.col("fecha_inicio") >= F.lit(cut))
+    return r.source().with_table("registro_contrato", kept)
 
 
 @query

@@ -31,6 +31,9 @@ HOT_KEY_SETS = {
 }
 
 
+_CLAIM_ORDER = ["fecha_siniestro", "fecha_respuesta", "id_rechazo", "monto_reconocido", "monto_solicitado"]
+
+
 class MissingPrerequisite(ValueError):
     """A table that must be loaded earlier is empty."""
 
@@ -57,9 +60,11 @@ def _counters():
     return [F.lit(1).alias(c) for c in ("cantidad", "cantidad_cliente", "cantidad_producto", "cantidad_contrato")]
 
 
-def contract_fact_source(src: Tables, dims: Tables, hot: Hot | None = None) -> DataFrame:
+def contract_fact_source(
+    src: Tables, dims: Tables, hot: Hot | None = None, unique_keys: bool = False
+) -> DataFrame:
     """Keyed contract lines.  The contract join comes first: its shuffle on the contract number also serves the
-    deduplication, whose key starts with it."""
+    deduplication, whose key starts with it.  ``unique_keys`` skips the deduplication."""
     lines = src["registro_contrato"]
     spread = ["nro_contrato", "cod_producto", "cod_cliente"]
     order = ["fecha_inicio", "fecha_fin", "monto", "estado_contrato"]
@@ -68,7 +73,7 @@ def contract_fact_source(src: Tables, dims: Tables, hot: Hot | None = None) -> D
         lines, dims["dim_contrato"], {"nro_contrato": "nro_contrato_nk"}, ["sk_dim_contrato"],
         hot=_hot(hot, "contract"), spread_by=spread,
     )
-    keyed = last_wins(keyed, spread, order)
+    keyed = keyed if unique_keys else last_wins(keyed, spread, order)
     keyed = lookup(
         keyed, client_keys(src, dims), ["cod_cliente"], ["sk_dim_cliente", "sk_dim_sucursal"], "inner",
         hot=_hot(hot, "client"), spread_by=spread,
@@ -101,10 +106,7 @@ def last_line_per_contract(src: Tables, hot: Hot | None = None) -> DataFrame:
 
 def claim_source(src: Tables, hot_lines: Hot | None = None, hot_claims: Hot | None = None) -> DataFrame:
     """One row per (claim, contract) with client, branch and product of the contract's last line."""
-    claims = last_wins(
-        src["registro_siniestro"], ["nro_siniestro", "nro_contrato"],
-        ["fecha_siniestro", "fecha_respuesta", "id_rechazo", "monto_reconocido", "monto_solicitado"],
-    )
+    claims = last_wins(src["registro_siniestro"], ["nro_siniestro", "nro_contrato"], _CLAIM_ORDER)
     return lookup(
         claims, last_line_per_contract(src, hot_lines), ["nro_contrato"], ["cod_cliente", "cod_sucursal", "cod_producto"],
         "inner", hot=_hot(hot_claims, "contract"), spread_by=["nro_siniestro", "nro_contrato"],
@@ -112,7 +114,7 @@ def claim_source(src: Tables, hot_lines: Hot | None = None, hot_claims: Hot | No
 
 
 def claim_fact_source(
-    src: Tables, dims: Tables, hot_lines: Hot | None = None, hot_claims: Hot | None = None
+    src: Tables, dims: Tables, hot_lines: Hot | None = None, hot_claims: Hot | None = None, unique_keys: bool = False
 ) -> DataFrame:
     """Keyed claims: contract-level keys are resolved once per contract, then joined to the claims."""
     spread = ["nro_siniestro", "nro_contrato"]
@@ -126,10 +128,9 @@ def claim_fact_source(
         contracts, dims["dim_producto"], {"cod_producto": "cod_producto_nk"}, ["sk_dim_producto"],
         hot=_hot(hot_lines, "product"),
     )
-    claims = last_wins(
-        src["registro_siniestro"], spread,
-        ["fecha_siniestro", "fecha_respuesta", "id_rechazo", "monto_reconocido", "monto_solicitado"],
-    )
+    claims = src["registro_siniestro"]
+    if not unique_keys:
+        claims = last_wins(claims, spread, _CLAIM_ORDER)
     keyed = lookup(
         claims, contracts, ["nro_contrato"],
         ["sk_dim_contrato", "sk_dim_cliente", "sk_dim_sucursal", "sk_dim_producto"], "inner",

@@ -86,8 +86,9 @@ def measure_hot_keys(src: Mapping[str, DataFrame]) -> dict[str, dict[str, list[i
 
 def load_dimensions(
     spark: SparkSession, src: Mapping[str, DataFrame], load: Load, before: Mapping[str, DataFrame],
-    first_day: dt.date, last_day: dt.date, metrics: dict[str, dict[str, int]], workers: int,
-) -> dict[str, DataFrame]:
+    first_day: dt.date, last_day: dt.date, metrics: dict[str, dict[str, int]], workers: int, measure_hot: bool = True,
+) -> tuple[dict[str, DataFrame], dict[str, dict[str, list[int]]]]:
+    """Write the eight dimensions and, alongside, measure the hot keys that the fact joins will meet."""
     def keyed(name: str) -> DataFrame:
         target = before.get(name)
         if name == "dim_tiempo":
@@ -102,13 +103,17 @@ def load_dimensions(
         metrics[name] = dict(result.metrics)
         return load.write(name, result.state)
 
-    names = ["dim_tiempo", *DIMENSIONS]
-    return dict(_run({name: (lambda n=name: keyed(n)) for name in names}, workers))
+    jobs: dict[str, Callable[[], object]] = {"hot": lambda: measure_hot_keys(src) if measure_hot else {}}
+    jobs.update({name: (lambda n=name: keyed(n)) for name in [*reversed(DIMENSIONS), "dim_tiempo"]})
+    done = _run(jobs, workers)
+    hot = done.pop("hot")
+    return done, hot
 
 
 def load_facts(
     src: Mapping[str, DataFrame], dims: Mapping[str, DataFrame], load: Load, before: Mapping[str, DataFrame],
     hot: Mapping[str, Mapping[str, list[int]]], metrics: dict[str, dict[str, int]], workers: int, with_metrics: bool,
+    unique_keys: bool = False,
 ) -> dict[str, DataFrame]:
     calendar = dims["dim_tiempo"]
     counts = facts.source_row_counts(src) if with_metrics else {}
@@ -134,7 +139,7 @@ def load_facts(
 
     def claims() -> DataFrame:
         retain = facts.live_claim_keys(src, dims) if "fact_registro_siniestro" in before else None
-        source = facts.claim_fact_source(src, dims, hot.get("registro_contrato"), hot.get("registro_siniestro"))
+        source = facts.claim_fact_source(src, dims, hot.get("registro_contrato"), hot.get("registro_siniestro"), unique_keys)
         return write("fact_registro_siniestro", source, retain)
 
     def ratings() -> DataFrame:
@@ -146,7 +151,7 @@ def load_facts(
 
     jobs = {
         "fact_registro_contrato": lambda: write(
-            "fact_registro_contrato", facts.contract_fact_source(src, dims, hot.get("registro_contrato"))),
+            "fact_registro_contrato", facts.contract_fact_source(src, dims, hot.get("registro_contrato"), unique_keys)),
         "fact_registro_siniestro": claims,
         "fact_evaluacion_servicio": ratings,
         "fact_metas": goals,
@@ -159,22 +164,27 @@ def run_load(
     src: Mapping[str, DataFrame],
     first_day: dt.date = DEFAULT_FIRST_DAY,
     last_day: dt.date = DEFAULT_LAST_DAY,
-    workers: int = 4,
+    workers: int = 6,
     with_metrics: bool = True,
     balance_hot_keys: bool = True,
+    trust_primary_keys: bool = False,
     origin: Origin | None = None,
 ) -> LoadReport:
-    """Load every dimension and fact from ``src`` on top of the published version, then publish."""
+    """Load every dimension and fact from ``src`` on top of the published version, then publish.
+
+    ``trust_primary_keys`` says that the source enforces its primary keys; the contract and claim loads then skip
+    the full-width shuffle that would reduce repeated keys.
+    """
     spark = store.spark
     load = store.open_load()
-    before = store.tables()
+    before = load.before
     metrics: dict[str, dict[str, int]] = {}
     try:
         if src.get("metas") is not None:
             src = {**src, "metas": load.write("stg_metas", src["metas"])}
-        hot = measure_hot_keys(src) if balance_hot_keys else {}
-        dims = load_dimensions(spark, src, load, before, first_day, last_day, metrics, workers)
-        load_facts(src, dims, load, before, hot, metrics, workers, with_metrics)
+        dims, hot = load_dimensions(
+            spark, src, load, before, first_day, last_day, metrics, workers, measure_hot=balance_hot_keys)
+        load_facts(src, dims, load, before, hot, metrics, workers, with_metrics, trust_primary_keys)
     except Exception as error:
         raise LoadAborted(f"load aborted, nothing published: {error}") from error
     return LoadReport(load.publish(origin), metrics)
@@ -185,7 +195,7 @@ def refresh_goals(
 ) -> LoadReport:
     """Load only the goals: staging and goal fact are published together."""
     load = store.open_load()
-    before = store.tables()
+    before = load.before
     metrics: dict[str, dict[str, int]] = {}
     try:
         if "dim_producto" not in before or is_empty(before["dim_producto"]):

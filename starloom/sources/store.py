@@ -48,6 +48,8 @@ class WarehouseStore:
     def paths(self, version: int | None = None) -> dict[str, str]:
         """Table folders of a version; one row per table, a dozen in all."""
         version = self.version() if version is None else version
+        if version == 0:
+            return {}
         rows = self.log().where((F.col("status") == "published") & (F.col("version") == version))
         return {r["table_name"]: r["path"] for r in rows.select("table_name", "path").collect()}
 
@@ -102,7 +104,9 @@ class Load:
 
     def __init__(self, store: WarehouseStore):
         self.store = store
-        self.previous = store.paths()
+        self.version = store.version() + 1
+        self.previous = store.paths(self.version - 1)
+        self.before = PublishedTables(store.spark, self.previous)
         self.folder = f"{store.root}/data/{uuid.uuid4().hex}"
         self.written: dict[str, str] = {}
 
@@ -118,11 +122,10 @@ class Load:
 
     def publish(self, origin: "Origin | None" = None) -> int:
         """Make the written tables, plus the untouched ones of the previous version, the current version."""
-        version = self.store.version() + 1
         stream, batch_id, fingerprint = (origin.stream, origin.batch_id, origin.fingerprint) if origin else (None,) * 3
         tables = {**self.previous, **self.written}
         self.store.record([
-            (version, name, path, "published", stream, batch_id, fingerprint, None)
+            (self.version, name, path, "published", stream, batch_id, fingerprint, None)
             for name, path in sorted(tables.items())
         ])
-        return version
+        return self.version
