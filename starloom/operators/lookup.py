@@ -24,7 +24,7 @@ class LookupMiss(ValueError):
 
 
 def find_hot_keys(
-    df: DataFrame, key_sets: Mapping[str, Sequence[str]], share: float = HOT_SHARE, tracked: int = 16_384
+    df: DataFrame, key_sets: Mapping[str, Sequence[str]], share: float = HOT_SHARE, tracked: int = 4_096
 ) -> dict[str, list[int]]:
     """Hashes of the keys that hold at least ``share`` of the rows, for several keys in one narrow scan.
 
@@ -68,13 +68,16 @@ def lookup(
     side = right.select(*typed, *columns)
     if not hot:
         native = {"semi": "left_semi", "anti": "left_anti"}.get(how, how)
-        return left.join(side, keys, native)
+        return left.join(side, keys, native).select(*left.columns, *columns)
 
     is_hot = F.xxhash64(*keys).isin(list(hot))
     few = side.where(is_hot).select(
         *keys, F.lit(True).alias("_few_hit"), *[F.col(c).alias(f"_few_{c}") for c in columns]
     )
-    many = side.select(*keys, F.lit(0).alias("_salt"), F.lit(True).alias("_hit"), *columns)
+    # Always 0, but written so that the optimiser keeps it as a join key: a literal would be folded into a filter and
+    # the shuffle would fall back to the bare key.
+    zero = F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int")
+    many = side.select(*keys, zero.alias("_salt"), F.lit(True).alias("_hit"), *columns)
     spread = list(spread_by or left.columns)
     salt = F.when(is_hot, F.pmod(F.xxhash64(*spread), F.lit(SALT_BUCKETS)).cast("int") + 1).otherwise(0)
     joined = (
