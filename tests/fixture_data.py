@@ -3,6 +3,8 @@
 Names are made up by rule; the numbers below are fixed values, because the golden results depend on them.
 """
 
+import tempfile
+
 from pyspark.sql import functions as F
 
 from starloom.schemas import fit_schema
@@ -189,8 +191,21 @@ def frame(spark, table, rows):
     return fit_schema(df, table)
 
 
-def source(spark):
-    return {table: frame(spark, table, rows) for table, rows in source_rows().items()}
+_landed = {}
+
+
+def _stored(spark, table, rows):
+    """A source table as Parquet, written once per content."""
+    key = (spark.sparkContext.applicationId, table, repr(rows))
+    if key not in _landed:
+        _landed[key] = tempfile.mkdtemp(prefix="starloom-fixture-") + "/t"
+        frame(spark, table, rows).coalesce(1).write.parquet(_landed[key])
+    return spark.read.parquet(_landed[key])
+
+
+def source(spark, tables=None):
+    """The source tables, with their standard rows or with the given ones."""
+    return {table: _stored(spark, table, rows) for table, rows in (tables or source_rows()).items()}
 
 
 def goals(spark):
@@ -211,4 +226,4 @@ def changed_source(spark):
     rows["registro_siniestro"].append([31, 61, "2026-08-01", "2026-08-10", "SI", "0.00", "1200.00"])
     rows["registro_siniestro"][9][3:6] = ["2026-07-20", "NO", "1150.00"]
     rows["recomienda"].append([26, 2, 2, "NO"])
-    return {table: frame(spark, table, r) for table, r in rows.items()}
+    return source(spark, rows)

@@ -99,10 +99,20 @@ def test_typed_sources(spark, tmp_path):
 # --- watch -------------------------------------------------------------------------------------------------
 
 
+@pytest.fixture(scope="module")
+def loaded_paths(spark, tmp_path_factory):
+    store = WarehouseStore(spark, str(tmp_path_factory.mktemp("base")))
+    run_load(store, source(spark), with_metrics=False)
+    return store.paths()
+
+
 @pytest.fixture
-def watched(spark, tmp_path):
+def watched(spark, loaded_paths, tmp_path):
+    """A store that starts from the loaded tables, a landing folder and a checkpoint folder."""
     store = WarehouseStore(spark, str(tmp_path / "wh"))
-    run_load(store, source(spark), with_metrics=False)
+    load = store.open_load()
+    load.written = dict(loaded_paths)
+    load.publish()
     return store, str(tmp_path / "landing"), str(tmp_path / "state")
 
 
@@ -150,10 +160,13 @@ def test_watch_loads_skips_quarantines_and_recovers(spark, watched):
 
 def test_only_the_newest_snapshot_of_a_batch_counts(spark, watched):
     store, landing, state = watched
-    for i in (1, 2, 3):
+    folder, seen = os.path.join(landing, "announced"), set()
+    for i in (1, 3, 2):  # the sheet landed in the middle carries the newest time
         land_snapshot(good_sheet(spark, i), landing, f"s{i}")
-        os.utime(max((os.path.join(landing, "announced", f) for f in os.listdir(os.path.join(landing, "announced")) if f.endswith(".json")),
-                     key=os.path.getmtime), (2_000_000_000 + i, 2_000_000_000 + i))
+        new = {f for f in os.listdir(folder) if f.endswith(".json")} - seen
+        for name in new:
+            os.utime(os.path.join(folder, name), (1_700_000_000 + i, 1_700_000_000 + i))
+        seen |= new
     run(store, announced_snapshots(spark, landing), state)
     assert store.version() == 2
     assert total(store) == 3 * int(good_sheet(spark).agg(F.sum("monto_meta_ingreso")).first()[0])

@@ -18,7 +18,7 @@ def rows(df):
 
 
 def frames(spark, tables):
-    return {t: frame(spark, t, r) for t, r in tables.items()}
+    return source(spark, tables)
 
 
 @pytest.fixture(scope="module")
