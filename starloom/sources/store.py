@@ -118,7 +118,7 @@ class Load:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
         self.written[name] = path
-        return self.store.spark.read.parquet(path)
+        return self.store.spark.read.schema(df.schema).parquet(path)
 
     def publish(self, origin: "Origin | None" = None) -> int:
         """Make the written tables, plus the untouched ones of the previous version, the current version."""
