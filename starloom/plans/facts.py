@@ -43,11 +43,12 @@ def _hot(hot: Hot | None, name: str) -> Sequence[int]:
 
 
 def client_keys(src: Tables, dims: Tables) -> DataFrame:
-    """One row per client: its key and the key of its branch."""
+    """One row per client: its key and the key of its branch.  The client join comes last, so that the result is
+    already partitioned for the facts that join it on the client."""
     branches = dims["dim_sucursal"].select("cod_sucursal_nk", "sk_dim_sucursal")
     clients = src["cliente"].select("cod_cliente", "cod_sucursal")
-    keyed = lookup(clients, dims["dim_cliente"], {"cod_cliente": "cod_cliente_nk"}, ["sk_dim_cliente"])
-    return lookup(keyed, branches, {"cod_sucursal": "cod_sucursal_nk"}, ["sk_dim_sucursal"])
+    placed = lookup(clients, branches, {"cod_sucursal": "cod_sucursal_nk"}, ["sk_dim_sucursal"])
+    return lookup(placed, dims["dim_cliente"], {"cod_cliente": "cod_cliente_nk"}, ["sk_dim_cliente"])
 
 
 def enrich_lines(src: Tables) -> DataFrame:
@@ -93,14 +94,19 @@ def contract_fact_source(
     )
 
 
-def last_line_per_contract(src: Tables, hot: Hot | None = None) -> DataFrame:
-    """Client, branch and product of the highest (client, product) line of each contract.
+def last_line_per_contract(
+    src: Tables, clients: DataFrame, columns: Sequence[str], hot: Hot | None = None
+) -> DataFrame:
+    """The highest (client, product) line of each contract, with ``columns`` of its client.
 
     Joining claims to this instead of to the lines gives the row that would survive the fan-out anyway, without
     producing it.
     """
     lines = src["registro_contrato"].select("nro_contrato", "cod_cliente", "cod_producto")
-    known = lookup(lines, src["cliente"], ["cod_cliente"], ["cod_sucursal"], "inner", hot=_hot(hot, "client"))
+    known = lookup(
+        lines, clients, ["cod_cliente"], columns, "inner", hot=_hot(hot, "client"),
+        spread_by=["nro_contrato", "cod_producto"],
+    )
     return last_wins(known, ["nro_contrato"], ["cod_cliente", "cod_producto"])
 
 
@@ -108,7 +114,8 @@ def claim_source(src: Tables, hot_lines: Hot | None = None, hot_claims: Hot | No
     """One row per (claim, contract) with client, branch and product of the contract's last line."""
     claims = last_wins(src["registro_siniestro"], ["nro_siniestro", "nro_contrato"], _CLAIM_ORDER)
     return lookup(
-        claims, last_line_per_contract(src, hot_lines), ["nro_contrato"], ["cod_cliente", "cod_sucursal", "cod_producto"],
+        claims, last_line_per_contract(src, src["cliente"], ["cod_sucursal"], hot_lines), ["nro_contrato"],
+        ["cod_cliente", "cod_sucursal", "cod_producto"],
         "inner", hot=_hot(hot_claims, "contract"), spread_by=["nro_siniestro", "nro_contrato"],
     )
 
@@ -116,18 +123,15 @@ def claim_source(src: Tables, hot_lines: Hot | None = None, hot_claims: Hot | No
 def claim_fact_source(
     src: Tables, dims: Tables, hot_lines: Hot | None = None, hot_claims: Hot | None = None, unique_keys: bool = False
 ) -> DataFrame:
-    """Keyed claims: contract-level keys are resolved once per contract, then joined to the claims."""
+    """Keyed claims: contract-level keys are resolved once per contract, then joined to the claims.  The contract key
+    comes last, so its shuffle also serves the join with the claims."""
     spread = ["nro_siniestro", "nro_contrato"]
-    contracts = last_line_per_contract(src, hot_lines).drop("cod_sucursal")
-    contracts = lookup(contracts, dims["dim_contrato"], {"nro_contrato": "nro_contrato_nk"}, ["sk_dim_contrato"])
-    contracts = lookup(
-        contracts, client_keys(src, dims), ["cod_cliente"], ["sk_dim_cliente", "sk_dim_sucursal"],
-        hot=_hot(hot_lines, "client"),
-    )
+    contracts = last_line_per_contract(src, client_keys(src, dims), ["sk_dim_cliente", "sk_dim_sucursal"], hot_lines)
     contracts = lookup(
         contracts, dims["dim_producto"], {"cod_producto": "cod_producto_nk"}, ["sk_dim_producto"],
-        hot=_hot(hot_lines, "product"),
+        hot=_hot(hot_lines, "product"), spread_by=["nro_contrato"],
     )
+    contracts = lookup(contracts, dims["dim_contrato"], {"nro_contrato": "nro_contrato_nk"}, ["sk_dim_contrato"])
     claims = src["registro_siniestro"]
     if not unique_keys:
         claims = last_wins(claims, spread, _CLAIM_ORDER)
