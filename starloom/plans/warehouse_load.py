@@ -20,6 +20,7 @@ from starloom.operators.lookup import broadcast_if_small, find_hot_keys
 from starloom.operators.merge import is_empty, merge_fact, merge_metrics
 from starloom.plans import dimensions, facts
 from starloom.schemas import DIMENSIONS, FACT_DATES, FACT_KEYS, FACT_REQUIRED
+from starloom.session import materialise
 from starloom.sources.store import Load, Origin, WarehouseStore
 
 METRICS_SCHEMA = (
@@ -120,7 +121,10 @@ def load_facts(
 
     def write(name: str, source: DataFrame, retain: DataFrame | None = None) -> DataFrame:
         previous = before.get(name)
-        state = merge_fact(previous, facts.ordered(source, name), FACT_KEYS[name], retain_keys=retain)
+        source = facts.ordered(source, name)
+        if retain is not None:  # read three times below: by the merge, its anti join and the metrics
+            source = materialise(source, name)
+        state = merge_fact(previous, source, FACT_KEYS[name], retain_keys=retain)
         written = _checked_write(load, name, state, calendar)
         if with_metrics:
             base = written if retain is None else source
