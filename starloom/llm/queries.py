@@ -12,6 +12,35 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starloom.llm.mixing import mix
+
+    return mix(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", "times"
+    )
+
+
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starloom.llm.secrets import BASE_RULES, BlobLedger, attach
+    from starloom.session import scratch_path
+
+    documents = _table(spark, sf_dir, "documents")
+    ledger = BlobLedger(spark, scratch_path(spark, "secret-ledger"))
+    ledger.scan(documents, "doc_id", "text")
+    found = attach(documents, "text", ledger.findings()).select(
+        "doc_id", F.coalesce("_spans", F.array().cast("array<struct<start:long,rank:int,end:long,rule:string>>")).alias("s")
+    )
+    joined = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["rule"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+    base = F.filter("s", lambda s: s["rank"] < len(BASE_RULES))
+    count = lambda name: F.size(F.filter("s", lambda s: s["rule"] == name)).cast("long")
+    return found.select(
+        "doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
+        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("s")).alias("spans"),
+    )
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from starloom.llm.simhash import near_duplicates
 
@@ -21,7 +50,18 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_QUERIES = [op8_simhash]
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from starloom.llm.bpe import Tokenizer
+
+    tokenizer = Tokenizer(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    documents = _table(spark, sf_dir, "documents")
+    digest = tokenizer.digest(tokenizer.encode(F.col("text"))).alias("d")
+    return documents.select("doc_id", digest).select("doc_id", "d.n_tokens", "d.ids_sha256", "d.decoded_sha256")
+
+
+_QUERIES = [op2_mixing, op4_secrets, op8_simhash, op9_bpe]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -269,12 +269,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     roots = connected_components(links(distinct), "simhash-components")
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     kept = rooted.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("least").alias("least"))
-    kept = kept.select(F.col("least.id").alias("_id"), F.col("least.row").alias("_row"))
+    kept = kept.select(F.col("least.id").alias("_of_id"), F.col("least.row").alias("_of_row"))
     copies = marked.groupBy(F.col("id").alias("_id"), F.col("row").alias("_row")).agg(F.count(F.lit(1)).alias("_n"))
-    same = lambda a, b: a["_id"].eqNullSafe(b["_id"]) & (a["_row"] == b["_row"])
-    kept = materialise(kept.join(copies, same(kept, copies)).select(kept["_id"], kept["_row"], "_n"), "simhash-kept")
+    same = F.col("_id").eqNullSafe(F.col("_of_id")) & (F.col("_row") == F.col("_of_row"))
+    kept = materialise(kept.join(copies, same).select("_of_id", "_of_row", "_n"), "simhash-kept")
     keyed = docs.withColumns({"_id": F.col(id_col), "_row": row})
     once, often = kept.where("_n = 1"), kept.where("_n > 1")
-    single = keyed.join(once, same(keyed, once), "left_semi")
-    several = keyed.join(often, same(keyed, often), "left_semi").dropDuplicates(["_id", "_row"])
+    single = keyed.join(once, same, "left_semi")
+    several = keyed.join(often, same, "left_semi").dropDuplicates(["_id", "_row"])
     return single.unionByName(several).select(*[F.col(f"`{c}`") for c in docs.columns])
