@@ -7,6 +7,8 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 BLOCK_WORDS = 1 << 20
@@ -81,3 +83,8 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return np.zeros(0, dtype=np.int64)
     ends = np.cumsum(lengths)
     return np.arange(total, dtype=np.int64) + np.repeat(starts - (ends - lengths), lengths)
+
+
+def row_struct(columns: Iterable[str]) -> Column:
+    """All of ``columns`` as one struct, so that working columns beside it cannot clash with their names."""
+    return F.struct(*[F.col(f"`{name}`") for name in columns])

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import stream_groups, text_bytes, word_blocks
+from starloom.llm.common import row_struct, stream_groups, text_bytes, word_blocks
 from starloom.operators.keys import assign_surrogate_keys
 from starloom.session import materialise
 
@@ -242,7 +242,9 @@ def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     ).withColumnsRenamed({"_id": "_of_id", "_row": "_of_row"})
     drawn = materialise(drawn, "mix-times")
     row = F.xxhash64(*[F.col(c) for c in (names["id_col"], names["source_col"], names["text_col"])])
-    keyed = docs.withColumns({"_id": F.col(names["id_col"]), "_row": row})
+    keyed = docs.select(
+        row_struct(docs.columns).alias("doc"), F.col(names["id_col"]).alias("_id"), row.alias("_row")
+    )
     both = F.col("_id").eqNullSafe(F.col("_of_id")) & (F.col("_row") == F.col("_of_row"))
     # Equal rows share their takings: the first ones are taken once more than the rest, so any of them will do.
     joined = keyed.join(drawn, both)
@@ -251,4 +253,4 @@ def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     number = F.row_number().over(Window.partitionBy("_id", "_row").orderBy(F.lit(1)))
     same = joined.where("_copies > 1").withColumn("_n", base + F.when(number <= extra, 1).otherwise(0))
     rows = once.unionByName(same).where("_n > 0").withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_n"))))
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return rows.select("doc.*")

@@ -27,8 +27,8 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     ledger = BlobLedger(spark, scratch_path(spark, "secret-ledger"))
     ledger.scan(documents, "doc_id", "text")
-    found = attach(documents, "text", ledger.findings()).select(
-        "doc_id", F.coalesce("_spans", F.array().cast("array<struct<start:long,rank:int,end:long,rule:string>>")).alias("s")
+    found = attach(documents, "text", ledger.findings(), carry=["doc_id"]).select(
+        "doc.doc_id", F.coalesce("spans", F.array().cast("array<struct<start:long,rank:int,end:long,rule:string>>")).alias("s")
     )
     joined = lambda spans: F.array_join(
         F.transform(spans, lambda s: F.concat_ws(":", s["rule"], s["start"].cast("string"), s["end"].cast("string"))), ","
@@ -41,6 +41,17 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starloom.llm.toxicity import THRESHOLD, score_documents
+
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_documents(documents, _table(spark, sf_dir, "labels"))
+    return scored.select(
+        "doc.doc_id", (F.col("scores.toxic") >= THRESHOLD).alias("toxic"),
+        F.col("scores.junk").alias("p_junk"), F.col("scores.toxic").alias("p_toxic"),
+    )
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from starloom.llm.simhash import near_duplicates
 
@@ -61,7 +72,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.select("doc_id", digest).select("doc_id", "d.n_tokens", "d.ids_sha256", "d.decoded_sha256")
 
 
-_QUERIES = [op2_mixing, op4_secrets, op8_simhash, op9_bpe]
+_QUERIES = [op2_mixing, op4_secrets, op6_toxicity, op8_simhash, op9_bpe]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

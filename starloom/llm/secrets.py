@@ -12,12 +12,15 @@ that dies in between leaves nothing that is read.  One writer at a time is assum
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from starloom.llm.common import row_struct
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -163,14 +166,20 @@ def spans_by_blob(findings: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataF
     return findings.groupBy("blob").agg(F.array_sort(F.collect_list(span)).alias("spans"))
 
 
-def attach(versions: DataFrame, text_col: str, findings: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``versions`` with the column ``_spans``: what was found in the blob of each row, an empty array if nothing.
+def attach(
+    versions: DataFrame,
+    text_col: str,
+    findings: DataFrame,
+    rules: tuple[Rule, ...] = RULES,
+    carry: Sequence[str] | None = None,
+) -> DataFrame:
+    """(doc, spans): each row of ``versions`` as a struct (of the columns ``carry``) and what was found in its blob.
 
-    Clean rows match nothing; the rows of a blob that many paths share are split by the adaptive join.
+    Clean rows get null; the rows of a blob that many paths share are split by the adaptive join.
     """
-    spans = spans_by_blob(findings, rules).select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"))
-    keyed = versions.withColumn("_blob", blob_id(F.col(text_col)))
-    return keyed.join(spans, "_blob", "left").drop("_blob")
+    found = spans_by_blob(findings, rules).withColumnRenamed("blob", "found_blob")
+    keyed = versions.select(row_struct(carry or versions.columns).alias("doc"), blob_id(F.col(text_col)).alias("blob"))
+    return keyed.join(found, F.col("blob") == F.col("found_blob"), "left").select("doc", "spans")
 
 
 def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
@@ -189,3 +198,22 @@ def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
         return F.concat(F.array_join(state["out"], ""), rest)
 
     return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, finish)).otherwise(text)
+
+
+def redact_documents(
+    docs: DataFrame, ledger: BlobLedger, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars"
+) -> DataFrame:
+    """``docs`` with all found spans replaced in the text, and the length column, if there is one, set for those rows.
+
+    Every row stays; rows without a finding are unchanged, null texts stay null.
+    """
+    ledger.scan(docs, id_col, text_col)
+    found = attach(docs, text_col, ledger.findings()).withColumn(
+        "clean", redact(F.col("doc")[text_col], F.col("spans"))
+    )
+    hit = F.size("spans") > 0
+    new = {text_col: F.col("clean")}
+    if length_col in docs.columns:
+        kind = docs.schema[length_col].dataType
+        new[length_col] = F.when(hit, F.length("clean").cast(kind)).otherwise(F.col("doc")[length_col])
+    return found.select(*[new.get(c, F.col("doc")[c]).alias(c) for c in docs.columns])

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import ragged, stream_groups, text_bytes, word_blocks
+from starloom.llm.common import ragged, row_struct, stream_groups, text_bytes, word_blocks
 from starloom.llm.components import connected_components
 from starloom.session import materialise
 
@@ -273,8 +273,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     copies = marked.groupBy(F.col("id").alias("_id"), F.col("row").alias("_row")).agg(F.count(F.lit(1)).alias("_n"))
     same = F.col("_id").eqNullSafe(F.col("_of_id")) & (F.col("_row") == F.col("_of_row"))
     kept = materialise(kept.join(copies, same).select("_of_id", "_of_row", "_n"), "simhash-kept")
-    keyed = docs.withColumns({"_id": F.col(id_col), "_row": row})
+    keyed = docs.select(row_struct(docs.columns).alias("doc"), F.col(id_col).alias("_id"), row.alias("_row"))
     once, often = kept.where("_n = 1"), kept.where("_n > 1")
     single = keyed.join(once, same, "left_semi")
     several = keyed.join(often, same, "left_semi").dropDuplicates(["_id", "_row"])
-    return single.unionByName(several).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return single.unionByName(several).select("doc.*")
