@@ -12,6 +12,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starloom.llm.substrings import substring_dedup
+
+    found = substring_dedup(_table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from starloom.llm.mixing import mix
 
@@ -72,7 +79,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.select("doc_id", digest).select("doc_id", "d.n_tokens", "d.ids_sha256", "d.decoded_sha256")
 
 
-_QUERIES = [op2_mixing, op4_secrets, op6_toxicity, op8_simhash, op9_bpe]
+_QUERIES = [op1_substrings, op2_mixing, op4_secrets, op6_toxicity, op8_simhash, op9_bpe]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
