@@ -79,7 +79,13 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.select("doc_id", digest).select("doc_id", "d.n_tokens", "d.ids_sha256", "d.decoded_sha256")
 
 
-_QUERIES = [op1_substrings, op2_mixing, op4_secrets, op6_toxicity, op8_simhash, op9_bpe]
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starloom.llm.neighbours import nearest
+
+    return nearest(_table(spark, sf_dir, "embeddings"))
+
+
+_QUERIES = [op1_substrings, op2_mixing, op4_secrets, op6_toxicity, op8_simhash, op9_bpe, op10_neighbours]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
