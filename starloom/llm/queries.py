@@ -48,6 +48,33 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starloom.llm.chat import format_conversations, read_back
+
+    table = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = F.lit("</s>[INST] ok [/INST]").alias("text")
+    fixed = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), said,
+    )
+    read = read_back(format_conversations(table.unionByName(fixed)))
+    said_turns = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    parts = F.struct(
+        "run", "first", F.array_join(said_turns, "").alias("turns"), F.array_join("targets", "").alias("targets")
+    )
+    # The digests ask for whole conversations, so here, and only here, one is brought together.
+    whole = read.groupBy("conv_id").agg(
+        F.sum(F.size("turns")).cast("long").alias("n_turns"), F.array_sort(F.collect_list(parts)).alias("parts"),
+        F.sum("n_chars").cast("long").alias("formatted_chars"),
+    )
+    joined = lambda name: F.array_join(F.transform("parts", lambda p: p[name]), "")
+    return whole.select(
+        "conv_id", "n_turns", F.sha2(joined("turns"), 256).alias("turns_sha256"),
+        F.length(joined("targets")).cast("long").alias("loss_chars"),
+        F.sha2(joined("targets"), 256).alias("loss_sha256"), "formatted_chars",
+    )
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from starloom.llm.toxicity import THRESHOLD, score_documents
 
@@ -85,7 +112,7 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(_table(spark, sf_dir, "embeddings"))
 
 
-_QUERIES = [op1_substrings, op2_mixing, op4_secrets, op6_toxicity, op8_simhash, op9_bpe, op10_neighbours]
+_QUERIES = [op1_substrings, op2_mixing, op4_secrets, op5_chat, op6_toxicity, op8_simhash, op9_bpe, op10_neighbours]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
