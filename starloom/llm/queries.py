@@ -27,6 +27,13 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starloom.llm.packing import pack_rows
+
+    ids = _tokenizer(spark).encode(F.col("text")).alias("ids")
+    return pack_rows(_table(spark, sf_dir, "documents").select("doc_id", ids))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from starloom.llm.secrets import BASE_RULES, BlobLedger, attach
     from starloom.session import scratch_path
@@ -86,6 +93,12 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starloom.llm.outliers import judge_documents
+
+    return judge_documents(_table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from starloom.llm.simhash import near_duplicates
 
@@ -95,12 +108,16 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _tokenizer(spark: SparkSession):
     import public_tokenizers
 
     from starloom.llm.bpe import Tokenizer
 
-    tokenizer = Tokenizer(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return Tokenizer(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = _tokenizer(spark)
     documents = _table(spark, sf_dir, "documents")
     digest = tokenizer.digest(tokenizer.encode(F.col("text"))).alias("d")
     return documents.select("doc_id", digest).select("doc_id", "d.n_tokens", "d.ids_sha256", "d.decoded_sha256")
@@ -112,7 +129,7 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(_table(spark, sf_dir, "embeddings"))
 
 
-_QUERIES = [op1_substrings, op2_mixing, op4_secrets, op5_chat, op6_toxicity, op8_simhash, op9_bpe, op10_neighbours]
+_QUERIES = [op1_substrings, op2_mixing, op3_packing, op4_secrets, op5_chat, op6_toxicity, op7_outliers, op8_simhash, op9_bpe, op10_neighbours]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
