@@ -192,7 +192,7 @@ def mix(
     text_col: str = "text",
     source_col: str = "source",
 ) -> DataFrame:
-    """(doc_id, row_hash, size, source_size, target, times, taken) with one row per document.
+    """(doc_id, source, row_hash, copy, size, source_size, target, times, taken) with one row per document.
 
     ``times`` is how often the mix takes the document, ``taken`` its words in the mix.  Null texts and texts without
     words have size 0 and are taken like others (they do not count in words).  Null sources are one source, the last.
@@ -221,7 +221,7 @@ def mix(
     ones = F.explode(F.sequence(F.lit(1), F.least(F.lit(COPIES), F.col("copies") - F.col("_tens") * COPIES)))
     numbered = rated.withColumn("_tens", tens).withColumn("_ones", ones)
     each = numbered.withColumn("copy", F.col("_tens") * COPIES + F.col("_ones")).select(
-        "source_id", "doc_id", "row_hash", "size", "source_size", "target", "copy", sure.alias("sure"),
+        "source_id", "doc_id", "source", "row_hash", "size", "source_size", "target", "copy", sure.alias("sure"),
         F.greatest(F.col("rate") - sure, F.lit(0.0)).alias("chance"),
         F.xxhash64("doc_id", "row_hash", "copy").alias("row"),
     )
@@ -229,7 +229,7 @@ def mix(
     drawn = balanced_draw(each.select("source_id", "row", "size", "chance"))
     times = (F.col("sure") + F.coalesce("extra", F.round("chance").cast("int"))).cast("int")
     return each.join(drawn, _KEYS, "left").select(
-        "doc_id", "row_hash", "copy", "size", "source_size", "target", times.alias("times"),
+        "doc_id", "source", "row_hash", "copy", "size", "source_size", "target", times.alias("times"),
         (times * F.col("size")).cast("long").alias("taken"),
     )
 
