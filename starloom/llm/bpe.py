@@ -20,13 +20,13 @@ import regex
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm.common import ragged
+from starloom.llm.common import ragged, text_bytes
 
 NONE = np.int32(2**31 - 1)
 WIDE = 64
 CELLS = 1 << 20  # of one matrix
 GROUP_CHARS = 1 << 21  # of the texts whose new pre-tokens are merged together
-POOL_WORDS = 600_000  # pre-tokens that a task remembers; beyond, it starts anew
+POOL_WORDS = 300_000  # pre-tokens that a task remembers; beyond, it starts anew
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -243,8 +243,7 @@ class Tokenizer:
         def bpe_encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             encoder = make()
             for texts in batches:
-                raw = texts.cast(pa.large_binary())
-                strings = (None if x is None else x.decode("utf-8", "replace") for x in (v.as_py() for v in raw))
+                strings = (raw.decode("utf-8", "replace") for raw in text_bytes(texts))
                 rows = list(encoder.encode(strings))
                 offsets = np.zeros(len(rows) + 1, dtype=np.int32)
                 np.cumsum([len(row) for row in rows], out=offsets[1:])

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -32,10 +32,24 @@ def word_blocks(raw: bytes, overlap: int = 0, block: int = BLOCK_WORDS) -> Itera
         yield words
 
 
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession, limit: str = "4m") -> None:
+    """Let tasks see texts in batches of ``limit`` bytes, if the session has Spark's default of 64 MB.
+
+    Several copies of a batch are in a Python worker at a time, so this is what bounds its memory.  No result depends
+    on it; a session that sets another value keeps it.
+    """
+    if spark.conf.get(_BATCH_BYTES) == "67108864b":
+        spark.conf.set(_BATCH_BYTES, limit)
+
+
 def text_bytes(column: pa.Array) -> Iterator[bytes]:
     """UTF-8 bytes of each text, b"" for null, one at a time."""
-    for value in column.cast(pa.large_binary()):
-        yield value.as_py() or b""
+    for at in range(0, len(column), 256):
+        for value in column.slice(at, 256).cast(pa.large_binary()):
+            yield value.as_py() or b""
 
 
 def stream_groups(
