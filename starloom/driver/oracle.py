@@ -324,7 +324,21 @@ _RESET = {
     "fact_evaluacion_servicio": "f_eva WHERE cod_cliente NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'MACHINERY')",
 }
 
-_FINGERPRINT = "('0x' || substring(sha256(concat_ws('|', c_custkey, c_name, c_nationkey, c_mktsegment)), 1, 8))::BIGINT"
+_CUSTOMER = {"c_acctbal": "CAST(c_acctbal AS DECIMAL(18,2))", "c_custkey": "c_custkey", "c_mktsegment": "c_mktsegment", "c_name": "c_name", "c_nationkey": "c_nationkey"}
+
+
+def _fingerprint(columns: dict[str, str], table: str) -> str:
+    """SHA-256 of names and values, each with its length in front, summed as four numbers of 64 bits."""
+    parts = []
+    for name, value in sorted(columns.items()):
+        text = f"CAST({value} AS VARCHAR)"
+        parts.append(f"'{len(name)}:{name}=' || coalesce(length({text}) || ':' || {text}, 'N')")
+    row = " || ';' || ".join(parts)
+    limbs = [
+        f"CAST(coalesce(sum(CAST(CAST('0x' || substring(h, {16 * i + 1}, 16) AS UBIGINT) AS HUGEINT)), 0) AS VARCHAR)" for i in range(4)
+    ]
+    return f"SELECT count(*) AS n_rows, {" || '-' || ".join(limbs)} AS fingerprint FROM (SELECT sha256({row}) AS h FROM {table})"
+
 
 _CLIENT_COLUMNS = {"nb_cliente": "nb_cliente:s", "ci_rif": "ci_rif:s", "telefono": "telefono:s", "direccion": "direccion:s", "sexo": "sexo:s", "email": "email:s"}
 _BRANCH_SQL = """sucursal su JOIN ciudad ci ON ci.cod_ciudad = su.cod_ciudad JOIN pais pa ON pa.cod_pais = ci.cod_pais"""
@@ -463,7 +477,7 @@ def oracle_sql() -> dict[str, str]:
                                    " monto_reconocido:d", "FROM f_sin")
     out["evaluation_detail"] = _typed("nb_cliente:s; nb_producto:s; cod_evaluacion_nk=cod_evaluacion_servicio:l; nb_descrip=nb_descripcion:s; recomienda_amigo=reco:d",
                                       "FROM f_eva")
-    out["snapshot_fingerprint"] = f"SELECT count(*) AS n_rows, CAST(coalesce(sum({_FINGERPRINT}), 0) AS VARCHAR) AS fingerprint FROM customer"
+    out["snapshot_fingerprint"] = _fingerprint(_CUSTOMER, "customer")
     out["snapshot_stream"] = _typed(
         _GOAL_FACT.replace("monto_meta_ingreso:d", "monto_meta_ingreso=monto_meta_ingreso * 2:d").replace("anio *", "(anio + greatest(2000 - olo, 0)) *"),
         "FROM f_met, anios")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -14,26 +15,36 @@ def row_hash(columns: Sequence[str]) -> Column:
     return F.xxhash64(*parts)
 
 
-def row_digest(columns: Sequence[str]) -> Column:
-    """Integer from the first 8 hex digits of SHA-256 over the columns joined by '|'."""
-    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in columns])
-    return F.conv(F.substring(F.sha2(text, 256), 1, 8), 16, 10).cast("long")
+LIMBS = 4  # of 64 bits
+
+
+def row_text(columns: Sequence[str]) -> Column:
+    """A row as text that no other row has: name and value of every column, in the order of the names, each with its
+    length in front; a NULL is the bare mark N."""
+    parts = []
+    for name in sorted(columns):
+        value = F.col(f"`{name}`").cast("string")
+        known = F.concat(F.length(value).cast("string"), F.lit(":"), value)
+        parts.append(F.concat(F.lit(f"{len(name)}:{name}="), F.coalesce(known, F.lit("N"))))
+    return F.concat_ws(";", *parts)
 
 
 def table_fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """One row (``n_rows``, ``fingerprint``) that depends on the content but not on the row order.
+    """One row (``n_rows``, ``fingerprint``) that depends on names and values but not on the order of rows or columns.
 
-    The sum is decimal so that it cannot overflow however many rows there are, and it counts repeated rows
-    (an exclusive-or would cancel them out).  Partial sums are combined map-side.
+    All 256 bits of each row's SHA-256 count: they are summed as four numbers.  The sums are decimal, so they cannot
+    overflow however many rows there are, and repeated rows count (an exclusive-or would cancel them out).  Partial
+    sums are combined map-side.
     """
     columns = list(columns or df.columns)
-    return df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.coalesce(F.sum(row_digest(columns).cast("decimal(20,0)")), F.lit(0)).cast("string").alias("fingerprint"),
-    )
+    marked = df.select(F.sha2(row_text(columns), 256).alias("_digest"))
+    limb = lambda i: F.conv(F.substring("_digest", 16 * i + 1, 16), 16, 10).cast("decimal(20,0)")
+    sums = [F.coalesce(F.sum(limb(i)), F.lit(0)).cast("string") for i in range(LIMBS)]
+    return marked.agg(F.count(F.lit(1)).alias("n_rows"), F.concat_ws("-", *sums).alias("fingerprint"))
 
 
 def fingerprint_value(df: DataFrame, columns: Sequence[str] | None = None) -> str:
-    """The fingerprint as one string, ``rows:digest``."""
+    """The fingerprint as one string, ``rows:digest:names``; the names tell empty sheets with other headers apart."""
     row = table_fingerprint(df, columns).first()
-    return f"{row['n_rows']}:{row['fingerprint']}"
+    names = hashlib.sha256(repr(sorted(columns or df.columns)).encode()).hexdigest()[:16]
+    return f"{row['n_rows']}:{row['fingerprint']}:{names}"

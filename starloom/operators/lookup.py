@@ -14,25 +14,33 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_SHARE = 0.01  # a key with at least this share of the rows is hot, so there are at most 100 hot keys
-SALT_BUCKETS = 512
-SMALL_ROWS = 200_000
+HOT_PARTITIONS = 0.5  # a key is hot from this share of a mean shuffle partition's rows on
+SALTS_PER_PARTITION = 4
 
 
 class LookupMiss(ValueError):
     """A required key could not be resolved."""
 
 
+def shuffle_partitions(spark) -> int:
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def find_hot_keys(
-    df: DataFrame, key_sets: Mapping[str, Sequence[str]], share: float = HOT_SHARE, tracked: int = 4_096
+    df: DataFrame, key_sets: Mapping[str, Sequence[str]], share: float | None = None, tracked: int | None = None
 ) -> dict[str, list[int]]:
     """Hashes of the keys that hold at least ``share`` of the rows, for several keys in one narrow scan.
 
-    A frequent-items sketch of fixed size is merged across tasks, so no key is shuffled and at most
-    ``1/share`` values per key set reach the driver.  The sketch cannot miss a key above its error bound, and a
-    false positive costs nothing: hotness changes the join strategy, never the result.
+    By default the share is measured by what a task gets: half the rows of a mean shuffle partition.  It falls as the
+    session's partitions grow, so that no key fills a task of its own at any size.  A frequent-items sketch, sized for
+    the share, is merged across tasks, so no key is shuffled and at most ``1/share`` values per key set reach the
+    driver.  The sketch cannot miss a key above its error bound, and a false positive costs nothing: hotness changes
+    the join strategy, never the result.
     """
+    if share is None:
+        share = min(1.0, HOT_PARTITIONS / shuffle_partitions(df.sparkSession))
     k = math.ceil(1 / share)
+    tracked = tracked or min(1_000_000, max(4_096, 16 * k))
     sketches = [
         F.expr(f"approx_top_k(xxhash64({', '.join(cols)}), {k}, {tracked})").alias(name)
         for name, cols in key_sets.items()
@@ -42,11 +50,6 @@ def find_hot_keys(
     return {name: [i["item"] for i in (row[name] or []) if i["count"] >= floor] for name in key_sets}
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Broadcast hint only after counting: up to ``max_rows`` rows; a larger frame is returned unhinted."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def lookup(
     left: DataFrame,
     right: DataFrame,
@@ -79,7 +82,8 @@ def lookup(
     zero = F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int")
     many = side.select(*keys, zero.alias("_salt"), F.lit(True).alias("_hit"), *columns)
     spread = list(spread_by or left.columns)
-    salt = F.when(is_hot, F.pmod(F.xxhash64(*spread), F.lit(SALT_BUCKETS)).cast("int") + 1).otherwise(0)
+    salts = SALTS_PER_PARTITION * shuffle_partitions(left.sparkSession)
+    salt = F.when(is_hot, F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int") + 1).otherwise(0)
     joined = (
         left.withColumn("_salt", salt)
         .join(F.broadcast(few), keys, "left")

@@ -7,12 +7,45 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.operators.keys import last_wins
 from starloom.operators.lookup import lookup
 from starloom.operators.merge import MergeResult, insert_only, scd1_upsert
-from starloom.schemas import DIMENSIONS, state_rows
+from starloom.schemas import DIMENSIONS, PRIMARY_KEYS, state_rows
 
 Tables = Mapping[str, DataFrame]
 
+# Registers hold events, not entities: their loads reduce them by their own order.
+REGISTERS = ("registro_contrato", "registro_siniestro", "recomienda", "metas")
+
+
+class UniqueEntities(Mapping[str, DataFrame]):
+    """Source tables in which every entity key occurs once.
+
+    Files enforce no key.  Row after row, the last row of a key would win; files have no order either, so the row that
+    is highest in its other columns stands for the key, the same one for every table that is joined to it.  Rows without
+    a key are left out.  Every lookup side below is therefore unique, and no repeated entity can multiply a fact.
+    """
+
+    def __init__(self, src: Tables):
+        self._src = src
+
+    def __getitem__(self, name: str) -> DataFrame:
+        df = self._src[name]
+        if name in REGISTERS or name not in PRIMARY_KEYS:
+            return df
+        keys = PRIMARY_KEYS[name]
+        return last_wins(df.dropna(subset=keys), keys, [c for c in df.columns if c not in keys])
+
+    def __iter__(self):
+        return iter(self._src)
+
+    def __len__(self) -> int:
+        return len(self._src)
+
+
+def unique_entities(src: Tables) -> Tables:
+    return src if isinstance(src, UniqueEntities) else UniqueEntities(src)
+
 
 def client_rows(src: Tables) -> DataFrame:
     """Clients; their branch is used by the facts and is not kept here."""
@@ -72,7 +105,7 @@ SOURCES: dict[str, Callable[[Tables], DataFrame]] = {
 def load_dimension(name: str, src: Tables, target: DataFrame | None) -> MergeResult:
     """Type-1 load of one natural-key dimension."""
     key, natural, attributes = DIMENSIONS[name]
-    return scd1_upsert(target, SOURCES[name](src), natural, key, attributes)
+    return scd1_upsert(target, SOURCES[name](unique_entities(src)), natural, key, attributes)
 
 
 def load_states(spark, target: DataFrame | None) -> MergeResult:

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from starloom.functions.dates import smart_key, year_end_key, year_start_key
 from starloom.operators.keys import last_wins
-from starloom.operators.lookup import broadcast_if_small, lookup
+from starloom.operators.lookup import lookup
 from starloom.operators.merge import is_empty, merge_fact
+from starloom.plans.dimensions import unique_entities
 from starloom.schemas import FACT_COLUMNS, FACT_KEYS
 
 Tables = Mapping[str, DataFrame]
@@ -46,14 +47,16 @@ def client_keys(src: Tables, dims: Tables) -> DataFrame:
     """One row per client: its key and the key of its branch.  The client join comes last, so that the result is
     already partitioned for the facts that join it on the client."""
     branches = dims["dim_sucursal"].select("cod_sucursal_nk", "sk_dim_sucursal")
-    clients = src["cliente"].select("cod_cliente", "cod_sucursal")
+    clients = unique_entities(src)["cliente"].select("cod_cliente", "cod_sucursal")
     placed = lookup(clients, branches, {"cod_sucursal": "cod_sucursal_nk"}, ["sk_dim_sucursal"])
     return lookup(placed, dims["dim_cliente"], {"cod_cliente": "cod_cliente_nk"}, ["sk_dim_cliente"])
 
 
 def enrich_lines(src: Tables) -> DataFrame:
     """Contract lines with the branch of their client and the unit counters; lines of unknown clients drop out."""
-    lines = lookup(src["registro_contrato"], src["cliente"], ["cod_cliente"], ["cod_sucursal"], "inner")
+    lines = lookup(
+        src["registro_contrato"], unique_entities(src)["cliente"], ["cod_cliente"], ["cod_sucursal"], "inner"
+    )
     return lines.select("*", *_counters())
 
 
@@ -84,7 +87,7 @@ def contract_fact_source(
         hot=_hot(hot, "product"), spread_by=spread,
     )
     keyed = keyed.withColumn("cod_estado", F.upper("estado_contrato"))
-    keyed = lookup(keyed, broadcast_if_small(states), ["cod_estado"], ["sk_dim_estado_contrato"])
+    keyed = lookup(keyed, F.broadcast(states), ["cod_estado"], ["sk_dim_estado_contrato"])
     return keyed.select(
         smart_key(F.col("fecha_inicio")).alias("sk_dim_tiempo_fecha_inicio"),
         smart_key(F.col("fecha_fin")).alias("sk_dim_tiempo_fecha_fin"),
@@ -114,7 +117,7 @@ def claim_source(src: Tables, hot_lines: Hot | None = None, hot_claims: Hot | No
     """One row per (claim, contract) with client, branch and product of the contract's last line."""
     claims = last_wins(src["registro_siniestro"], ["nro_siniestro", "nro_contrato"], _CLAIM_ORDER)
     return lookup(
-        claims, last_line_per_contract(src, src["cliente"], ["cod_sucursal"], hot_lines), ["nro_contrato"],
+        claims, last_line_per_contract(src, unique_entities(src)["cliente"], ["cod_sucursal"], hot_lines), ["nro_contrato"],
         ["cod_cliente", "cod_sucursal", "cod_producto"],
         "inner", hot=_hot(hot_claims, "contract"), spread_by=["nro_siniestro", "nro_contrato"],
     )
@@ -194,7 +197,7 @@ def rating_fact_source(src: Tables, dims: Tables, hot: Hot | None = None) -> Dat
     )
     ratings = dims["dim_evaluacion_servicio"].select("cod_evaluacion_nk", "sk_dim_evaluacion")
     keyed = lookup(
-        keyed, broadcast_if_small(ratings), {"cod_evaluacion_servicio": "cod_evaluacion_nk"}, ["sk_dim_evaluacion"]
+        keyed, ratings, {"cod_evaluacion_servicio": "cod_evaluacion_nk"}, ["sk_dim_evaluacion"]
     )
     flag = F.when(F.upper("recomienda_amigo") == "SI", F.lit(1)).otherwise(F.lit(0)).cast("decimal(5,2)")
     return keyed.select(

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.dates import key_year
-from starloom.operators.lookup import broadcast_if_small
 
 Tables = Mapping[str, DataFrame]
 _EXACT = "decimal(22,2)"  # leaves 16 digits for the quotient before it is rounded
@@ -39,8 +38,8 @@ def response_days(wh: Tables) -> DataFrame:
     closed = days.select(F.col("sk_dim_tiempo").alias("sk_fecha_respuesta"), F.col("fecha_completa").alias("_to"))
     per_dates = wh["fact_registro_siniestro"].groupBy("sk_fecha_siniestro", "sk_fecha_respuesta").agg(
         F.count(F.lit(1)).alias("_n"))
-    dated = per_dates.join(broadcast_if_small(opened), "sk_fecha_siniestro").join(
-        broadcast_if_small(closed), "sk_fecha_respuesta")
+    dated = per_dates.join(opened, "sk_fecha_siniestro").join(
+        closed, "sk_fecha_respuesta")
     total = F.sum((F.datediff("_to", "_from") * F.col("_n")).cast("decimal(28,2)"))
     return dated.agg(_ratio(total, F.sum("_n"), 2).alias("dias_promedio_respuesta"))
 
@@ -75,7 +74,7 @@ def rating_recommend(wh: Tables) -> DataFrame:
     ratings = wh["dim_evaluacion_servicio"].select(
         F.col("sk_dim_evaluacion").alias("sk_dim_evaluacion_servicio"), "cod_evaluacion_nk")
     products = wh["dim_producto"].select("sk_dim_producto", "nb_producto")
-    named = per_key.join(broadcast_if_small(ratings), "sk_dim_evaluacion_servicio").join(products, "sk_dim_producto")
+    named = per_key.join(ratings, "sk_dim_evaluacion_servicio").join(products, "sk_dim_producto")
     points = F.sum(F.col("cod_evaluacion_nk") * F.col("_n"))
     means = named.groupBy("nb_producto").agg(
         _ratio(points, F.sum("_n"), 2).alias("calificacion_promedio"),
@@ -205,8 +204,8 @@ def _dated_claims(wh: Tables) -> DataFrame:
     claim = wh["dim_siniestro"].select("sk_dim_siniestro", "nro_siniestro_nk")
     return (
         wh["fact_registro_siniestro"].join(claim, "sk_dim_siniestro").join(_contract(wh), "sk_dim_contrato")
-        .join(broadcast_if_small(opened), "sk_fecha_siniestro")
-        .join(broadcast_if_small(closed), "sk_fecha_respuesta", "left")
+        .join(opened, "sk_fecha_siniestro")
+        .join(closed, "sk_fecha_respuesta", "left")
     )
 
 
@@ -234,7 +233,7 @@ def rating_detail(wh: Tables, where: Column | None = None) -> DataFrame:
         F.col("sk_dim_evaluacion").alias("sk_dim_evaluacion_servicio"), "cod_evaluacion_nk", "nb_descrip")
     star = (
         wh["fact_evaluacion_servicio"].join(_client(wh), "sk_dim_cliente").join(_product(wh), "sk_dim_producto")
-        .join(broadcast_if_small(ratings), "sk_dim_evaluacion_servicio")
+        .join(ratings, "sk_dim_evaluacion_servicio")
     )
     star = star if where is None else star.where(where)
     return star.select("nb_cliente", "nb_producto", "cod_evaluacion_nk", "nb_descrip", "recomienda_amigo")

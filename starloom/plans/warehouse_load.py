@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.operators.calendar import DEFAULT_FIRST_DAY, DEFAULT_LAST_DAY, extend_calendar
-from starloom.operators.lookup import broadcast_if_small, find_hot_keys
+from starloom.operators.lookup import find_hot_keys
 from starloom.operators.merge import is_empty, merge_fact, merge_metrics
 from starloom.plans import dimensions, facts
 from starloom.schemas import DIMENSIONS, FACT_DATES, FACT_KEYS, FACT_REQUIRED
@@ -53,7 +53,7 @@ def _run(jobs: Mapping[str, Callable[[], object]], workers: int) -> dict[str, ob
 def _checked_write(load: Load, name: str, df: DataFrame, calendar: DataFrame) -> DataFrame:
     """Write a fact and count its unresolved keys and its dates outside the calendar in the same pass."""
     seen = Observation(f"{name}-keys")
-    days = broadcast_if_small(calendar.select("sk_dim_tiempo"))
+    days = calendar.select("sk_dim_tiempo")
     flagged, checks = df, []
     for i, column in enumerate(FACT_DATES[name]):
         known = days.select(F.col("sk_dim_tiempo").alias(column), F.lit(True).alias(f"_day{i}"))
@@ -64,6 +64,9 @@ def _checked_write(load: Load, name: str, df: DataFrame, calendar: DataFrame) ->
     observed = flagged.observe(seen, *checks).select(*df.columns)
     written = load.write(name, observed)
     broken = {k: v for k, v in seen.get.items() if v}
+    keys = written.groupBy(*FACT_KEYS[name]).count().where("count > 1")  # the written key columns alone
+    if not is_empty(keys):
+        broken["repeated fact keys"] = keys.count()
     if broken:
         raise LoadAborted(f"{name}: {broken}")
     return written
@@ -186,6 +189,7 @@ def run_load(
     try:
         if src.get("metas") is not None:
             src = {**src, "metas": load.write("stg_metas", src["metas"])}
+        src = dimensions.unique_entities(src)
         dims, hot = load_dimensions(
             spark, src, load, before, first_day, last_day, metrics, workers, measure_hot=balance_hot_keys)
         load_facts(src, dims, load, before, hot, metrics, workers, with_metrics, trust_primary_keys)

@@ -11,34 +11,34 @@ MONEY = "decimal(18,2)"
 
 # Column names and types of the source tables and of the goals staging table.
 SOURCE_COLUMNS = {
-    "pais": {"cod_pais": "int", "nb_pais": "string"},
-    "ciudad": {"cod_ciudad": "int", "nb_ciudad": "string", "cod_pais": "int"},
-    "sucursal": {"cod_sucursal": "int", "nb_sucursal": "string", "cod_ciudad": "int"},
-    "tipo_producto": {"cod_tipo_producto": "int", "nb_tipo_producto": "string"},
+    "pais": {"cod_pais": "long", "nb_pais": "string"},
+    "ciudad": {"cod_ciudad": "long", "nb_ciudad": "string", "cod_pais": "long"},
+    "sucursal": {"cod_sucursal": "long", "nb_sucursal": "string", "cod_ciudad": "long"},
+    "tipo_producto": {"cod_tipo_producto": "long", "nb_tipo_producto": "string"},
     "producto": {
-        "cod_producto": "int", "nb_producto": "string", "descripcion": "string", "calificacion": "decimal(3,2)",
-        "cod_tipo_producto": "int",
+        "cod_producto": "long", "nb_producto": "string", "descripcion": "string", "calificacion": "decimal(3,2)",
+        "cod_tipo_producto": "long",
     },
     "cliente": {
-        "cod_cliente": "int", "nb_cliente": "string", "ci_rif": "string", "telefono": "string", "direccion": "string",
-        "sexo": "string", "email": "string", "cod_sucursal": "int",
+        "cod_cliente": "long", "nb_cliente": "string", "ci_rif": "string", "telefono": "string", "direccion": "string",
+        "sexo": "string", "email": "string", "cod_sucursal": "long",
     },
-    "evaluacion_servicio": {"cod_evaluacion_servicio": "int", "nb_descripcion": "string"},
-    "contrato": {"nro_contrato": "int", "descrip_contrato": "string"},
-    "siniestro": {"nro_siniestro": "int", "descripcion_siniestro": "string"},
+    "evaluacion_servicio": {"cod_evaluacion_servicio": "long", "nb_descripcion": "string"},
+    "contrato": {"nro_contrato": "long", "descrip_contrato": "string"},
+    "siniestro": {"nro_siniestro": "long", "descripcion_siniestro": "string"},
     "recomienda": {
-        "cod_cliente": "int", "cod_evaluacion_servicio": "int", "cod_producto": "int", "recomienda_amigo": "string",
+        "cod_cliente": "long", "cod_evaluacion_servicio": "long", "cod_producto": "long", "recomienda_amigo": "string",
     },
     "registro_contrato": {
-        "nro_contrato": "int", "cod_producto": "int", "cod_cliente": "int", "fecha_inicio": "date",
+        "nro_contrato": "long", "cod_producto": "long", "cod_cliente": "long", "fecha_inicio": "date",
         "fecha_fin": "date", "monto": MONEY, "estado_contrato": "string",
     },
     "registro_siniestro": {
-        "nro_siniestro": "int", "nro_contrato": "int", "fecha_siniestro": "date", "fecha_respuesta": "date",
+        "nro_siniestro": "long", "nro_contrato": "long", "fecha_siniestro": "date", "fecha_respuesta": "date",
         "id_rechazo": "string", "monto_reconocido": MONEY, "monto_solicitado": MONEY,
     },
     "metas": {
-        "anio": "int", "cod_producto": "int", "monto_meta_ingreso": MONEY, "meta_renovacion": "int",
+        "anio": "int", "cod_producto": "long", "monto_meta_ingreso": MONEY, "meta_renovacion": "int",
         "meta_asegurados": "int", "fecha_carga": "timestamp",
     },
 }

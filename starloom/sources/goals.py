@@ -13,7 +13,7 @@ GOAL_COLUMNS = ["anio", "cod_producto", "monto_meta_ingreso", "meta_renovacion",
 GOAL_KEY = ["anio", "cod_producto"]
 FIRST_YEAR, LAST_YEAR = 2000, 2100
 GOAL_TYPES = {
-    "anio": "int", "cod_producto": "int", "monto_meta_ingreso": "decimal(18,2)", "meta_renovacion": "int",
+    "anio": "int", "cod_producto": "long", "monto_meta_ingreso": "decimal(18,2)", "meta_renovacion": "int",
     "meta_asegurados": "int",
 }
 CHECK_ORDER = ["columns", "empty", "null", "type", "range", "negative", "duplicate", "product", "calendar"]
@@ -43,7 +43,13 @@ def normalise_goals(raw: DataFrame) -> DataFrame:
 
 
 def _typed(column: str):
-    return F.expr(f"try_cast(trim({column}) AS {GOAL_TYPES[column]})")
+    """The value of a text, NULL if it has none of the type.  Whole numbers may be written 2024.0 or 2.024E3; fractions
+    are refused, not cut."""
+    kind = GOAL_TYPES[column]
+    if kind.startswith("decimal"):
+        return F.expr(f"try_cast(trim({column}) AS {kind})")
+    number = f"try_cast(trim({column}) AS decimal(38,10))"
+    return F.expr(f"CASE WHEN {number} = floor({number}) THEN try_cast(floor({number}) AS {kind}) END")
 
 
 def goal_violations(goals: DataFrame, products: DataFrame | None = None, calendar: DataFrame | None = None) -> DataFrame:
@@ -62,7 +68,7 @@ def goal_violations(goals: DataFrame, products: DataFrame | None = None, calenda
     found = found.unionByName(q.unique_violations(keys, "metas", q.UniqueRule("duplicate:anio,cod_producto", GOAL_KEY)))
     if products is not None:
         counted = keys.dropna().groupBy(*GOAL_KEY).agg(F.count(F.lit(1)).alias("n"))
-        known = products.select(F.col("cod_producto_nk").cast("int").alias("cod_producto"))
+        known = products.select(F.col("cod_producto_nk").cast("long").alias("cod_producto"))
         unknown = counted.join(known, "cod_producto", "left_anti")
         found = found.unionByName(unknown.select(
             F.lit("product:cod_producto").alias("rule"), F.lit("metas").alias("table_name"),

@@ -62,9 +62,9 @@ class WarehouseStore:
         rows = self.log().where(F.col("stream") == stream)
         return rows.agg(F.coalesce(F.max("batch_id"), F.lit(-1))).first()[0]
 
-    def last_fingerprint(self) -> str | None:
-        """Fingerprint of the snapshot handled last, whether it was loaded or refused."""
-        rows = self.log().where("fingerprint IS NOT NULL")
+    def last_fingerprint(self, stream: str) -> str | None:
+        """Fingerprint of the snapshot of a stream handled last, whether it was loaded or refused."""
+        rows = self.log().where(F.col("fingerprint").isNotNull() & (F.col("stream") == stream))
         return rows.agg(F.max_by("fingerprint", F.struct("recorded_at", "batch_id"))).first()[0]
 
     def open_load(self) -> "Load":
@@ -99,6 +99,10 @@ class PublishedTables(Mapping[str, DataFrame]):
         return len(self._paths)
 
 
+class VersionMoved(RuntimeError):
+    """Another load published since this one was opened."""
+
+
 class Load:
     """Tables of one unpublished version."""
 
@@ -122,6 +126,8 @@ class Load:
 
     def publish(self, origin: "Origin | None" = None) -> int:
         """Make the written tables, plus the untouched ones of the previous version, the current version."""
+        if self.store.version() != self.version - 1:
+            raise VersionMoved(f"version {self.version} was published by another load; this one must start again")
         stream, batch_id, fingerprint = (origin.stream, origin.batch_id, origin.fingerprint) if origin else (None,) * 3
         tables = {**self.previous, **self.written}
         self.store.record([

@@ -1,178 +1,67 @@
-"""A small hand-made warehouse source with known KPI values.
-
-Names are made up by rule; the numbers below are fixed values, because the golden results depend on them.
-"""
+"""A small warehouse source made up by rule; expected results are worked out by SQL over the same rows."""
 
+import datetime as dt
 import tempfile
 
+import duckdb
+import pandas as pd
 from pyspark.sql import functions as F
 
-from starloom.schemas import fit_schema
-
-# Branch of each client 1..25, type of each product 1..10.
-CLIENT_BRANCH = [1, 3, 2, 4, 5, 3, 2, 6, 7, 1, 1, 1, 2, 2, 3, 3, 4, 4, 5, 6, 7, 8, 8, 8, 8]
-PRODUCT_TYPE = [2, 2, 3, 3, 4, 4, 1, 2, 1, 2]
-TYPE_NAMES = ["PRESTACIÓN DE SERVICIOS", "PERSONALES", "DAÑOS", "PATRIMONIALES"]
-RATING_NAMES = ["MALO", "REGULAR", "BUENO", "MUY BUENO", "EXCELENTE"]
-
-# Contract lines as product, client, start, end, amount, state; the contract number is the position.
-CONTRACT_LINES = """
-2 1 2024-01-01 2024-12-31 1200.00 ACTIVO
-3 2 2023-06-15 2024-06-15 450.00 ACTIVO
-6 3 2023-02-10 2024-02-10 2500.00 VENCIDO
-8 7 2024-03-01 2025-03-01 800.00 ACTIVO
-7 5 2023-11-20 2024-11-20 150.00 ACTIVO
-5 4 2022-05-10 2023-05-10 300.00 VENCIDO
-1 6 2024-04-01 2024-10-01 200.00 SUSPENDIDO
-10 9 2024-05-15 2024-06-15 120.00 ACTIVO
-4 10 2023-08-01 2024-08-01 180.00 ACTIVO
-9 8 2024-01-15 2024-12-31 600.00 ACTIVO
-1 23 2026-11-21 2027-05-21 452.73 VENCIDO
-3 15 2022-12-11 2023-06-11 831.41 ACTIVO
-2 14 2025-04-18 2026-04-18 1239.25 VENCIDO
-8 19 2025-03-09 2026-03-09 878.58 ACTIVO
-2 6 2024-02-15 2026-02-15 1182.18 ACTIVO
-7 18 2024-11-18 2025-05-18 282.98 ACTIVO
-4 3 2026-04-06 2027-04-06 454.83 SUSPENDIDO
-5 12 2024-04-28 2025-04-28 1663.42 SUSPENDIDO
-5 10 2023-03-13 2023-09-13 1745.46 ACTIVO
-2 5 2024-05-26 2025-05-26 1435.09 VENCIDO
-1 6 2026-12-24 2028-12-24 777.41 ACTIVO
-3 20 2022-08-05 2023-08-05 870.33 ACTIVO
-8 14 2023-01-19 2025-01-19 717.12 ACTIVO
-7 25 2023-06-02 2023-12-02 220.64 ACTIVO
-5 13 2024-09-28 2026-09-28 925.86 ACTIVO
-9 24 2025-09-03 2026-09-03 114.25 SUSPENDIDO
-5 21 2026-02-22 2027-02-22 1169.74 ACTIVO
-8 9 2025-10-08 2027-10-08 1173.31 VENCIDO
-1 18 2024-10-03 2025-10-03 774.98 VENCIDO
-6 7 2026-10-17 2027-10-17 4315.46 VENCIDO
-1 10 2023-04-22 2024-04-22 548.89 ACTIVO
-2 24 2024-07-05 2025-07-05 1667.25 ACTIVO
-4 9 2025-02-01 2026-02-01 503.62 ACTIVO
-6 24 2023-10-04 2024-04-04 3314.84 VENCIDO
-5 17 2025-09-09 2026-09-09 1693.93 ACTIVO
-2 16 2022-02-08 2023-02-08 1434.73 VENCIDO
-4 11 2025-08-27 2027-08-27 533.27 VENCIDO
-7 25 2024-10-26 2026-10-26 127.27 ACTIVO
-1 12 2025-09-10 2026-03-10 927.02 SUSPENDIDO
-10 3 2023-03-09 2023-09-09 1050.52 ACTIVO
-7 13 2025-12-18 2026-12-18 170.12 ACTIVO
-2 4 2023-10-07 2024-10-07 1324.86 ACTIVO
-7 23 2026-11-28 2027-11-28 207.88 ACTIVO
-3 1 2022-05-28 2022-11-28 704.76 ACTIVO
-10 20 2023-07-27 2024-07-27 517.77 VENCIDO
-6 7 2024-06-25 2025-06-25 3565.53 SUSPENDIDO
-2 4 2024-05-06 2025-05-06 1794.77 VENCIDO
-5 2 2025-07-18 2026-01-18 880.76 VENCIDO
-3 22 2022-12-05 2024-12-05 659.18 SUSPENDIDO
-9 5 2026-06-19 2028-06-19 124.99 VENCIDO
-4 15 2022-03-02 2023-03-02 411.27 ACTIVO
-8 16 2025-01-12 2026-01-12 1248.17 ACTIVO
-3 8 2024-11-04 2025-11-04 1261.89 ACTIVO
-7 23 2022-07-20 2023-07-20 275.97 ACTIVO
-10 17 2023-04-28 2024-04-28 1105.01 SUSPENDIDO
-2 23 2025-03-14 2025-09-14 1292.14 ACTIVO
-9 15 2026-06-26 2027-06-26 213.30 ACTIVO
-8 14 2024-12-26 2025-12-26 893.12 ACTIVO
-1 19 2022-12-04 2023-12-04 890.97 ACTIVO
-7 6 2024-08-08 2025-08-08 258.29 SUSPENDIDO
-"""
-
-# Claims as contract, claim date, response date or -, rejected, recognised or -, requested.
-CLAIMS = """
-2 2023-09-10 2023-09-15 NO 800.00 850.00
-1 2024-02-05 2024-02-12 NO 2500.00 2500.00
-6 2022-12-24 2023-01-10 SI 0.00 5000.00
-5 2024-01-08 2024-01-08 NO 50.00 50.00
-6 2023-03-15 2023-03-20 NO 1200.00 1500.00
-8 2024-05-20 2024-05-25 NO 400.00 400.00
-10 2024-03-10 2024-03-11 NO 80.00 100.00
-9 2024-01-15 2024-02-01 SI 0.00 300.00
-3 2023-11-05 2023-11-30 NO 15000.00 18000.00
-1 2024-04-18 - NO - 1200.00
-31 2023-10-28 2023-11-05 NO 1765.81 2007.30
-29 2024-11-17 2024-11-26 NO 1466.99 1567.46
-3 2023-12-11 2023-12-15 NO 772.06 842.75
-36 2022-03-09 - NO - 2207.35
-42 2024-05-27 2024-06-13 SI 0.00 2706.55
-22 2022-12-23 - NO - 1598.17
-53 2025-02-22 2025-02-25 NO 2559.98 2768.65
-17 2026-09-16 2026-09-30 NO 1927.29 2115.85
-33 2025-09-14 2025-09-27 NO 2507.32 2716.19
-25 2025-05-03 2025-05-04 NO 664.00 693.73
-35 2026-03-02 2026-03-17 NO 1507.75 1572.63
-34 2023-11-26 2023-12-16 NO 2346.87 2469.80
-43 2027-04-02 2027-04-07 SI 0.00 794.94
-1 2024-05-18 2024-06-06 SI 0.00 2113.35
-1 2024-11-01 2024-11-02 NO 2533.10 2592.49
-52 2025-05-14 2025-05-31 NO 1679.43 1707.62
-14 2025-11-07 - NO - 1630.91
-57 2027-02-17 2027-03-06 NO 2425.71 2728.02
-45 2024-04-05 2024-04-13 NO 850.19 889.75
-9 2024-05-26 2024-05-29 NO 663.14 764.72
-"""
-
-# Ratings as client, rating, product, recommends.
-RATINGS = """
-1 4 2 SI
-2 5 3 SI
-3 2 6 NO
-4 3 5 SI
-5 5 7 SI
-6 1 1 NO
-7 4 8 SI
-8 3 9 SI
-9 5 10 SI
-10 2 4 NO
-18 2 1 NO
-3 4 1 SI
-11 4 2 SI
-3 3 2 SI
-14 5 2 SI
-1 5 3 SI
-23 4 3 SI
-25 4 4 NO
-12 5 4 SI
-24 5 5 SI
-18 3 5 SI
-20 4 5 SI
-13 5 6 SI
-1 5 7 SI
-18 4 7 SI
-20 4 7 NO
-2 3 8 SI
-6 4 8 SI
-13 3 9 NO
-16 1 10 NO
-3 5 10 SI
-14 4 10 SI
-21 2 1 SI
-7 4 1 SI
-19 3 4 NO
-"""
-
-
-def _cells(text):
-    return [[None if c == "-" else c for c in line.split()] for line in text.strip().splitlines()]
+from starloom.schemas import PRODUCT_TYPES, RATING_LABELS, fit_schema
+
+
+def _contract_lines():
+    """Sixty contracts: product and client by different strides, so that some pairs repeat."""
+    states = ["ACTIVO", "VENCIDO", "ACTIVO", "SUSPENDIDO", "ACTIVO"]
+    for i in range(1, 61):
+        start = dt.date(2022, 1, 1) + dt.timedelta(days=97 * i % 1500)
+        end = start + dt.timedelta(days=365 * (1 + i % 2))
+        amount = 100 + 137 * i % 2900 + (i % 4) / 4
+        yield [i, 1 + 7 * i % 10, 1 + 11 * i % 25, start.isoformat(), end.isoformat(), f"{amount:.2f}", states[i % 5]]
+
+
+def _claims(lines):
+    """Thirty claims; every sixth is open (numbers 4, 10, …), every seventh of the others rejected."""
+    for i in range(1, 31):
+        contract = 1 + 13 * i % 60
+        day = dt.date.fromisoformat(lines[contract - 1][3]) + dt.timedelta(days=30 + 17 * i % 200)
+        asked = 200 + 61 * i
+        if i % 6 == 4:
+            yield [i, contract, day.isoformat(), None, "NO", None, f"{asked:.2f}"]
+        else:
+            closed = day + dt.timedelta(days=5 * i % 23)
+            given = 0 if i % 7 == 0 else asked * 0.9
+            yield [i, contract, day.isoformat(), closed.isoformat(), "SI" if i % 7 == 0 else "NO", f"{given:.2f}", f"{asked:.2f}"]
+
+
+def _ratings(lines):
+    """Thirty-five ratings: even ones of products that the client has a contract for, odd ones by stride."""
+    seen = set()
+    for i in range(1, 36):
+        client, product = (lines[i][2], lines[i][1]) if i % 2 == 0 else (1 + 7 * i % 25, 1 + 3 * i % 10)
+        rating = 1 + 3 * i % 5
+        if (client, product, rating) not in seen:
+            seen.add((client, product, rating))
+            yield [client, rating, product, "SI" if rating >= 3 else "NO"]
 
 
 def source_rows():
-    """Rows of the twelve source tables as lists of strings."""
+    """Rows of the twelve source tables."""
+    lines = list(_contract_lines())
     rows = {
         "pais": [[i, f"Country {i}"] for i in range(1, 5)],
-        "ciudad": [[i, f"City {i}", c] for i, c in enumerate([1, 1, 1, 2, 2, 3, 4], 1)],
-        "sucursal": [[i, f"Branch {i}", c] for i, c in enumerate([1, 1, 2, 3, 4, 5, 6, 7], 1)],
-        "tipo_producto": [[i, n] for i, n in enumerate(TYPE_NAMES, 1)],
-        "producto": [[i, f"Product {i}", f"Cover {i}", 1 + i % 5, t] for i, t in enumerate(PRODUCT_TYPE, 1)],
+        "ciudad": [[i, f"City {i}", c] for i, c in enumerate([1, 2, 3, 4, 1, 2, 3], 1)],
+        "sucursal": [[i, f"Branch {i}", 1 + i % 7] for i in range(1, 9)],
+        "tipo_producto": [[i, n] for i, n in enumerate(PRODUCT_TYPES, 1)],
+        "producto": [[i, f"Product {i}", f"Cover {i}", 1 + i % 5, 1 + i % 4] for i in range(1, 11)],
         "cliente": [
-            [i, f"Client {i}", f"ID-{i:05d}", f"555-{i:04d}", f"Street {i}", "MF"[i % 2], f"client{i}@example.org", b]
-            for i, b in enumerate(CLIENT_BRANCH, 1)
+            [i, f"Client {i}", f"ID-{i:05d}", f"555-{i:04d}", f"Street {i}", "MF"[i % 2], f"client{i}@example.org", 1 + i % 8]
+            for i in range(1, 26)
         ],
-        "evaluacion_servicio": [[i, n] for i, n in enumerate(RATING_NAMES, 1)],
-        "registro_contrato": [[i, *cells] for i, cells in enumerate(_cells(CONTRACT_LINES), 1)],
-        "registro_siniestro": [[i, *cells] for i, cells in enumerate(_cells(CLAIMS), 1)],
-        "recomienda": _cells(RATINGS),
+        "evaluacion_servicio": [list(pair) for pair in sorted(RATING_LABELS.items())],
+        "registro_contrato": lines,
+        "registro_siniestro": list(_claims(lines)),
+        "recomienda": list(_ratings(lines)),
     }
     rows["contrato"] = [[i, f"Contract {i}"] for i in range(1, len(rows["registro_contrato"]) + 1)]
     rows["siniestro"] = [[i, f"Claim {i}"] for i in range(1, len(rows["registro_siniestro"]) + 1)]
@@ -214,16 +103,34 @@ def goals(spark):
     return frame(spark, "metas", rows)
 
 
-def changed_source(spark):
-    """The source after the rehearsal batch: one new client, contract, claim and rating, one expired contract, one
-    resolved claim."""
+def changed_rows():
+    """The source after a change batch: one new client, contract, claim and rating, one expired contract, one resolved
+    claim."""
     rows = source_rows()
     rows["cliente"].append([26, "Client 26", "ID-00026", "555-0026", "Street 26", "M", "client26@example.org", 1])
     rows["contrato"].append([61, "Contract 61"])
-    rows["registro_contrato"].append([61, 2, 26, "2026-07-11", "2027-07-11", "5000.00", "ACTIVO"])
-    rows["registro_contrato"][0][-1] = "VENCIDO"
+    rows["registro_contrato"].append([61, 3, 26, "2026-02-03", "2027-02-03", "4100.50", "ACTIVO"])
+    rows["registro_contrato"][1][-1] = "VENCIDO"
     rows["siniestro"].append([31, "Claim 31"])
-    rows["registro_siniestro"].append([31, 61, "2026-08-01", "2026-08-10", "SI", "0.00", "1200.00"])
-    rows["registro_siniestro"][9][3:6] = ["2026-07-20", "NO", "1150.00"]
-    rows["recomienda"].append([26, 2, 2, "NO"])
-    return source(spark, rows)
+    rows["registro_siniestro"].append([31, 61, "2026-03-04", "2026-03-25", "SI", "0.00", "900.00"])
+    rows["registro_siniestro"][9][3:6] = ["2026-05-06", "NO", "700.00"]
+    rows["recomienda"].append([26, 2, 3, "NO"])
+    return rows
+
+
+def changed_source(spark):
+    return source(spark, changed_rows())
+
+
+def sql(rows, query):
+    """A query over fixture rows, answered by an engine that shares nothing with the library."""
+    from starloom.schemas import SOURCE_COLUMNS
+
+    with duckdb.connect() as db:
+        for table, data in rows.items():
+            names = [c for c in SOURCE_COLUMNS[table] if c != "fecha_carga"]
+            text = pd.DataFrame([[None if c is None else str(c) for c in row] for row in data], columns=names, dtype="object")
+            kinds = ", ".join(f"CAST({c} AS {SOURCE_COLUMNS[table][c]}) AS {c}" for c in names)
+            db.register(f"text_{table}", text)
+            db.execute(f"CREATE TABLE {table} AS SELECT {kinds} FROM text_{table}")
+        return db.execute(query).fetchall()

@@ -192,7 +192,7 @@ def test_infrastructure_errors_propagate_and_the_batch_is_retried(spark, watched
 
     with pytest.raises(StreamingQueryException):
         run(store, announced_snapshots(spark, landing), state, refresh=broken)
-    assert store.version() == 1 and store.last_fingerprint() is None
+    assert store.version() == 1 and store.last_fingerprint(state) is None
     run(store, announced_snapshots(spark, landing), state)
     assert store.version() == 2
 
@@ -221,3 +221,34 @@ def test_read_goals_keeps_text(spark, tmp_path):
 def test_refresh_needs_dimensions(spark, tmp_path):
     with pytest.raises(Exception, match="dim_producto"):
         refresh_goals(WarehouseStore(spark, str(tmp_path)), goals(spark))
+
+
+def test_whole_numbers_may_have_a_point(spark):
+    good = sheet(spark, [("1", "2024.0", "7", "10", "3.000", "4E0"), ("2", "2.024E3", "8000000000", "1", "1", "1")])
+    typed = [tuple(r) for r in typed_goals(normalise_goals(good)).collect()]
+    assert [(r[0], r[1], r[3], r[4]) for r in typed] == [(2024, 7, 3, 4), (2024, 8_000_000_000, 1, 1)]
+    products = spark.createDataFrame([(7,), (8_000_000_000,)], "cod_producto_nk LONG")
+    assert goal_violations(normalise_goals(good), products).count() == 0
+    bad = sheet(spark, [("1", "2024.5", "1", "1", "1", "NaN")])
+    assert {r["rule"] for r in goal_violations(normalise_goals(bad)).collect()} == {"type:anio", "type:meta_asegurados"}
+
+
+def test_damaged_json_and_missing_columns_are_errors(spark, tmp_path):
+    (tmp_path / "j").mkdir()
+    (tmp_path / "j" / "a.json").write_text('{"cod_pais": 1, "nb_pais": "A"}\n{"cod_pais": "x7", "nb_pais": "B"}\n')
+    with pytest.raises(Exception, match="(?i)malformed|FAILFAST"):
+        read_table(spark, "pais", str(tmp_path / "j"), "json").collect()
+    spark.createDataFrame([(1,)], "cod_pais INT").write.parquet(str(tmp_path / "p"))
+    with pytest.raises(ValueError, match="nb_pais"):
+        read_table(spark, "pais", str(tmp_path / "p"))
+    (tmp_path / "c.csv").write_text("nb_pais,cod_pais\nA,1\n")
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        read_table(spark, "pais", str(tmp_path / "c.csv"), "csv").collect()
+    spark.createDataFrame([(2**40, "far")], "cod_pais LONG, nb_pais STRING").write.parquet(str(tmp_path / "l"))
+    assert read_table(spark, "pais", str(tmp_path / "l")).first()["cod_pais"] == 2**40
+
+
+def test_streams_do_not_share_their_history(spark, tmp_path):
+    store = WarehouseStore(spark, str(tmp_path / "s"))
+    store.reject("one", 0, "3:abc", "bad")
+    assert store.last_fingerprint("one") == "3:abc" and store.last_fingerprint("two") is None

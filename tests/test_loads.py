@@ -10,7 +10,7 @@ from starloom.operators import quality as q
 from starloom.plans import facts, kpis
 from starloom.plans.warehouse_load import LoadAborted, refresh_goals, reset_scope, run_load
 from starloom.schemas import source_rules, warehouse_rules
-from starloom.sources.store import WarehouseStore
+from starloom.sources.store import VersionMoved, WarehouseStore
 
 
 def rows(df):
@@ -28,6 +28,12 @@ def base(spark, tmp_path_factory):
     return store
 
 
+def without_contract(tables):
+    """Ratings of a client and product that have no contract together."""
+    pairs = {(r[2], r[1]) for r in tables["registro_contrato"]}
+    return sum((r[0], r[2]) not in pairs for r in tables["recomienda"])
+
+
 def fork(spark, base, folder):
     """A store of its own that starts from the base version."""
     store = WarehouseStore(spark, str(folder))
@@ -39,16 +45,17 @@ def fork(spark, base, folder):
 
 def test_claim_fan_out_keeps_the_highest_line(spark, base):
     tables = source_rows()
-    tables["registro_contrato"].append([1, 9, 20, "2024-01-01", "2024-12-31", "1.00", "ACTIVO"])
+    tables["registro_contrato"].append([14, 9, 20, "2024-01-01", "2024-12-31", "1.00", "ACTIVO"])
     src, dims = frames(spark, tables), base.tables()
     fact = facts.claim_fact_source(src, dims)
     assert fact.count() == 30
     client = dims["dim_cliente"].where("cod_cliente_nk = 20").first()["sk_dim_cliente"]
     product = dims["dim_producto"].where("cod_producto_nk = 9").first()["sk_dim_producto"]
-    contract = dims["dim_contrato"].where("nro_contrato_nk = 1").first()["sk_dim_contrato"]
+    contract = dims["dim_contrato"].where("nro_contrato_nk = 14").first()["sk_dim_contrato"]
     assert rows(fact.where(F.col("sk_dim_contrato") == contract).select("sk_dim_cliente", "sk_dim_producto").distinct()) == [(client, product)]
     counts = {k: v.first()[0] for k, v in facts.source_row_counts(src).items()}
-    assert counts["fact_registro_siniestro"] == 30 + 4  # contract 1 has four claims and now two lines
+    doubled = sum(claim[1] == 14 for claim in tables["registro_siniestro"])
+    assert doubled and counts["fact_registro_siniestro"] == 30 + doubled  # contract 14 has two lines now
 
 
 def test_skewed_load_equals_plain_load(spark, base):
@@ -64,12 +71,13 @@ def test_skewed_load_equals_plain_load(spark, base):
 
 def test_ratings_of_one_pair_and_null_recommendation(spark, base):
     tables = source_rows()
-    tables["recomienda"] += [[1, 5, 2, None], [1, 2, 2, "SI"]]
+    product, client = tables["registro_contrato"][1][1:3]
+    tables["recomienda"] += [[client, 5, product, None], [client, 2, product, "SI"]]
     fact = facts.rating_fact_source(frames(spark, tables), base.tables())
     wh = {**base.tables(), "fact_evaluacion_servicio": fact}
-    assert rows(kpis.rating_detail(wh, F.col("nb_cliente") == "Client 1").where("nb_producto = 'Product 2'")) == [
-        ("Client 1", "Product 2", 5, "EXCELENTE", Decimal("0.00"))]
-    assert facts.rejected_ratings(frames(spark, tables)).count() == 20
+    assert rows(kpis.rating_detail(wh, F.col("nb_cliente") == f"Client {client}").where(f"nb_producto = 'Product {product}'")) == [
+        (f"Client {client}", f"Product {product}", 5, "EXCELENTE", Decimal("0.00"))]
+    assert facts.rejected_ratings(frames(spark, tables)).count() == without_contract(tables)
 
 
 def test_lower_case_state_is_resolved_and_lower_case_rejection_is_not_counted(spark, base):
@@ -80,7 +88,7 @@ def test_lower_case_state_is_resolved_and_lower_case_rejection_is_not_counted(sp
     assert facts.contract_fact_source(src, dims).where("sk_dim_estado_contrato IS NULL").count() == 0
     assert q.violations(src, [source_rules("registro_siniestro")]).count() == 0
     wh = {**dims, "fact_registro_siniestro": facts.claim_fact_source(src, dims)}
-    assert kpis.rejected_share(wh).first()["rechazados"] == 4
+    assert kpis.rejected_share(wh).first()["rechazados"] == sum(r[4] == "SI" for r in tables["registro_siniestro"])
 
 
 def test_deleted_contract_leaves_the_fact_but_not_the_dimension(spark, base, tmp_path):
@@ -196,7 +204,7 @@ def test_scoped_reset(spark, base):
     counts = {n: after[n].count() for n in ("dim_cliente", "dim_contrato", "dim_siniestro", "fact_registro_contrato",
                                             "fact_registro_siniestro", "fact_evaluacion_servicio")}
     assert counts == {"dim_cliente": 24, "dim_contrato": 58, "dim_siniestro": 26, "fact_registro_contrato": 58,
-                      "fact_registro_siniestro": 26, "fact_evaluacion_servicio": 13}
+                      "fact_registro_siniestro": 26, "fact_evaluacion_servicio": wh["fact_evaluacion_servicio"].where("sk_dim_cliente <> 1").count()}
 
 
 def test_fixture_breaks_no_rule(spark, base):
@@ -213,7 +221,7 @@ def test_source_rules_find_planted_errors(spark):
     tables["cliente"][2][2] = tables["cliente"][3][2]
     tables["producto"][0][3] = "6.00"
     tables["evaluacion_servicio"][0][1] = "BUENO"
-    tables["registro_contrato"][0][4] = "2023-01-01"
+    tables["registro_contrato"][0][4] = "2021-01-01"
     tables["registro_contrato"][1][2] = 999
     tables["registro_siniestro"].append(tables["registro_siniestro"][0])
     tables["tipo_producto"][0][1] = "OTROS"
@@ -230,5 +238,30 @@ def test_metrics_frame(spark, base, tmp_path):
     report = run_load(fork(spark, base, tmp_path), source(spark))
     table = {r["table_name"]: r for r in report.frame(spark).collect()}
     assert len(table) == 12
-    assert table["fact_evaluacion_servicio"]["discarded"] == 20
+    assert table["fact_evaluacion_servicio"]["discarded"] == without_contract(source_rows())
     assert table["fact_registro_siniestro"]["matched"] == 30
+
+
+def test_a_repeated_entity_changes_nothing(spark, base, tmp_path):
+    tables = source_rows()
+    for name in ("cliente", "sucursal", "producto", "contrato", "siniestro", "ciudad", "tipo_producto"):
+        tables[name] += [list(row) for row in tables[name][:3]]
+    tables["cliente"].append([4, "A lower name", *tables["cliente"][3][2:]])
+    store = WarehouseStore(spark, str(tmp_path / "repeated"))
+    report = run_load(store, {**frames(spark, tables), "metas": goals(spark)})
+    got, expected = store.tables(), base.tables()
+    for name in expected:
+        if name != "stg_metas":
+            assert rows(got[name].select(*expected[name].columns)) == rows(expected[name]), name
+    assert report.metrics["fact_registro_contrato"]["matched"] == 0
+
+
+def test_a_load_that_was_overtaken_does_not_publish(spark, base, tmp_path):
+    store = fork(spark, base, tmp_path / "two")
+    first, second = store.open_load(), store.open_load()
+    for load in (first, second):
+        load.write("dim_sucursal", base.tables()["dim_sucursal"])
+    first.publish()
+    with pytest.raises(VersionMoved):
+        second.publish()
+    assert store.paths()["dim_sucursal"] == first.written["dim_sucursal"]

@@ -14,7 +14,7 @@ from starloom.operators import quality as q
 from starloom.operators.calendar import calendar_rows, date_series, extend_calendar
 from starloom.operators.keys import assign_surrogate_keys, last_wins, max_key
 from starloom.operators.lookup import (
-    LookupMiss, broadcast_if_small, find_hot_keys, lookup, miss_counts, require_resolved, split_resolved,
+    LookupMiss, find_hot_keys, lookup, miss_counts, require_resolved, split_resolved,
 )
 from starloom.operators.merge import (
     apply_changes, apply_updates, delete_by_key, insert_only, is_empty, merge_fact, merge_metrics, scd1_upsert, sync_delete,
@@ -156,11 +156,15 @@ def test_lookup_misses(spark, skewed):
     assert require_resolved(good, ["sk"], "test") is good
 
 
-def test_broadcast_only_below_the_limit(spark):
-    small, big = spark.range(10), spark.range(11)
-    plan = lambda df: df._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in plan(broadcast_if_small(small, 10)).lower()
-    assert "broadcast" not in plan(broadcast_if_small(big, 10)).lower()
+def test_hot_share_follows_the_partitions(spark):
+    # A key with half a per cent of the rows: nothing at eight partitions, half a partition at a hundred.
+    left = spark.range(20_000).select(F.when(F.col("id") % 200 == 0, -1).otherwise(F.col("id")).alias("k"))
+    assert find_hot_keys(left, {"k": ["k"]})["k"] == []
+    spark.conf.set("spark.sql.shuffle.partitions", "100")
+    try:
+        assert len(find_hot_keys(left, {"k": ["k"]})["k"]) == 1
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
 
 
 # --- merges ------------------------------------------------------------------------------------------------
@@ -260,6 +264,12 @@ def test_fingerprint_ignores_order_but_not_content(spark):
     assert fingerprint_value(a) == fingerprint_value(a.orderBy(F.desc("k")).repartition(3))
     assert fingerprint_value(a) != fingerprint_value(a.distinct())
     assert fingerprint_value(a) != fingerprint_value(a.fillna("", ["v"]))
+    assert fingerprint_value(a) == fingerprint_value(a.select(*reversed(a.columns)))
+    swapped = a.select(*[F.col(c).alias(d) for c, d in zip(a.columns, reversed(a.columns))])
+    assert fingerprint_value(a) != fingerprint_value(swapped)
+    assert fingerprint_value(a.limit(0)) != fingerprint_value(swapped.limit(0).withColumnRenamed("v", "w"))
+    split = lambda *row: fingerprint_value(spark.createDataFrame([row], "p STRING, q STRING"))
+    assert len({split("a|", "b"), split("a", "|b"), split("a", None), split("a", "N"), split(None, "a")}) == 5
 
 
 # --- quality rules -----------------------------------------------------------------------------------------
