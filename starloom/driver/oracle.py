@@ -404,6 +404,10 @@ def oracle_sql() -> dict[str, str]:
     out["scd1_rating"] = _scd1("evaluacion_servicio", "cod_evaluacion_servicio", "evaluacion_servicio", "sk_dim_evaluacion", "cod_evaluacion_nk",
                                {"nb_descrip": "nb_descripcion:s"})
     out["scd1_claim"] = _scd1("siniestro", "nro_siniestro", "siniestro", "sk_dim_siniestro", "nro_siniestro_nk", {"descrip_siniestro": "descripcion_siniestro:s"})
+    out["scd1_repeated_keys"] = """
+        SELECT row_number() OVER (ORDER BY l_orderkey) AS sk_dim_siniestro, l_orderkey AS nro_siniestro_nk,
+               max(l_returnflag || l_linestatus || ' ' || strftime(l_shipdate, '%Y-%m-%d')) AS descrip_siniestro
+        FROM lineitem WHERE l_orderkey IS NOT NULL GROUP BY l_orderkey"""
     out["scd1_null_overwrite"] = _typed("sk_dim_cliente=cod_cliente + 1:l; cod_cliente_nk=cod_cliente:l; telefono:s", "FROM cliente")
     out["fact_contract_load"] = _typed(_CONTRACT_FACT, "FROM f_con")
     out["fact_claim_load"] = _typed(

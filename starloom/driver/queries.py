@@ -238,6 +238,15 @@ def scd1_null_overwrite(spark, sf_dir):
     return scd1_upsert(target, clients, "cod_cliente_nk", "sk_dim_cliente", ["telefono"]).state
 
 
+@query
+def scd1_repeated_keys(spark, sf_dir):
+    """First load of a dimension whose source repeats its key: every line of an order is a row of one claim."""
+    described = F.concat("l_returnflag", "l_linestatus", F.lit(" "), F.date_format("l_shipdate", "yyyy-MM-dd"))
+    claims = roles(spark, sf_dir).raw("lineitem").select(
+        F.col("l_orderkey").alias("nro_siniestro"), described.alias("descripcion_siniestro"))
+    return dimensions.load_dimension("dim_siniestro", {"siniestro": claims}, None).state
+
+
 # --- fact loads --------------------------------------------------------------------------------------------
 
 
