@@ -139,5 +139,47 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {query.__name__: query for query in _QUERIES}
 
 
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+_OP1_SQL = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+win AS (SELECT doc_id, i, array_to_string(ws[i:i + 19], ' ') AS k
+        FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM d WHERE len(ws) >= 20)),
+later AS (SELECT doc_id, i FROM win QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, i) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM later),
+words AS (SELECT doc_id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS p FROM d),
+kept AS (SELECT doc_id, string_agg(w, ' ' ORDER BY p) AS t, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
+
+
+def _op4_sql() -> str:
+    """Spans by splitting at the matches and adding up the lengths; list sums replace the window."""
+    from starloom.llm.secrets import BASE_RULES, RULES
+
+    kinds = []
+    for rank, rule in enumerate(RULES):
+        pattern = rule.pattern.replace("'", "''")
+        before = "coalesce(list_sum(list_transform(p[1:i], lambda x: length(x))), 0)"
+        matched = "coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0)"
+        kinds.append(f"""
+        SELECT doc_id, '{rule.name}' AS rule, {rank} AS rank, {before} + {matched} AS s, {before} + {matched} + length(m[i]) AS e
+        FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM (
+            SELECT doc_id, regexp_extract_all(text, '{pattern}', 0) AS m, regexp_extract_all(text, '{pattern}', {rule.group}) AS h,
+                   string_split_regex(text, '{pattern}') AS p FROM documents WHERE text IS NOT NULL))
+        WHERE length(h[i]) >= {rule.least}""")
+    said = "rule || ':' || CAST(s AS BIGINT) || ':' || CAST(e AS BIGINT)"
+    counts = ", ".join(f"count(*) FILTER (rule = '{rule.name}') AS n_{rule.name}" for rule in BASE_RULES)
+    return f"""
+    WITH f AS ({" UNION ALL ".join(kinds)}),
+    g AS (SELECT doc_id, {counts}, string_agg({said}, ',' ORDER BY s, rank) FILTER (rank < {len(BASE_RULES)}) AS base,
+                 string_agg({said}, ',' ORDER BY s, rank) AS spans FROM f GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+           sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+    FROM documents LEFT JOIN g USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The others return fingerprints, draws, packings, trained verdicts or token ids, for which SQL has no form."""
+    return {"op1_substrings": _OP1_SQL, "op4_secrets": _op4_sql()}
