@@ -32,13 +32,13 @@ WINDOW = 20
 GRAM = 5
 LONGEST_RUN = 256  # windows of one segment; longer runs are cut, windows are not
 HOT_DOCUMENTS = 5_000  # an anchor in more documents has its windows dealt one by one
-TASK_SEGMENTS = 100_000  # distinct segments that a task merges at a time
+TASK_SEGMENTS = 40_000  # distinct segments that a task merges at a time
 _LAST_ID = 2**63 - 1  # null ids come last
 
 
 class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 300_000:
             self.clear()
         self[word] = value = xxhash.xxh3_64_intdigest(word)
         return value
@@ -214,11 +214,11 @@ def candidate_segments(flagged: DataFrame, window: int, gram: int) -> DataFrame:
             if all_ or len(merged) >= TASK_SEGMENTS:
                 rows.extend(merged.values())
                 merged.clear()
-            if rows and (all_ or len(rows) >= 50_000):
+            if rows and (all_ or len(rows) >= 20_000):
                 kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
                 names = ["anchor", "segment", "id", "tie", "start", "windows", "words"]
-                for at in range(0, len(rows), 50_000):
-                    columns = zip(*rows[at: at + 50_000])
+                for at in range(0, len(rows), 20_000):
+                    columns = zip(*rows[at: at + 20_000])
                     yield pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(columns, kinds)], names=names)
                 rows.clear()
 
@@ -327,12 +327,13 @@ def repeated_spans(
     keyed = _keyed(docs, id_col, text_col)
     profile = materialise(profiles(keyed).dropDuplicates(["id", "tie"]), "substring-profiles")
     firsts = profile.where(F.col("n_words") >= window).groupBy("content").agg(F.min(F.struct("id", "tie")).alias("f"))
+    firsts = materialise(firsts, "substring-firsts")  # so that the join below can split the rows of a large group
     marked = profile.join(firsts, "content", "left").withColumn(
         "copy", F.coalesce((F.col("f.id") != F.col("id")) | (F.col("f.tie") != F.col("tie")), F.lit(False))
     ).drop("f")
     marked = materialise(marked, "substring-marked")
 
-    posts = anchor_posts(keyed, window, gram)
+    posts = materialise(anchor_posts(keyed, window, gram), "substring-posts")
     repeated = posts.groupBy("anchor").agg(
         F.min("content").alias("low"), F.max("content").alias("high"), F.max("twice").alias("twice"),
         F.count(F.lit(1)).alias("n"),
