@@ -415,6 +415,17 @@ def oracle_sql() -> dict[str, str]:
         " sk_dim_siniestro=sin:l; cantidad=1:l; monto_reconocido:d; monto_solicitado:d; id_rechazo:s", "FROM f_sin")
     out["fact_evaluation_load"] = _typed(_RATING_FACT, "FROM f_eva")
     out["fact_goals_load"] = _typed(_GOAL_FACT, "FROM f_met")
+    # Upserts: what the source holds, and claims of every second contract kept with their old amount.
+    out["fact_contract_upsert"] = _typed(_CONTRACT_FACT, "FROM f_con WHERE con % 5 <> 0")
+    claim = out["fact_claim_load"]
+    out["fact_claim_upsert_kept"] = f"""
+        SELECT * FROM ({claim}) WHERE sk_dim_siniestro % 5 <> 0 UNION ALL
+        SELECT * REPLACE (CAST(monto_solicitado + 1 AS DECIMAL(18,2)) AS monto_solicitado) FROM ({claim})
+        WHERE sk_dim_siniestro % 5 = 0 AND sk_dim_siniestro % 3 <> 0 AND sk_dim_contrato % 2 = 0"""
+    out["fact_evaluation_upsert"] = f"""
+        SELECT * REPLACE (CASE WHEN sk_dim_cliente % 3 <> 0 THEN 20000101 ELSE sk_dim_tiempo_evaluacion END AS sk_dim_tiempo_evaluacion)
+        FROM ({out["fact_evaluation_load"]}) WHERE sk_dim_cliente % 5 <> 0"""
+    out["fact_goals_upsert"] = _typed(_GOAL_FACT, "FROM f_met WHERE pro % 5 <> 0")
     out["evaluation_rejects"] = _typed(
         "cod_cliente:l; cod_evaluacion_servicio:l; cod_producto:l; recomienda_amigo:s",
         "FROM recomienda r WHERE NOT EXISTS (SELECT 1 FROM pares p WHERE p.cod_cliente = r.cod_cliente AND p.cod_producto = r.cod_producto)")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.driver.bindings import MONEY, Roles, loaded, roles, warehouse
@@ -15,7 +15,7 @@ from starloom.operators import quality as q
 from starloom.operators.calendar import calendar_rows, date_series, extend_calendar
 from starloom.operators.keys import assign_surrogate_keys, max_key
 from starloom.operators.lookup import lookup, miss_counts
-from starloom.operators.merge import apply_changes, apply_updates, insert_only, merge_metrics, scd1_upsert, sync_delete
+from starloom.operators.merge import apply_changes, apply_updates, insert_only, merge_fact, merge_metrics, scd1_upsert, sync_delete
 from starloom.operators.totals import control_totals
 from starloom.plans import dimensions, facts, kpis
 from starloom.plans.warehouse_load import reset_scope, run_load
@@ -270,6 +270,43 @@ def fact_goals_load(spark, sf_dir):
     return warehouse(spark, sf_dir)["fact_metas"]
 
 
+# Upserts on a fact that exists.  The source lacks every fifth key, so those rows are deleted; the old fact lacks every
+# third, which are inserted; the rest match, and the old fact has other values for them.
+
+def _upsert(spark, sf_dir, name: str, key: str, old: Mapping[str, Column], **options) -> DataFrame:
+    fact = warehouse(spark, sf_dir)[name]
+    previous = fact.where(F.col(key) % 3 != 0).withColumns(dict(old)).select(*fact.columns)
+    return merge_fact(previous, fact.where(F.col(key) % 5 != 0), FACT_KEYS[name], **options)
+
+
+@query
+def fact_contract_upsert(spark, sf_dir):
+    return _upsert(spark, sf_dir, "fact_registro_contrato", "sk_dim_contrato", {"monto": (F.col("monto") + 1).cast(MONEY)})
+
+
+@query
+def fact_claim_upsert_kept(spark, sf_dir):
+    """Of the claims that the source lacks, those of every second contract are kept as they were."""
+    keys = FACT_KEYS["fact_registro_siniestro"]
+    live = warehouse(spark, sf_dir)["fact_registro_siniestro"].where("sk_dim_contrato % 2 = 0").select(*keys)
+    old = {"monto_solicitado": (F.col("monto_solicitado") + 1).cast(MONEY)}
+    return _upsert(spark, sf_dir, "fact_registro_siniestro", "sk_dim_siniestro", old, retain_keys=live)
+
+
+@query
+def fact_evaluation_upsert(spark, sf_dir):
+    """A match replaces rating and recommendation, and keeps the day of the old row."""
+    day = F.lit(20000101).cast("int")
+    return _upsert(spark, sf_dir, "fact_evaluacion_servicio", "sk_dim_cliente", {"sk_dim_tiempo_evaluacion": day},
+                   overwrite=["sk_dim_evaluacion_servicio", "cantidad", "recomienda_amigo"])
+
+
+@query
+def fact_goals_upsert(spark, sf_dir):
+    old = {"meta_renovacion": F.col("meta_renovacion") + 1}
+    return _upsert(spark, sf_dir, "fact_metas", "sk_dim_producto", old, guard_empty=True)
+
+
 @query
 def evaluation_rejects(spark, sf_dir):
     return facts.rejected_ratings(roles(spark, sf_dir).source())
