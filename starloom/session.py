@@ -7,6 +7,8 @@ executor-local folder would be lost with the executor.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -37,6 +39,7 @@ def shared_dir(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _local_fallback:
         _local_fallback[app] = tempfile.mkdtemp(prefix="starloom-")
+        atexit.register(shutil.rmtree, _local_fallback[app], ignore_errors=True)  # this process's own folder
     return _local_fallback[app]
 
 
