@@ -6,7 +6,8 @@ the ``SHARE`` of the rows nearest to the last estimate and takes their mean and
 its Mahalanobis distance is beyond what ``CUTOFF`` allows.
 
 The statistics are narrow and written once.  A step is one quantile sketch and one sum of moments per group, both
-combined in the map tasks, so a source with a third of all rows is no hot key.
+combined in the map tasks.  Rows meet the estimate of their group by group and salt, one salt per shuffle partition, so
+a source with a third of all rows is no hot key.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.common import text_bytes
+from starloom.operators.lookup import shuffle_partitions
 from starloom.session import materialise
 
 SHARE = 0.75
@@ -139,22 +141,28 @@ def _distance() -> Column:
 
 
 def minimum_covariance(rows: DataFrame, steps: int = STEPS, share: float = SHARE) -> DataFrame:
-    """(g, model, scale) per group of ``rows(g, x)``: center and inverse scatter, and the factor that makes the
-    ``share`` quantile of the squared distances that of a normal vector.
+    """(g, model, scale) per group of ``rows(g, salt, x)``: center and inverse scatter, and the factor that makes the
+    ``share`` quantile of the squared distances that of a normal vector.  ``salt`` runs from 0 to the number of shuffle
+    partitions, exclusive.
 
     Starts from the coordinate medians with the floors as scatter.  Quantiles are sketches with an error of one
     ten-thousandth of the rows.
     """
+    salt = F.explode(F.sequence(F.lit(0), F.lit(shuffle_partitions(rows.sparkSession) - 1))).alias("salt")
+
+    def meet(left: DataFrame, right: DataFrame) -> DataFrame:
+        return left.join(right.select("*", salt), ["g", "salt"])
+
     middle = rows.groupBy("g").agg(F.array(*[F.percentile_approx(F.col("x")[i], 0.5, 10_000) for i in range(_P)]).alias("m"))
     start = F.concat("m", F.array(*[F.lit(1 / FLOORS[i] ** 2 if i == j else 0.0) for i, j in _PAIRS]))
     model = materialise(middle.select("g", start.alias("model")), "mcd-start")
     for step in range(steps):
-        away = rows.join(model, "g").select("g", "x", _distance().alias("d"))
+        away = meet(rows, model).select("g", "salt", "x", _distance().alias("d"))
         bound = away.groupBy("g").agg(F.percentile_approx("d", share, 10_000).alias("bound"))
-        nearest = away.join(bound, "g").where("d <= bound")
+        nearest = meet(away, bound).where("d <= bound")
         sums = nearest.groupBy("g").agg(*[m.alias("sums") for m in _moments()])
         model = materialise(sums.select("g", _estimate(F.col("sums")).alias("model")), f"mcd-step{step}")
-    scale = rows.join(model, "g").groupBy("g").agg(
+    scale = meet(rows, model).groupBy("g").agg(
         (F.percentile_approx(_distance(), share, 10_000) / SHARE_QUANTILE).alias("scale")
     )
     return materialise(model.join(scale, "g"), "mcd-model")
@@ -178,7 +186,9 @@ def judge_documents(
     stats = stats.withColumn("base_failed", base_failed()).withColumn("x", F.array(*_features()))
     by_source = F.to_json(F.struct("lang", "source"))
     by_lang = F.to_json(F.struct("lang"))
-    stats = materialise(stats.withColumns({"by_source": by_source, "by_lang": by_lang}), "quality-statistics")
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(shuffle_partitions(docs.sparkSession))).cast("int")
+    named = stats.withColumns({"by_source": by_source, "by_lang": by_lang, "salt": salt})
+    stats = materialise(named, "quality-statistics")
 
     passed = stats.where("NOT base_failed")
     sources = passed.groupBy("by_source", "by_lang").agg(F.count(F.lit(1)).alias("n"))
@@ -190,7 +200,7 @@ def judge_documents(
     enough = groups.groupBy("g").agg(F.sum("n").alias("total")).where(F.col("total") >= least_rows)
     groups = materialise(groups.join(enough, "g", "left_semi").select("by_source", "g"), "quality-groups")
 
-    rows = passed.join(groups, "by_source").select("g", "x")
+    rows = materialise(passed.join(groups, "by_source").select("g", "salt", "x"), "quality-rows")
     models = groups.join(minimum_covariance(rows), "g").select("by_source", "model", "scale")
     judged = stats.join(models, "by_source", "left").withColumn(
         "distance", F.when(~F.col("base_failed"), _distance() / F.greatest("scale", F.lit(1e-3)))
