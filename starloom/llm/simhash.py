@@ -10,7 +10,7 @@ nearest to one of them, so each anchor compares the fingerprints at home there w
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -258,15 +258,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with one row left per component: the one with the smallest id (null ids last, further
     ties by row hash; of fully equal rows one stays)."""
-    content = [c for c in docs.columns if docs.schema[c].dataType.typeName() != "map"]
-    row = F.xxhash64(*[F.col(f"`{c}`") for c in content])
     located = docs.select(
-        F.col(id_col).alias("id"), fingerprint(F.col(text_col)).alias("fp"), row.alias("row")
+        F.col(id_col).alias("id"), fingerprint(F.col(text_col)).alias("fp"), row_hash(docs).alias("row")
     )
-    marked = materialise(located, "simhash-rows")
+    return keep_least(docs, materialise(located, "simhash-rows"), links, id_col)
+
+
+def row_hash(docs: DataFrame) -> Column:
+    return F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns if docs.schema[c].dataType.typeName() != "map"])
+
+
+def keep_least(
+    docs: DataFrame, marked: DataFrame, edges: Callable[[DataFrame], DataFrame], id_col: str = "doc_id"
+) -> DataFrame:
+    """``keep_one`` for rows ``marked(id, fp, row)`` of ``docs``, row being ``row_hash``, and links ``edges`` (u, v)
+    between the distinct ``fp`` of a table (fp, least), least having the first row of each."""
+    row = row_hash(docs)
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row"))
     distinct = materialise(marked.groupBy("fp").agg(first.alias("least")), "simhash-distinct")
-    roots = connected_components(links(distinct), "simhash-components")
+    roots = connected_components(edges(distinct), "simhash-components")
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     kept = rooted.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("least").alias("least"))
     kept = kept.select(F.col("least.id").alias("_of_id"), F.col("least.row").alias("_of_row"))
