@@ -16,6 +16,7 @@ from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +31,7 @@ BLOCK_ROWS = 4096
 COPIES = 10_000  # equal rows numbered from one array
 LANDING = 12  # documents of the last block that do not fly
 EDGE = 1e-9
+SEED = 42
 
 
 def word_count(text: Column) -> Column:
@@ -73,12 +75,14 @@ def source_targets(
     return ranked.select("source", "source_size", target.alias("target"))
 
 
-def flight(chance: np.ndarray, size: np.ndarray) -> np.ndarray:
+def flight(chance: np.ndarray, size: np.ndarray, seed: np.ndarray | None = None) -> np.ndarray:
     """Move the chances of one block to 0 or 1, all but two at most, keeping their sum and the sum of chance * size.
 
     The first three undecided documents move along the direction that is orthogonal to (1, 1, 1) and to their sizes;
-    which way is decided by the side that is nearer, so that a rerun decides alike.
+    the side is drawn with the probability of the other one's distance, so that no chance changes in expectation.  The
+    draw is a hash of the documents' ``seed`` (their positions without one), so that a rerun decides alike.
     """
+    seeds = (np.arange(len(chance)) if seed is None else seed).astype(np.uint64)
     value = chance.astype(np.float64).copy()
     words = size.tolist()
     p = value.tolist()
@@ -102,7 +106,8 @@ def flight(chance: np.ndarray, size: np.ndarray) -> np.ndarray:
             break
         up = min((1 - p[i]) / x if x > 0 else p[i] / -x for i, x in zip(held, u) if x)
         down = min(p[i] / x if x > 0 else (1 - p[i]) / -x for i, x in zip(held, u) if x)
-        move = up if up <= down else -down
+        drawn = xxhash.xxh64_intdigest(seeds[held].tobytes(), SEED) / 2.0**64
+        move = up if drawn * (up + down) < down else -down
         for i, x in zip(held, u):
             p[i] += move * x
             if p[i] < EDGE:
@@ -128,14 +133,14 @@ def landing(chance: np.ndarray, size: np.ndarray) -> np.ndarray:
     return value
 
 
-def decide_block(chance: np.ndarray, size: np.ndarray, last: bool) -> np.ndarray:
+def decide_block(chance: np.ndarray, size: np.ndarray, last: bool, seed: np.ndarray | None = None) -> np.ndarray:
     """Chances of a block after its flight; of the ``last`` block of a source, after the landing."""
     if not last:
-        return flight(chance, size)
+        return flight(chance, size, seed)
     open_ = np.flatnonzero((chance > EDGE) & (chance < 1 - EDGE))
     value = chance.copy()
     flying = open_[:-LANDING]
-    value[flying] = flight(chance[flying], size[flying])
+    value[flying] = flight(chance[flying], size[flying], None if seed is None else seed[flying])
     return landing(value, size)
 
 
@@ -143,16 +148,18 @@ _ROWS = "source_id long, place long, row long, size long, chance double"
 _KEYS = ["source_id", "row", "size"]
 
 
-def _fly(rows: DataFrame, land: bool) -> DataFrame:
+def _fly(rows: DataFrame, land: bool, level: int) -> DataFrame:
     keys = ["source_id", "place"]
 
     def decide(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in stream_groups(batches, keys):
-            group["chance"] = decide_block(group["chance"], group["size"], land)
+            seed = group.pop("seed")
+            group["chance"] = decide_block(group["chance"], group["size"], land, seed.view(np.uint64))
             yield pa.RecordBatch.from_pydict({name: pa.array(values) for name, values in group.items()})
 
     ordered = rows.repartition(*keys).sortWithinPartitions(*keys, "order", "size", "row")
-    return ordered.select("source_id", "place", "row", "size", "chance").mapInArrow(decide, _ROWS)
+    seed = F.xxhash64(*_KEYS, F.lit(level)).alias("seed")
+    return ordered.select("source_id", "place", "row", "size", "chance", seed).mapInArrow(decide, _ROWS)
 
 
 def balanced_draw(rows: DataFrame, label: str = "mix", block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -169,7 +176,7 @@ def balanced_draw(rows: DataFrame, label: str = "mix", block_rows: int = BLOCK_R
     blocks = -(-most // (block_rows // 2))
     while True:
         place = F.pmod(F.xxhash64("row", F.lit(level)), F.lit(max(blocks, 1)))
-        flown = _fly(left.withColumn("place", place), land=blocks <= 1)
+        flown = _fly(left.withColumn("place", place), land=blocks <= 1, level=level)
         flown = materialise(flown, f"{label}-level{level}")
         decided.append(flown.where(~F.col("chance").between(EDGE, 1 - EDGE)))
         if blocks <= 1:

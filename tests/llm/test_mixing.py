@@ -43,6 +43,16 @@ def test_flight_keeps_words_and_count():
         assert set(decide_block(chance, size, last=True).tolist()) <= {0.0, 1.0}
 
 
+def test_no_size_is_preferred():
+    rng = np.random.default_rng(7)
+    for wanted in (0.1, 0.25, 0.75):
+        size = np.round(np.exp(rng.normal(5, 1, 20_000))).astype(np.int64)
+        taken = np.concatenate([flight(np.full(2000, wanted), size[at: at + 2000], rng.integers(0, 1 << 62, 2000))
+                                for at in range(0, len(size), 2000)])
+        rates = [taken[tenth].mean() for tenth in np.array_split(np.argsort(size, kind="stable"), 10)]
+        assert max(abs(rate - wanted) for rate in rates) < 0.03, rates
+
+
 def test_mix_of_odd_documents(odd_documents, no_documents):
     rows = mix(odd_documents).collect()
     assert len(rows) == odd_documents.count()
