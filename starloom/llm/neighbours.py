@@ -177,12 +177,15 @@ def _best(query_ids, queries, ids, vectors, k: int) -> Iterator[tuple[np.ndarray
     """(query, vec_id, score) of the k nearest in these vectors, score computed pair by pair in double precision."""
     unit, norms = _unit(vectors), np.sqrt((vectors * vectors).sum(axis=1))
     step = max(1, (4 << 20) // max(1, len(ids)))
+    order = np.argsort(ids, kind="stable")
+    starts = np.flatnonzero(np.diff(ids[order], prepend=ids[order[0]] - 1))  # of each id, whose rows count once
     for at in range(0, len(query_ids), step):
         own, some = query_ids[at: at + step], queries[at: at + step]
         near = _unit(some) @ unit.T
         near[own[:, None] == ids[None, :]] = -np.inf
-        if k < near.shape[1]:
-            least = -np.partition(-near, k - 1, axis=1)[:, k - 1] - SLACK
+        best = near if len(starts) == len(ids) else np.maximum.reduceat(near[:, order], starts, axis=1)
+        if k < best.shape[1]:
+            least = -np.partition(-best, k - 1, axis=1)[:, k - 1] - SLACK
         else:
             least = np.full(len(own), -2.0)
         row, column = np.nonzero((near >= least[:, None]) & (near > -np.inf))

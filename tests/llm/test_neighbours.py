@@ -66,3 +66,9 @@ def test_parts_are_balanced():
     unit /= np.linalg.norm(unit, axis=1, keepdims=True)
     part = balanced_parts(neighbour_graph(unit), 6)
     assert np.bincount(part, minlength=6).max() <= math.ceil(1.05 * math.ceil(500 / 6))
+
+
+def test_an_id_of_many_vectors_counts_once(spark):
+    rows = [(0, [1.0, 0.0])] + [(7, [1.0, 0.001 * i]) for i in range(1, 7)] + [(i, [1.0, 0.1 * i]) for i in range(8, 15)]
+    frame = spark.createDataFrame([(i, v, 0, 0, "x") for i, v in rows], SCHEMA)
+    assert [i for i, _ in answers(nearest(frame))[0]] == [7, 8, 9, 10, 11]
