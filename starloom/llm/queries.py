@@ -91,7 +91,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = score_documents(documents, _table(spark, sf_dir, "labels"))
     return scored.select(
-        "doc.doc_id", (F.col("scores.toxic") >= THRESHOLD).alias("toxic"),
+        "doc.doc_id", (F.col("trained") & (F.col("scores.toxic") >= THRESHOLD)).alias("toxic"),
         F.col("scores.junk").alias("p_junk"), F.col("scores.toxic").alias("p_toxic"),
     )
 

@@ -97,6 +97,7 @@ class Chain:
     categories: list[str]
     terms: list[bytes]
     models: list[Linear] = field(default_factory=list)
+    trained: bool = True  # on one labelled row at least
 
     def predict(self, rows: np.ndarray, cols: np.ndarray, counts: np.ndarray, n: int) -> np.ndarray:
         """Probabilities, one column per category, for n texts with ``counts[i]`` of term ``cols[i]`` in ``rows[i]``."""
@@ -198,7 +199,7 @@ def train_chain(
     rows = drawn.toArrow()
     n = rows.num_rows
     if not n:
-        return Chain(list(categories), [], [Linear(np.zeros(0), np.zeros(i), 0.0) for i in range(len(categories))])
+        return Chain(list(categories), [], [Linear(np.zeros(0), np.zeros(i), 0.0) for i in range(len(categories))], trained=False)
     wanted = {name: rows[mark].to_numpy().astype(float) for name, mark in zip(categories, marks)}
 
     terms = materialise(chosen.select("_id", "_text").mapInArrow(_sample_terms, "_id long, term binary, n int"), "toxicity-terms")
@@ -229,12 +230,15 @@ THRESHOLD = 0.5
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, text_col: str = "text", **options) -> DataFrame:
-    """(doc, scores): every row of ``docs`` as a struct, and one probability per category of ``labels``."""
+    """(doc, scores, trained): every row of ``docs`` as a struct, one probability per category of ``labels``, and
+    whether any label stands behind them; without one, no document is to be called toxic."""
     chain = train_chain(docs, labels, LABEL_CATEGORIES, text_col=text_col, **options)
-    return docs.select(row_struct(docs.columns).alias("doc"), chain.score(F.col(text_col)).alias("scores"))
+    return docs.select(row_struct(docs.columns).alias("doc"), chain.score(F.col(text_col)).alias("scores"),
+                       F.lit(chain.trained).alias("trained"))
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:
-    """The rows of ``docs`` whose probability of the last category is below ``threshold``, columns unchanged."""
+    """The rows of ``docs`` whose probability of the last category is below ``threshold``, columns unchanged; all
+    of them if no label was there to learn from."""
     last = list(LABEL_CATEGORIES)[-1]
-    return score_documents(docs, labels, **options).where(F.col(f"scores.{last}") < threshold).select("doc.*")
+    return score_documents(docs, labels, **options).where(~F.col("trained") | (F.col(f"scores.{last}") < threshold)).select("doc.*")

@@ -54,3 +54,10 @@ def test_odd_documents(spark, odd_documents, no_documents):
     assert reject_toxic(no_documents, labels).count() == 0
     none = score_documents(odd_documents, labels.limit(0))
     assert {r["scores"]["toxic"] for r in none.collect()} == {0.5}
+
+
+def test_without_labels_nothing_is_toxic(spark, odd_documents):
+    for labels in ([], [(10_000, 0, 1)]):
+        table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+        assert reject_toxic(odd_documents, table).count() == odd_documents.count()
+        assert score_documents(odd_documents, table).where("trained").count() == 0
