@@ -55,7 +55,13 @@ BASE_RULES = (
     Rule("hex", r"[0-9a-f]{24,}", least=24),
 )
 ADDED_RULES = (
-    Rule("private", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
+    # Through the end of the key; its headers have few hyphens, and another BEGIN has five.  Without an end, the line.
+    Rule(
+        "private",
+        r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:[^-]*(?:-[^-]+){0,32}-----END [A-Z ]{0,40}PRIVATE KEY-----)?",
+        version=2,
+        trigger=r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----",
+    ),
     Rule("forge", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("webtoken", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]+"),
 )

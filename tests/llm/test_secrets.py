@@ -78,3 +78,17 @@ def test_redaction(odd_documents, no_documents):
         else:
             assert r["text"] == before[r["doc_id"]]
     assert redact_documents(no_documents, BlobLedger(spark, scratch_path(spark, "ledger"))).count() == 0
+
+
+def test_private_keys_go_with_their_body(spark):
+    lines = "\n".join(["MIIEpAIBAAKCAQEA" + "aB3/+xYz" * 6] * 2000) + "==\n"
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----\n", "-----END RSA PRIVATE KEY-----"
+    coded = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n\n"
+    texts = {
+        f"a {begin}{lines}{end} z": "a [SECRET] z", f"a {begin}{coded}{lines}{end} z": "a [SECRET] z",
+        f"{begin}{end} and {begin}{lines}{end}": "[SECRET] and [SECRET]", f"{begin}no end": "[SECRET]\nno end",
+        f"{begin}cut {begin}{lines}{end}.": "[SECRET]\ncut [SECRET].",
+    }
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    clean = redact_documents(docs, BlobLedger(spark, scratch_path(spark, "ledger")))
+    assert [r["text"] for r in clean.orderBy("doc_id").collect()] == list(texts.values())
