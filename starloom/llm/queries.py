@@ -132,7 +132,32 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(_table(spark, sf_dir, "embeddings"))
 
 
-_QUERIES = [op1_substrings, op2_mixing, op3_packing, op4_secrets, op5_chat, op6_toxicity, op7_outliers, op8_simhash, op9_bpe, op10_neighbours]
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starloom.llm.ngram_join import linked_documents
+
+    found = linked_documents(_table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starloom.llm.periodic_runs import periodic_runs
+
+    return periodic_runs(_table(spark, sf_dir, "documents"), repeat_tails=True).withColumnRenamed("id", "doc_id")
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from starloom.llm.alignment import Vocabularies, aligned_documents
+
+    files = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return aligned_documents(_table(spark, sf_dir, "documents"), Vocabularies.read(*files)).withColumnRenamed("id", "doc_id")
+
+
+_QUERIES = [
+    op1_substrings, op2_mixing, op3_packing, op4_secrets, op5_chat, op6_toxicity, op7_outliers, op8_simhash, op9_bpe,
+    op10_neighbours, op11_ngram_join, op12_periodic_runs, op13_alignment,
+]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -180,6 +205,21 @@ def _op4_sql() -> str:
     FROM documents LEFT JOIN g USING (doc_id)"""
 
 
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+_OP11_SQL = rf"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+sh AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+       ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS s FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS i FROM sh a JOIN sh b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT u, v FROM pairs JOIN n a ON a.doc_id = u JOIN n b ON b.doc_id = v WHERE 100 * i >= 80 * (a.n + b.n - i)),
+reach AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT reach.doc_id, v FROM reach JOIN links ON u = other)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    """The others return fingerprints, draws, packings, trained verdicts or token ids, for which SQL has no form."""
-    return {"op1_substrings": _OP1_SQL, "op4_secrets": _op4_sql()}
+    """The others return fingerprints, draws, packings, trained verdicts, runs or token ids, for which SQL has no form that
+    is fast enough over whole tables."""
+    return {"op1_substrings": _OP1_SQL, "op4_secrets": _op4_sql(), "op11_ngram_join": _OP11_SQL}

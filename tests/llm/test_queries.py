@@ -7,8 +7,11 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from test_alignment import brute as brute_alignment
+from test_alignment import sides, vocabularies  # noqa: F401
 from test_mixing import brute_targets
 from test_neighbours import answers, brute as brute_neighbours
+from test_ngram_join import brute as brute_links
 from test_outliers import brute as brute_statistics
 from test_secrets import brute as brute_spans
 from test_simhash import brute_fingerprint, brute_roots
@@ -129,6 +132,44 @@ def test_neighbours(run, spark):
     assert set(got) == set(expected) and hits / sum(map(len, expected.values())) >= 0.9
 
 
+def test_ngram_join(run, documents):
+    rows = [(i, documents[i]["text"]) for i in documents]
+    assert sorted(map(tuple, run("op11_ngram_join").collect()), key=repr) == brute_links(rows)
+
+
+def test_periodic_runs(run, documents):
+    """Every text by itself against all texts together; the brute force of ``test_periodic_runs`` is for small texts."""
+    from starloom.llm.periodic_runs import repeated_tail
+
+    changed = 0
+    for r in run("op12_periodic_runs").collect():
+        words = (documents[r["doc_id"]]["text"] or "").encode().split()
+        numbers = {w: n for n, w in enumerate(dict.fromkeys(words))}
+        sequence = repeated_tail(np.array([numbers[w] for w in words], dtype=np.int64), r["doc_id"])
+        changed += not np.array_equal(sequence, [numbers[w] for w in words])
+        long_runs = []
+        for q in range(1, len(sequence) // 4 + 1):
+            same = np.concatenate([[0], (sequence[:-q] == sequence[q:]).astype(np.int8), [0]])
+            edges = np.flatnonzero(np.diff(same))
+            for start, end in zip(edges[::2].tolist(), edges[1::2].tolist()):
+                part = sequence[start: end + q]
+                smaller = any((part[:-p] == part[p:]).all() for p in range(1, q))
+                if len(part) >= max(6, 4 * q) and not smaller:
+                    long_runs.append((start, len(part), q))
+        said = "".join(f"{s},{n},{q}\n" for s, n, q in sorted(long_runs, key=lambda x: (x[0], x[2])))
+        assert (r["n_runs"], r["runs_sha256"]) == (len(long_runs), hashlib.sha256(said.encode()).hexdigest())
+        dropped = {i for s, n, q in long_runs for i in range(s + q, s + n)}
+        names = list(numbers)
+        kept = " ".join(names[w].decode() for i, w in enumerate(sequence.tolist()) if i not in dropped)
+        assert (r["n_dropped"], r["collapsed_sha256"]) == (len(dropped), hashlib.sha256(kept.encode()).hexdigest())
+    assert changed
+
+
+def test_alignment(run, documents, sides):  # noqa: F811
+    rows = [(i, documents[i]["text"]) for i in documents]
+    assert sorted(map(tuple, run("op13_alignment").collect()), key=repr) == brute_alignment(rows, sides)
+
+
 def test_sql_counterparts(run):
     with duckdb.connect() as db:
         db.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
