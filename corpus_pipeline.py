@@ -15,7 +15,7 @@ from starloom.llm.bpe import Tokenizer
 from starloom.llm.common import bounded_batches
 from starloom.llm.mixing import mixed_rows
 from starloom.llm.secrets import BlobLedger, redact_documents
-from starloom.llm.similar import keep_one_similar
+from starloom.llm.simhash import keep_one
 from starloom.llm.toxicity import reject_toxic
 from starloom.session import materialise, scratch_path
 
@@ -27,11 +27,9 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by a Jaccard similarity of 0.8 or more of their five-word shingles the one with the smallest
-    id stays.  Fingerprints 4 bits apart find few such pairs, and a distance that finds them all cannot be covered, so
-    the pairs come from shared shingles (see ``similar``)."""
+    """Of documents whose fingerprints link, directly or over others, the one with the smallest id stays."""
     bounded_batches(spark)
-    return keep_one_similar(docs)
+    return keep_one(docs)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
