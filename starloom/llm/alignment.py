@@ -9,16 +9,16 @@ pair stored in its slot.
 Linked tokens end together, so the bytes of one are a suffix of the other's.  The vocabularies alone therefore bound the
 number of pairs (``pair_bound``), whatever the corpus: hash, keys and counts are a few megabytes and are broadcast.
 
-A text is aligned in pieces, cut at a space that follows a non-space and precedes an ASCII letter.  There a token of A
-begins (its pre-tokens do), and a token of B as well if no piece of B holds a space after another character, which is
-checked.  Merges never reach over such a place, so pieces can be aligned alone and remembered.
+A is read from its JSON file and run as the rank file it amounts to (merges in the order of their ids, which is checked),
+because that is several times faster.  B is run on pieces of the text, cut at a space between a character that is no space
+and an ASCII letter, and remembers them: no token of B holds a space after another character, which is checked, so no
+merge reaches over such a place.  Offsets, groups and links of many texts are then found together, in arrays.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
-import os
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -36,10 +36,10 @@ SLICES = 16  # parts of the pair table, built and summed by tasks of their own
 BRANCHES = 64  # first level of the tree: tasks whose vectors are summed together
 MOST_PAIRS = 1 << 22  # pairs that two vocabularies may admit at most; 17 bytes each are broadcast
 BITS_PER_KEY = 2.0  # of a level of the perfect hash; levels go on until every key has a slot
-KNOWN_PIECES = 1 << 17
+KNOWN_PIECES = 1 << 18
 PIECES_AT_ONCE = 1 << 16
 
-_CUT = re.compile(r"(?<=\S) (?=[A-Za-z])")
+_CUT = re.compile(r"(?<=[^ ]) (?=[A-Za-z])")
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:
@@ -61,15 +61,16 @@ def byte_level_alphabet() -> dict[str, int]:
 
 @dataclass(frozen=True)
 class Vocabularies:
-    """The files of both tokenizers, read once on the driver; tasks get their bytes."""
+    """The files of both tokenizers, read once on the driver, and the pattern of A's pre-tokens; tasks get their bytes."""
 
     a_json: str
     b_model: bytes
+    pattern: str
 
     @classmethod
-    def read(cls, a_path: str, b_path: str) -> "Vocabularies":
+    def read(cls, a_path: str, b_path: str, pattern: str) -> "Vocabularies":
         with open(a_path, encoding="utf-8") as a, open(b_path, "rb") as b:
-            return cls(a.read(), b.read())
+            return cls(a.read(), b.read(), pattern)
 
     def a_bytes(self) -> list[bytes]:
         """Bytes of A's tokens by id; an added token stands for its own text."""
@@ -89,12 +90,12 @@ class Vocabularies:
         return out
 
     def a(self):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer
+        """A as ranks of byte strings; its added tokens are never made from text."""
+        import tiktoken
 
-        tokenizer = Tokenizer.from_str(self.a_json)
-        tokenizer.encode_special_tokens = True
-        return tokenizer
+        added = {t["id"] for t in json.loads(self.a_json)["added_tokens"]}
+        ranks = {token: i for i, token in enumerate(self.a_bytes()) if i not in added}
+        return tiktoken.Encoding("a", pat_str=self.pattern, mergeable_ranks=ranks, special_tokens={})
 
     def b(self):
         import sentencepiece
@@ -102,7 +103,13 @@ class Vocabularies:
         return sentencepiece.SentencePieceProcessor(model_proto=self.b_model)
 
     def check(self) -> None:
-        """Pieces may be aligned alone only if no token of B holds a space after another character."""
+        """What the short cuts of this module rely on."""
+        model = json.loads(self.a_json)["model"]
+        first = len(model["vocab"]) - len(model["merges"])
+        for i, merge in enumerate(model["merges"], first):
+            left, right = merge if isinstance(merge, list) else merge.split(" ")
+            if model["vocab"][left + right] != i:
+                raise ValueError("the merges of the first vocabulary are not in the order of their ids")
         crossing = [b for b in self.b_bytes() if b" " in b.lstrip(b" ")]
         if crossing:
             raise ValueError(f"tokens of the second vocabulary reach over spaces: {crossing[:3]}")
@@ -121,63 +128,115 @@ class Vocabularies:
         return in_a + in_b
 
 
-@dataclass
-class Piece:
-    n_a: int
-    n_b: int
-    groups: str
-    pairs: np.ndarray  # one code a << 32 | b per link
-
-
-def align(a_ids: list[int], b_ids: list[int], a_bytes: list[bytes], b_bytes: list[bytes], want: bytes) -> Piece | None:
-    """Groups and links of one piece; None if the bytes of either side are not those of the piece."""
-    a_tokens, b_tokens = [a_bytes[i] for i in a_ids], [b_bytes[i] for i in b_ids]
-    if b"".join(a_tokens) != want or b"".join(b_tokens) != want:
-        return None
-    groups, pairs = [], []
-    i = j = a_from = b_from = a_end = b_end = 0
-    while i < len(a_ids):
-        a_end += len(a_tokens[i])
-        i += 1
-        while b_end < a_end:
-            b_end += len(b_tokens[j])
-            j += 1
-        if a_end == b_end:
-            groups.append(",".join(map(str, a_ids[a_from:i])) + "|" + ",".join(map(str, b_ids[b_from:j])))
-            pairs.append(a_ids[i - 1] << 32 | b_ids[j - 1])
-            a_from, b_from = i, j
-    return Piece(len(a_ids), len(b_ids), ";".join(groups), np.array(pairs, dtype=np.int64))
+def cut_text(text: str) -> list[str]:
+    return _CUT.split(text)
 
 
-class Aligner:
-    """Aligns texts in pieces; remembers pieces until there are too many."""
+class Decimals:
+    """Numbers as decimal digits, each followed by a separator, in one array of bytes."""
 
-    def __init__(self, vocabularies: Vocabularies):
-        self.a, self.b = vocabularies.a(), vocabularies.b()
-        self.a_bytes, self.b_bytes = vocabularies.a_bytes(), vocabularies.b_bytes()
-        self.rows: dict[str, int] = {}
-        self.known: list[Piece | None] = []
+    def __init__(self, most: int):
+        digits = [str(i).encode() for i in range(most)]
+        self.length = np.array([len(d) for d in digits], dtype=np.int64)
+        self.digit = np.zeros((most, int(self.length.max())), dtype=np.uint8)
+        for i, d in enumerate(digits):
+            self.digit[i, : len(d)] = list(d)
 
-    def pieces(self, texts: list[str]) -> list[Piece | None]:
-        a_ids = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-        b_ids = self.b.encode(texts, num_threads=1)
-        return [align(a, b, self.a_bytes, self.b_bytes, b" " + t.encode()) for a, b, t in zip(a_ids, b_ids, texts)]
+    def written(self, numbers: np.ndarray, separators: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes, and where each number begins (one entry more than there are numbers)."""
+        length = self.length[numbers]
+        begins = np.concatenate([[0], np.cumsum(length + 1)])
+        out = np.empty(int(begins[-1]), dtype=np.uint8)
+        for d in range(self.digit.shape[1]):
+            has = np.flatnonzero(length > d)
+            out[begins[has] + d] = self.digit[numbers[has], d]
+        out[begins[:-1] + length] = separators
+        return out, begins
 
-    def forget(self) -> None:
-        self.rows, self.known = {}, []
 
-    def learn(self, cut: list[list[str]]) -> None:
-        fresh = [p for p in dict.fromkeys(p for pieces in cut for p in pieces) if p not in self.rows]
-        self.rows.update((p, len(self.known) + n) for n, p in enumerate(fresh))
-        self.known += self.pieces(fresh) if fresh else []
+@dataclass
+class Aligned:
+    """Several texts, aligned.  ``a_from``, ``b_from`` and ``link_from`` say where the tokens and links of each text begin
+    (one entry more than there are texts); a text that cannot be aligned has none."""
+
+    a_ids: np.ndarray
+    b_ids: np.ndarray
+    a_from: np.ndarray
+    b_from: np.ndarray
+    link_from: np.ndarray
+    a_last: np.ndarray  # place of the last token of A, and of B, in each group
+    b_last: np.ndarray
+
+    def pairs(self) -> np.ndarray:
+        """One code a << 32 | b per link."""
+        return self.a_ids[self.a_last] << 32 | self.b_ids[self.b_last]
+
+    def digests(self, decimals: Decimals) -> list[str]:
+        """SHA-256 of ``a1,a2|b1;a3|b2,b3`` of each text, '' for one without tokens."""
+        total = len(self.a_ids) + len(self.b_ids)
+        numbers, separators = np.empty(total, dtype=np.int64), np.full(total, ord(","), dtype=np.uint8)
+        places = []
+        for ids, last, other, shift in ((self.a_ids, self.a_last, self.b_last, 0), (self.b_ids, self.b_last, self.a_last, 1)):
+            ends = np.zeros(len(ids) + 1, dtype=np.int64)
+            ends[last + 1] = 1
+            group = np.cumsum(ends)[:-1]
+            before = np.concatenate([[0], other + 1])  # tokens of the other side in the groups before, or up to this one
+            places.append(np.arange(len(ids)) + before[group + shift])
+            numbers[places[-1]] = ids
+        separators[places[0][self.a_last]] = ord("|")
+        separators[places[1][self.b_last]] = ord(";")
+        written, begins = decimals.written(numbers, separators)
+        at = begins[self.a_from + self.b_from].tolist()
+        return [hashlib.sha256(written[x: y - 1]).hexdigest() if y > x else "" for x, y in zip(at, at[1:])]
 
-    def whole(self, text: str) -> Piece | None:
-        """A text uncut, for texts of which some piece does not give its own bytes."""
-        return self.pieces([text])[0]
 
+class Aligner:
+    """Aligns texts; remembers what B made of a piece until there are too many."""
 
-def cut_text(text: str | None) -> list[str]:
-    return _CUT.split(text) if text else []
+    def __init__(self, vocabularies: Vocabularies):
+        self.a, self.b = vocabularies.a(), vocabularies.b()
+        self.b_bytes = vocabularies.b_bytes()
+        self.a_length = np.array([len(t) for t in vocabularies.a_bytes()], dtype=np.int64)
+        self.b_length = np.array([len(t) for t in self.b_bytes], dtype=np.int64)
+        self.known: dict[str, bytes] = {}
+        self.unlike: set[str] = set()  # pieces of which B's tokens give other bytes
+
+    def _gives(self, ids: list[int], text: str) -> bool:
+        return b"".join([self.b_bytes[i] for i in ids]) == b" " + text.encode()
+
+    def _learn(self, cut: list[list[str]]) -> None:
+        if len(self.known) > KNOWN_PIECES:
+            self.known, self.unlike = {}, set()
+        fresh = list({p for pieces in cut for p in pieces}.difference(self.known))
+        for piece, ids in zip(fresh, self.b.encode(fresh, num_threads=1) if fresh else []):
+            self.known[piece] = np.array(ids, dtype=np.int32).tobytes()
+            if not self._gives(ids, piece):
+                self.unlike.add(piece)
+
+    def _b_ids(self, text: str, pieces: list[str]) -> bytes | None:
+        if self.unlike.isdisjoint(pieces):
+            return b"".join(map(self.known.__getitem__, pieces))
+        ids = self.b.encode(text)
+        return np.array(ids, dtype=np.int32).tobytes() if self._gives(ids, text) else None
+
+    def __call__(self, texts: list[str | None], cut: list[list[str]]) -> Aligned:
+        self._learn(cut)
+        a_parts, b_parts, a_from, b_from = [], [], [0], [0]
+        for text, pieces in zip(texts, cut):
+            b_ids = self._b_ids(text, pieces) if text else None
+            if b_ids is not None:
+                a_parts.append(np.array(self.a.encode_ordinary(" " + text), dtype=np.int64))
+                b_parts.append(np.frombuffer(b_ids, dtype=np.int32))
+            a_from.append(a_from[-1] + (len(a_parts[-1]) if b_ids is not None else 0))
+            b_from.append(b_from[-1] + (len(b_parts[-1]) if b_ids is not None else 0))
+        a_ids = np.concatenate([np.zeros(0, dtype=np.int64), *a_parts])
+        b_ids = np.concatenate([np.zeros(0, dtype=np.int64), *b_parts]).astype(np.int64)
+        a_end, b_end = np.cumsum(self.a_length[a_ids]), np.cumsum(self.b_length[b_ids])
+        place = np.searchsorted(b_end, a_end)  # both sides of every text have the same bytes
+        together = b_end[place] == a_end if len(b_end) else np.zeros(0, dtype=bool)
+        a_from, b_from = np.array(a_from), np.array(b_from)
+        link_from = np.concatenate([[0], np.cumsum(together)])[a_from]
+        return Aligned(a_ids, b_ids, a_from, b_from, link_from, np.flatnonzero(together), place[together])
 
 
 def _text_groups(column: pa.Array) -> Iterator[tuple[list[str | None], list[list[str]]]]:
@@ -185,10 +244,9 @@ def _text_groups(column: pa.Array) -> Iterator[tuple[list[str | None], list[list
     texts, cut, held = [], [], 0
     for value in column:
         text = value.as_py()
-        pieces = cut_text(text)
         texts.append(text)
-        cut.append(pieces)
-        held += len(pieces)
+        cut.append(cut_text(text) if text else [])
+        held += len(cut[-1])
         if held >= PIECES_AT_ONCE:
             yield texts, cut
             texts, cut, held = [], [], 0
@@ -199,45 +257,19 @@ def _text_groups(column: pa.Array) -> Iterator[tuple[list[str | None], list[list
 # --- first pass: pairs of every task -----------------------------------------------------------------------
 
 
-def _counted(codes: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    pairs, at = np.unique(codes, return_inverse=True)
-    return pairs, np.bincount(at, weights=many, minlength=len(pairs)).astype(np.int64)
-
-
 def task_pairs(texts: DataFrame, vocabularies: Vocabularies) -> DataFrame:
-    """(pair, n): the linked pairs of every task, added up as far as the task remembers."""
+    """(pair, n): the linked pairs of every task with their number."""
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = Aligner(vocabularies)
-        times = np.zeros(0, dtype=np.int64)
-        extra: list[np.ndarray] = []
-
-        def flush() -> pa.RecordBatch:
-            used = np.flatnonzero(times)
-            found = [aligner.known[row].pairs for row in used.tolist()]
-            many = [np.repeat(times[used], [len(f) for f in found])] if found else []
-            codes = np.concatenate([np.zeros(0, dtype=np.int64), *found, *extra])
-            weights = np.concatenate([np.zeros(0, dtype=np.int64), *many, *[np.ones(len(e), dtype=np.int64) for e in extra]])
-            pairs, n = _counted(codes, weights)
-            return pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(n)], names=["pair", "n"])
-
+        pairs, n = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
         for batch in batches:
             for texts, cut in _text_groups(batch.column(0)):
-                if len(aligner.known) > KNOWN_PIECES or sum(map(len, extra)) > KNOWN_PIECES:
-                    yield flush()
-                    aligner.forget()
-                    times, extra = np.zeros(0, dtype=np.int64), []
-                aligner.learn(cut)
-                times = np.concatenate([times, np.zeros(len(aligner.known) - len(times), dtype=np.int64)])
-                for text, pieces in zip(texts, cut):
-                    rows = list(map(aligner.rows.__getitem__, pieces))
-                    if all(aligner.known[row] is not None for row in set(rows)):
-                        times += np.bincount(rows, minlength=len(times)) if len(rows) * 8 > len(times) else 0
-                        if len(rows) * 8 <= len(times):
-                            np.add.at(times, rows, 1)
-                    else:
-                        piece = aligner.whole(text)
-                        extra += [piece.pairs] if piece else []
-        yield flush()
+                fresh, many = np.unique(aligner(texts, cut).pairs(), return_counts=True)
+                pairs, at = np.unique(np.concatenate([pairs, fresh]), return_inverse=True)
+                total = np.zeros(len(pairs), dtype=np.int64)
+                np.add.at(total, at, np.concatenate([n, many]))
+                n = total
+        yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(n)], names=["pair", "n"])
 
     return texts.mapInArrow(count, "pair long, n long")
 
@@ -404,60 +436,28 @@ _FIELDS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
 def _aligned(text: Column, vocabularies: Vocabularies, shared) -> Column:
     schema = "struct<" + ",".join(f"{name}:long" for name in _FIELDS) + ",groups_sha256:string>"
 
-    def numbers(piece: Piece, table: PairTable) -> tuple[int, ...]:
-        counts, best = table.look_up(piece.pairs)
-        links = len(piece.pairs)
-        return piece.n_a, piece.n_b, links, links, int(best.sum()), int(counts.sum())
-
     @F.arrow_udf(schema)
     def aligned(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         aligner, table = Aligner(vocabularies), shared.value
-        facts = np.zeros((0, len(_FIELDS)), dtype=np.int64)
+        decimals = Decimals(max(len(aligner.a_length), len(aligner.b_length)))
         for column in texts:
-            out, digests = [], []
+            facts, digests = [np.zeros((0, len(_FIELDS)), dtype=np.int64)], []
             for group, cut in _text_groups(column):
-                if len(aligner.known) > KNOWN_PIECES:
-                    aligner.forget()
-                    facts = facts[:0]
-                aligner.learn(cut)
-                facts = np.concatenate([facts, _facts(aligner.known[len(facts):], table)])
-                for text, pieces in zip(group, cut):
-                    rows = list(map(aligner.rows.__getitem__, pieces))
-                    if not rows:
-                        out.append((0,) * len(_FIELDS))
-                        digests.append("")
-                    elif all(aligner.known[row] is not None for row in set(rows)):
-                        out.append(tuple(facts[rows].sum(axis=0).tolist()))
-                        digest = hashlib.sha256()
-                        for at in range(0, len(rows), PIECES_AT_ONCE):
-                            part = ";".join([aligner.known[row].groups for row in rows[at: at + PIECES_AT_ONCE]])
-                            digest.update(((";" if at else "") + part).encode())
-                        digests.append(digest.hexdigest())
-                    else:
-                        piece = aligner.whole(text)
-                        out.append(numbers(piece, table) if piece else (0,) * len(_FIELDS))
-                        digests.append(hashlib.sha256(piece.groups.encode()).hexdigest() if piece else "")
-            columns = np.array(out, dtype=np.int64).reshape(-1, len(_FIELDS))
+                found = aligner(group, cut)
+                pairs, at = np.unique(found.pairs(), return_inverse=True)
+                counts, best = table.look_up(pairs)
+                sums = [np.concatenate([[0], np.cumsum(values[at])])[found.link_from] for values in (best.astype(np.int64), counts)]
+                columns = [found.a_from, found.b_from, found.link_from, found.link_from, *sums]
+                facts.append(np.stack([np.diff(c) for c in columns], axis=1))
+                digests += found.digests(decimals)
+            columns = np.concatenate(facts)
             yield pa.StructArray.from_arrays(
-                [*[pa.array(columns[:, c]) for c in range(len(_FIELDS))], pa.array(digests, type=pa.string())],
+                [*[pa.array(np.ascontiguousarray(columns[:, c])) for c in range(len(_FIELDS))], pa.array(digests, type=pa.string())],
                 names=[*_FIELDS, "groups_sha256"])
 
     return aligned(text)
 
 
-def _facts(pieces: list[Piece | None], table: PairTable) -> np.ndarray:
-    """The numbers of each piece, looked up together."""
-    lengths = np.array([0 if p is None else len(p.pairs) for p in pieces], dtype=np.int64)
-    codes = np.concatenate([np.zeros(0, dtype=np.int64), *[p.pairs for p in pieces if p is not None]])
-    counts, best = table.look_up(codes)
-    owner = np.repeat(np.arange(len(pieces)), lengths)
-    total, n_best = np.zeros(len(pieces), dtype=np.int64), np.zeros(len(pieces), dtype=np.int64)
-    np.add.at(total, owner, counts)
-    np.add.at(n_best, owner, best)
-    n_a, n_b = (np.array([0 if p is None else getattr(p, side) for p in pieces], dtype=np.int64) for side in ("n_a", "n_b"))
-    return np.stack([n_a, n_b, lengths, lengths, n_best, total], axis=1)
-
-
 def pair_table(texts: DataFrame, vocabularies: Vocabularies) -> PairTable:
     """Counts of all linked pairs of the texts (the first column)."""
     bound = vocabularies.pair_bound()

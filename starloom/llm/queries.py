@@ -151,7 +151,8 @@ def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     from starloom.llm.alignment import Vocabularies, aligned_documents
 
     files = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
-    return aligned_documents(_table(spark, sf_dir, "documents"), Vocabularies.read(*files)).withColumnRenamed("id", "doc_id")
+    vocabularies = Vocabularies.read(*files, public_tokenizers.PATTERN)
+    return aligned_documents(_table(spark, sf_dir, "documents"), vocabularies).withColumnRenamed("id", "doc_id")
 
 
 _QUERIES = [

@@ -12,12 +12,12 @@ from starloom.llm.alignment import Aligner, PerfectHash, Vocabularies, aligned_d
 
 @pytest.fixture(scope="module")
 def vocabularies():
-    return Vocabularies.read(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return Vocabularies.read(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN)
 
 
 @pytest.fixture(scope="module")
 def sides(vocabularies):
-    from tokenizers import Tokenizer, pre_tokenizers  # noqa: F401
+    from tokenizers import Tokenizer
 
     a = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     a.encode_special_tokens = True
@@ -78,15 +78,21 @@ def test_pieces_give_what_the_whole_text_gives(vocabularies, sides):
     for text in strange_texts():
         pieces = cut_text(text)
         assert " ".join(pieces) == text
-        found = aligner.pieces(pieces)
-        whole = groups_of(text, sides)
-        if any(p is None for p in found):
-            p = aligner.whole(text)
-            assert (p is None) == (whole is None)
-            found = [p]
-        if whole is not None:
-            said = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in whole)
-            assert ";".join(p.groups for p in found) == said
+        found, whole = aligner([text], [pieces]), groups_of(text, sides)
+        assert found.a_ids.tolist() == [i for g in whole or [] for i in g[0]]
+        assert found.b_ids.tolist() == [i for g in whole or [] for i in g[1]]
+        assert len(found.a_last) == len(whole or [])
+
+
+def test_the_rank_form_of_the_first_vocabulary_is_the_same_tokenizer(vocabularies, sides):
+    """Every code point beside letters, digits and spaces (each tenth here; all were compared once)."""
+    points = [c for c in range(0, 0x110000, 10) if not 0xD800 <= c < 0xE000] + list(range(0x3000))
+    texts = [f" x{chr(c)}y 1{chr(c)}2 {chr(c)} .{chr(c)}" for c in points]
+    fast, vocabulary = vocabularies.a(), sides[0]
+    for at in range(0, len(texts), 5000):
+        part = texts[at: at + 5000]
+        for text, found in zip(part, vocabulary.encode_batch(part, add_special_tokens=False)):
+            assert fast.encode_ordinary(text) == found.ids
 
 
 @pytest.mark.parametrize("known", [1 << 17, 20])
