@@ -18,6 +18,7 @@ merge reaches over such a place.  Offsets, groups and links of many texts are th
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import re
 from collections.abc import Iterable, Iterator
@@ -208,10 +209,18 @@ class Aligner:
         if len(self.known) > KNOWN_PIECES:
             self.known, self.unlike = {}, set()
         fresh = list({p for pieces in cut for p in pieces}.difference(self.known))
-        for piece, ids in zip(fresh, self.b.encode(fresh, num_threads=1) if fresh else []):
-            self.known[piece] = np.array(ids, dtype=np.int32).tobytes()
-            if not self._gives(ids, piece):
-                self.unlike.add(piece)
+        if not fresh:
+            return
+        made = self.b.encode(fresh, num_threads=1)
+        many = np.fromiter(map(len, made), dtype=np.int64, count=len(made))
+        flat = np.fromiter(itertools.chain.from_iterable(made), dtype=np.int32, count=int(many.sum()))
+        raw, ends = flat.tobytes(), (4 * np.cumsum(many)).tolist()
+        self.known.update(zip(fresh, (raw[a:b] for a, b in zip([0, *ends], ends))))
+        wanted = [b" " + p.encode() for p in fresh]
+        length = np.diff(np.concatenate([[0], np.cumsum(self.b_length[flat])])[np.concatenate([[0], np.cumsum(many)])])
+        alike = np.array_equal(length, list(map(len, wanted)))
+        if not alike or b"".join(map(self.b_bytes.__getitem__, flat.tolist())) != b"".join(wanted):
+            self.unlike.update(p for p, ids in zip(fresh, made) if not self._gives(ids, p))
 
     def _b_ids(self, text: str, pieces: list[str]) -> bytes | None:
         if self.unlike.isdisjoint(pieces):
