@@ -26,7 +26,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.common import ragged, stream_groups, text_bytes, word_blocks
@@ -41,7 +41,8 @@ MOST_FREQUENT = 100_000  # shingles put last
 MOST_LIGHT = 16  # the boundary is at most this
 BLOCK_ROWS = 4_096  # members of a list that one task compares with each other; longer lists are cut into blocks
 PAIRS_AT_ONCE = 1 << 19
-LEAST_BITS, MOST_BITS = 256, 1 << 16
+LEAST_BITS, MOST_BITS = 512, 1 << 16
+PAIRS_HELD = 1 << 18  # candidates that a task holds back to say repeated ones once
 KNOWN_WORDS = 1 << 18
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -101,18 +102,18 @@ def node(shingles: np.ndarray) -> bytes:
     return xxhash.xxh128_digest(shingles.tobytes(), SEED)
 
 
-def in_order(shingles: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """The shingles in the common order: by hash, those in ``last`` (sorted) after all others."""
+def in_order(shingles: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, int]:
+    """The shingles in the common order, by hash, those in ``last`` (sorted) after all others; and how many others."""
     if not len(last) or not len(shingles):
-        return shingles
+        return shingles, len(shingles)
     late = last[np.minimum(np.searchsorted(last, shingles), len(last) - 1)] == shingles
-    return np.concatenate([shingles[~late], shingles[late]])
+    return np.concatenate([shingles[~late], shingles[late]]), len(shingles) - int(late.sum())
 
 
 def bitmap(shingles: np.ndarray) -> bytes:
     """Parity of the number of shingles per bit.  Two sets differ in at least as many shingles as their bitmaps in bits.
-    The number of bits is a power of two that follows the size; a longer bitmap is folded onto a shorter one."""
-    bits = min(max(LEAST_BITS, 1 << (len(shingles) - 1).bit_length() if len(shingles) else 0), MOST_BITS)
+    The number of bits is the power of two from twice the size on; a longer bitmap is folded onto a shorter one."""
+    bits = min(max(LEAST_BITS, 2 << (len(shingles) - 1).bit_length() if len(shingles) else 0), MOST_BITS)
     at = (shingles >> np.uint64(20) & np.uint64(bits - 1)).astype(np.int64)
     return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
 
@@ -182,20 +183,21 @@ def _sampled(docs: DataFrame, width: int) -> tuple[np.ndarray, int]:
 
 
 def _described(docs: DataFrame, width: int, last: np.ndarray, boundary: int) -> DataFrame:
-    """(id, th, node, size, bits, first): ``first`` holds the shingles of a light set and the list prefix of a heavy one,
-    NULL for a set that the task has seen before."""
+    """(id, th, node, size, rare, bits, first): ``first`` holds the shingles of a light set and the list prefix of a heavy
+    one, NULL for a set that the task has seen before; the first ``rare`` shingles of a set are not frequent ones."""
     id_type = docs.schema["id"].dataType.simpleString()
 
     def describe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, seen = Shingler(width), set()
         for batch in batches:
-            nodes, sizes, maps, firsts = [], [], [], []
+            nodes, sizes, rare, maps, firsts = [], [], [], [], []
             for raw in text_bytes(batch.column("text")):
                 found = shingler(raw)
                 name = node(found)
                 nodes.append(name)
                 sizes.append(len(found))
                 if name in seen or not len(found):
+                    rare.append(None)
                     maps.append(None)
                     firsts.append(None)
                     continue
@@ -203,7 +205,8 @@ def _described(docs: DataFrame, width: int, last: np.ndarray, boundary: int) ->
                     seen.clear()
                 seen.add(name)
                 maps.append(bitmap(found))
-                ordered = in_order(found, last)
+                ordered, before = in_order(found, last)
+                rare.append(before)
                 firsts.append(ordered if len(found) < boundary else ordered[: prefix_length(len(found))])
             lengths = [0 if f is None else len(f) for f in firsts]
             flat = np.concatenate([np.zeros(0, dtype=np.uint64), *[f for f in firsts if f is not None]]).view(np.int64)
@@ -212,10 +215,11 @@ def _described(docs: DataFrame, width: int, last: np.ndarray, boundary: int) ->
                 mask=pa.array([f is None for f in firsts], type=pa.bool_()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("th"), pa.array(nodes, type=pa.binary()), pa.array(sizes, type=pa.int32()),
-                 pa.array(maps, type=pa.binary()), first],
-                names=["id", "th", "node", "size", "bits", "first"])
+                 pa.array(rare, type=pa.int32()), pa.array(maps, type=pa.binary()), first],
+                names=["id", "th", "node", "size", "rare", "bits", "first"])
 
-    return docs.mapInArrow(describe, f"id {id_type}, th long, node binary, size int, bits binary, first array<long>")
+    schema = f"id {id_type}, th long, node binary, size int, rare int, bits binary, first array<long>"
+    return docs.mapInArrow(describe, schema)
 
 
 def _light_links(sets: DataFrame, boundary: int) -> DataFrame:
@@ -245,23 +249,36 @@ def _light_links(sets: DataFrame, boundary: int) -> DataFrame:
 
 
 def _members(sets: DataFrame, boundary: int, block_rows: int) -> DataFrame:
-    """Rows of the inverted lists that need a scan, each with its bitmap; a list of more than ``block_rows`` is cut into
-    blocks, and every pair of blocks (i <= j) gets its own copy of both."""
+    """Rows of the inverted lists that need a scan; a list of more than ``block_rows`` is cut into blocks, and every pair
+    of blocks (i <= j) gets its own copy of both.
+
+    Most shingles occur in one set.  Their rows go out with the one shuffle of the list entries; frequent shingles, whose
+    lists are long, are not part of it.  What is left is small.
+    """
     at = F.posexplode("first").alias("pos", "shingle")
-    posts = sets.where(5 * F.col("size") >= 4 * boundary).select("sid", "size", at)
+    posts = sets.where(5 * F.col("size") >= 4 * boundary).select("sid", "size", "rare", at)
     listed = -F.floor(-4 * (F.col("size") + F.ceil(4 * F.col("size") / 5)) / 9)  # need(size, smallest partner)
     posts = posts.where(F.col("pos") <= F.col("size") - listed)  # of a light set all shingles are at hand
-    lists = posts.groupBy("shingle").agg(
+    entry = ["shingle", "sid", "size", "pos"]
+    same = Window.partitionBy("shingle")
+    often = posts.where("pos < rare").select(
+        *entry, F.count(F.lit(1)).over(same).alias("n"), F.max("size").over(same).alias("most"))
+    often = often.where((F.col("n") > 1) & (F.col("most") >= boundary)).select(*entry)
+    often = materialise(often.union(posts.where("pos >= rare").select(*entry)), "ngram-entries")
+    lists = often.groupBy("shingle").agg(
         F.count(F.lit(1)).alias("n"), F.max("size").alias("most"), F.bit_xor(F.xxhash64("sid")).alias("h"),
         F.bit_xor(F.xxhash64("sid", F.lit(SEED))).alias("g"))
     lists = lists.where((F.col("n") > 1) & (F.col("most") >= boundary)).groupBy("n", "h", "g").agg(F.min("shingle").alias("shingle"))
     lists = materialise(lists.select("shingle", F.ceil(F.col("n") / block_rows).cast("int").alias("blocks")), "ngram-lists")
-    held = posts.join(lists, "shingle").join(sets.select("sid", "bits"), "sid")
+    return often.join(lists, "shingle")
+
+
+def _dealt(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Members with their bitmaps, dealt to blocks."""
     own = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = held.withColumn("block", own).withColumn("other", other)
-    return dealt.select(
-        "shingle", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "sid", "size", "pos", "bits")
+    held = members.join(sets.select("sid", "bits").hint("merge"), "sid").withColumn("block", own).withColumn("other", other)
+    return held.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("blocks", "other")
 
 
 class _Bitmaps:
@@ -339,20 +356,34 @@ def scan_list(group: dict[str, np.ndarray], boundary: int, nearest: bool) -> tup
             a, b, share = a[best], b[best], share[best]
         for kept, values in zip(found, (sid[a], sid[b], share)):
             kept.append(values)
-    return tuple(np.concatenate(part) if part else np.zeros(0) for part in found)
+    return tuple(np.concatenate(part) if part else np.zeros(0, dtype=np.int64) for part in found)
 
 
-def _candidates(members: DataFrame, boundary: int, nearest: bool) -> DataFrame:
+def _candidates(dealt: DataFrame, boundary: int, nearest: bool) -> DataFrame:
     keys = ["shingle", "i", "j"]
 
+    def said(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        u, v, share = (np.concatenate([part[c] for part in held]) for c in range(3))
+        order = np.lexsort((share, v, u))
+        u, v, share = u[order], v[order], share[order]
+        once = np.concatenate([[True], (u[1:] != u[:-1]) | (v[1:] != v[:-1])])
+        return pa.RecordBatch.from_arrays([pa.array(u[once]), pa.array(v[once]), pa.array(share[once])], names=["u", "v", "share"])
+
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
         for group in stream_groups(batches, keys, chunk_rows=1 << 14):
             if len(group["sid"]) > 1:
-                u, v, share = scan_list(group, boundary, nearest)
-                if len(u):
-                    yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.array(share)], names=["u", "v", "share"])
-
-    found = members.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(scan, "u long, v long, share double")
+                found = scan_list(group, boundary, nearest)
+                if len(found[0]):
+                    held.append(found)
+                    rows += len(found[0])
+            if rows >= PAIRS_HELD:
+                yield said(held)
+                held, rows = [], 0
+        if rows:
+            yield said(held)
+
+    found = dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(scan, "u long, v long, share double")
     if not nearest:
         return found.select("u", "v").distinct()
     return found.groupBy("u").agg(F.min(F.struct("share", "v")).alias("best")).select("u", "best.v")
@@ -409,7 +440,7 @@ def distinct_sets(docs: DataFrame, width: int = SHINGLE_WORDS, boundary: int | N
     last, chosen = _sampled(docs, width)
     boundary = chosen if boundary is None else boundary
     rows = materialise(_described(docs, width, last, boundary), "ngram-rows")
-    once = rows.where("first IS NOT NULL").dropDuplicates(["node"]).select("node", "th", "size", "bits", "first")
+    once = rows.where("first IS NOT NULL").dropDuplicates(["node"]).select("node", "th", "size", "rare", "bits", "first")
     return rows, materialise(once.select(F.monotonically_increasing_id().alias("sid"), "*"), "ngram-sets"), boundary
 
 
@@ -417,7 +448,7 @@ def similar_sets(docs: DataFrame, sets: DataFrame, boundary: int, width: int = S
     """Links (u, v) between ``sets`` whose components are those of all similar pairs."""
     light = materialise(_light_links(sets, boundary), "ngram-light-links")
     members = materialise(_members(sets, boundary, block_rows), "ngram-members")
-    first = materialise(_candidates(members, boundary, True), "ngram-nearest")
+    first = materialise(_candidates(_dealt(members, sets), boundary, True), "ngram-nearest")
     live = materialise(sets.select("sid", "node", "th").join(first.select(F.col("u").alias("sid")), "sid"), "ngram-live")
     contents = _contents(docs, live, width)
     first = first.where("v >= 0")
@@ -426,7 +457,7 @@ def similar_sets(docs: DataFrame, sets: DataFrame, boundary: int, width: int = S
     roots = connected_components(links, "ngram-found").withColumnRenamed("node", "sid")
     labels = live.select("sid").join(roots, "sid", "left").select("sid", F.coalesce("root", "sid").alias("label"))
     labels = materialise(labels, "ngram-labels")
-    rest = materialise(_candidates(members.join(labels, "sid"), boundary, False), "ngram-rest")
+    rest = materialise(_candidates(_dealt(members.join(labels, "sid"), sets), boundary, False), "ngram-rest")
     return links.union(_verified(rest, contents))
 
 
