@@ -50,3 +50,15 @@ def last_wins(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Colum
     order += [F.col(c).desc_nulls_last() for c in rest]
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
+
+
+def last_wins_counted(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], count: str) -> DataFrame:
+    """The row of ``last_wins`` per key, with the number of rows that had the key in ``count``.
+
+    The highest row is the greatest struct of the ordering and all other columns, so rows are counted and compared in one
+    aggregation that is partial before its shuffle.
+    """
+    rest = [c for c in df.columns if c not in keys and c not in order_by]
+    best = F.max(F.struct(*order_by, *rest)).alias("_best")
+    found = df.groupBy(*keys).agg(best, F.count(F.lit(1)).alias(count))
+    return found.select(*[F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in df.columns], count)

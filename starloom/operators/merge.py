@@ -130,12 +130,16 @@ def merge_fact(
         )
     if sync and retain_keys is None:
         return state
-    rest = target.join(source.select(*keys), keys, "left_anti")
-    if sync:
-        rest = rest.join(retain_keys.select(*keys), keys, "left_semi")
+    rest = retained_rows(target, source, keys, retain_keys if sync else None)
     return state.unionByName(rest.select(*target.columns))
 
 
+def retained_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], retain_keys: DataFrame | None) -> DataFrame:
+    """Rows of ``target`` whose key the source lacks, all of them or those that ``retain_keys`` names."""
+    rest = target.join(source.select(*keys), list(keys), "left_anti")
+    return rest if retain_keys is None else rest.join(retain_keys.select(*keys), list(keys), "left_semi")
+
+
 def sync_delete(target: DataFrame, live_keys: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``target`` whose key still exists in ``live_keys``."""
     return target.join(live_keys.select(*keys), list(keys), "left_semi")

@@ -142,6 +142,73 @@ def foreign_key_violations(df: DataFrame, table: str, rule: ForeignKeyRule, pare
     return _report(missing, table, F.lit(rule.name), _joined(cols), F.lit(f"no {rule.parent}"), F.col("n"))
 
 
+def _key_records(df: DataFrame, table: str, declared: Sequence[TableRules], with_rows: bool) -> DataFrame | None:
+    """One scan of a table as records (rule table, rule, key, n, here): a key of each of its unique and foreign-key rules, a
+    key that it offers as the parent of another table's rule (``here``), and, with ``with_rows``, each row rule it breaks.
+    Keys with a NULL part give none."""
+    records: list[Column] = []
+
+    def record(owner: str, rule: str, columns: Sequence[str], n: int, here: bool) -> Column:
+        parts = F.array(*[F.col(c).cast("string") for c in columns])
+        known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+        made = F.struct(F.lit(owner).alias("owner"), F.lit(rule).alias("rule"), parts.alias("key"),
+                        F.lit(n).cast("long").alias("n"), F.lit(here).alias("here"))
+        return F.when(known, made)
+
+    for spec in declared:
+        for rule in spec.rules:
+            if isinstance(rule, (UniqueRule, ForeignKeyRule)) and spec.table == table:
+                records.append(record(table, rule.name, rule.columns, 1, False))
+            if isinstance(rule, ForeignKeyRule) and rule.parent == table:
+                records.append(record(spec.table, rule.name, rule.parent_columns, 0, True))
+            if with_rows and isinstance(rule, RowRule) and spec.table == table:
+                broken = F.struct(
+                    F.lit(table).alias("owner"), F.lit(rule.name).alias("rule"), F.array().cast("array<string>").alias("key"),
+                    F.lit(1).cast("long").alias("n"), F.lit(False).alias("here"))
+                records.append(F.when(rule.broken(), broken))
+    if not records:
+        return None
+    return df.select(F.explode(F.array_compact(F.array(*records))).alias("r")).select("r.*")
+
+
+def counted_keys(tables: Mapping[str, DataFrame], declared: Sequence[TableRules], with_rows: bool = False) -> DataFrame:
+    """(owner, rule, key, n, here) of every key of every key rule: the rows that carry it and whether its parent has it.
+
+    Every table is scanned once, whatever the number of its rules, and one aggregation, partial before its one shuffle,
+    serves uniqueness and references alike: children and parents of a key meet in it.
+    """
+    used = [s for s in declared if s.table in tables]
+    used = [TableRules(s.table, s.key, [r for r in s.rules if not isinstance(r, ForeignKeyRule) or r.parent in tables]) for s in used]
+    parts = [p for name, df in tables.items() if (p := _key_records(df, name, used, with_rows)) is not None]
+    if not parts:
+        raise ValueError("no declared rule applies to the given tables")
+    records = reduce(DataFrame.unionByName, parts)
+    return records.groupBy("owner", "rule", "key").agg(F.sum("n").alias("n"), F.max("here").alias("here"))
+
+
+def _kind(name: str) -> Column:
+    return F.col("rule").startswith(f"{name}:")
+
+
+def quality_summary(tables: Mapping[str, DataFrame], declared: Sequence[TableRules]) -> DataFrame:
+    """``summarise(violations(…))`` in one scan per table and one aggregation by key."""
+    found = counted_keys(tables, declared, with_rows=True)
+    row_rule = F.size("key") == 0
+    bad = row_rule | (_kind("unique") & (F.col("n") > 1)) | (_kind("foreign_key") & (F.col("n") > 0) & ~F.col("here"))
+    return found.where(bad).groupBy(F.col("owner").alias("table_name"), "rule").agg(
+        F.sum(F.when(row_rule, F.col("n")).otherwise(1)).alias("n_violations"), F.sum("n").alias("n_rows"))
+
+
+def reference_summary(tables: Mapping[str, DataFrame], declared: Sequence[TableRules]) -> DataFrame:
+    """Per foreign key its different keys and rows, and how many of both have no parent."""
+    only = [TableRules(s.table, s.key, [r for r in s.rules if isinstance(r, ForeignKeyRule)]) for s in declared]
+    found = counted_keys(tables, only).where("n > 0")
+    missing = F.when(~F.col("here"), F.col("n")).otherwise(0)
+    return found.groupBy(F.col("owner").alias("table_name"), "rule").agg(
+        F.count(F.lit(1)).alias("n_keys"), F.sum("n").alias("n_rows"), F.count_if(~F.col("here")).alias("n_missing_keys"),
+        F.sum(missing).alias("n_missing_rows"))
+
+
 def violations(tables: Mapping[str, DataFrame], declared: Sequence[TableRules]) -> DataFrame:
     """Union of the violations of every declared rule whose table is given."""
     parts: list[DataFrame] = []

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.dates import smart_key, year_end_key, year_start_key
-from starloom.operators.keys import last_wins
+from starloom.operators.keys import last_wins, last_wins_counted
 from starloom.operators.lookup import lookup
 from starloom.operators.merge import is_empty, merge_fact
 from starloom.plans.dimensions import unique_entities
@@ -32,6 +32,10 @@ HOT_KEY_SETS = {
 }
 
 
+# Source rows that a fact row stands for: repeated keys, and lines of the contract of a claim.  Fact sources carry it, so
+# that a load counts its source rows while it writes; ``ordered`` leaves it out.
+SOURCE_ROWS = "_source_rows"
+
 _CLAIM_ORDER = ["fecha_siniestro", "fecha_respuesta", "id_rechazo", "monto_reconocido", "monto_solicitado"]
 
 
@@ -77,7 +81,7 @@ def contract_fact_source(
         lines, dims["dim_contrato"], {"nro_contrato": "nro_contrato_nk"}, ["sk_dim_contrato"],
         hot=_hot(hot, "contract"), spread_by=spread,
     )
-    keyed = keyed if unique_keys else last_wins(keyed, spread, order)
+    keyed = keyed.withColumn(SOURCE_ROWS, F.lit(1).cast("long")) if unique_keys else last_wins_counted(keyed, spread, order, SOURCE_ROWS)
     keyed = lookup(
         keyed, client_keys(src, dims), ["cod_cliente"], ["sk_dim_cliente", "sk_dim_sucursal"], "inner",
         hot=_hot(hot, "client"), spread_by=spread,
@@ -93,14 +97,15 @@ def contract_fact_source(
         smart_key(F.col("fecha_fin")).alias("sk_dim_tiempo_fecha_fin"),
         "sk_dim_cliente", "sk_dim_contrato", "sk_dim_producto", "sk_dim_estado_contrato", "sk_dim_sucursal",
         F.col("monto").cast("decimal(18,2)").alias("monto"),
-        *_counters(),
+        *_counters(), SOURCE_ROWS,
     )
 
 
 def last_line_per_contract(
-    src: Tables, clients: DataFrame, columns: Sequence[str], hot: Hot | None = None
+    src: Tables, clients: DataFrame, columns: Sequence[str], hot: Hot | None = None, count: str | None = None
 ) -> DataFrame:
-    """The highest (client, product) line of each contract, with ``columns`` of its client.
+    """The highest (client, product) line of each contract, with ``columns`` of its client and, if asked for, the number of
+    its lines.
 
     Joining claims to this instead of to the lines gives the row that would survive the fan-out anyway, without
     producing it.
@@ -110,6 +115,8 @@ def last_line_per_contract(
         lines, clients, ["cod_cliente"], columns, "inner", hot=_hot(hot, "client"),
         spread_by=["nro_contrato", "cod_producto"],
     )
+    if count:
+        return last_wins_counted(known, ["nro_contrato"], ["cod_cliente", "cod_producto"], count)
     return last_wins(known, ["nro_contrato"], ["cod_cliente", "cod_producto"])
 
 
@@ -129,18 +136,21 @@ def claim_fact_source(
     """Keyed claims: contract-level keys are resolved once per contract, then joined to the claims.  The contract key
     comes last, so its shuffle also serves the join with the claims."""
     spread = ["nro_siniestro", "nro_contrato"]
-    contracts = last_line_per_contract(src, client_keys(src, dims), ["sk_dim_cliente", "sk_dim_sucursal"], hot_lines)
+    contracts = last_line_per_contract(
+        src, client_keys(src, dims), ["sk_dim_cliente", "sk_dim_sucursal"], hot_lines, count="_lines")
     contracts = lookup(
         contracts, dims["dim_producto"], {"cod_producto": "cod_producto_nk"}, ["sk_dim_producto"],
         hot=_hot(hot_lines, "product"), spread_by=["nro_contrato"],
     )
     contracts = lookup(contracts, dims["dim_contrato"], {"nro_contrato": "nro_contrato_nk"}, ["sk_dim_contrato"])
     claims = src["registro_siniestro"]
-    if not unique_keys:
-        claims = last_wins(claims, spread, _CLAIM_ORDER)
+    if unique_keys:
+        claims = claims.withColumn("_claims", F.lit(1).cast("long"))
+    else:
+        claims = last_wins_counted(claims, spread, _CLAIM_ORDER, "_claims")
     keyed = lookup(
         claims, contracts, ["nro_contrato"],
-        ["sk_dim_contrato", "sk_dim_cliente", "sk_dim_sucursal", "sk_dim_producto"], "inner",
+        ["sk_dim_contrato", "sk_dim_cliente", "sk_dim_sucursal", "sk_dim_producto", "_lines"], "inner",
         hot=_hot(hot_claims, "contract"), spread_by=spread,
     )
     keyed = lookup(
@@ -152,6 +162,7 @@ def claim_fact_source(
         smart_key(F.col("fecha_respuesta")).alias("sk_fecha_respuesta"),
         "sk_dim_cliente", "sk_dim_contrato", "sk_dim_sucursal", "sk_dim_producto", "sk_dim_siniestro",
         F.lit(1).alias("cantidad"), "monto_reconocido", "monto_solicitado", "id_rechazo",
+        (F.col("_claims") * F.col("_lines")).alias(SOURCE_ROWS),
     )
 
 
@@ -170,7 +181,8 @@ def latest_end_per_pair(src: Tables) -> DataFrame:
 
 def kept_ratings(src: Tables) -> DataFrame:
     """The winning rating of every (client, product) that has a contract, dated by the latest contract end."""
-    ratings = last_wins(src["recomienda"], ["cod_cliente", "cod_producto"], ["cod_evaluacion_servicio", "recomienda_amigo"])
+    ratings = last_wins_counted(
+        src["recomienda"], ["cod_cliente", "cod_producto"], ["cod_evaluacion_servicio", "recomienda_amigo"], SOURCE_ROWS)
     dated = lookup(ratings, latest_end_per_pair(src), ["cod_cliente", "cod_producto"], ["fecha_eval"], "inner")
     return dated.where("fecha_eval IS NOT NULL")
 
@@ -203,7 +215,7 @@ def rating_fact_source(src: Tables, dims: Tables, hot: Hot | None = None) -> Dat
     return keyed.select(
         smart_key(F.col("fecha_eval")).alias("sk_dim_tiempo_evaluacion"), "sk_dim_cliente", "sk_dim_producto",
         F.col("sk_dim_evaluacion").alias("sk_dim_evaluacion_servicio"), F.lit(1).alias("cantidad"),
-        flag.alias("recomienda_amigo"),
+        flag.alias("recomienda_amigo"), SOURCE_ROWS,
     )
 
 
@@ -229,28 +241,6 @@ def load_goals(goals: DataFrame, dims: Tables, target: DataFrame | None) -> Data
     return merge_fact(target, goal_fact_source(goals, dims), FACT_KEYS["fact_metas"])
 
 
-def source_row_counts(src: Tables) -> dict[str, DataFrame]:
-    """Source rows each fact load would visit, as one-row frames: the base of the matched-row count.
-
-    Claims fan out over the lines of their contract; the fan-out is counted by multiplying per-contract counts,
-    not by producing it.
-    """
-    lines = lookup(src["registro_contrato"], src["cliente"], ["cod_cliente"], how="semi")
-    per_contract = lines.groupBy("nro_contrato").agg(F.count(F.lit(1)).alias("n_lines"))
-    claims = src["registro_siniestro"].groupBy("nro_contrato").agg(F.count(F.lit(1)).alias("n_claims"))
-    fan_out = claims.join(per_contract, "nro_contrato").agg(
-        F.coalesce(F.sum(F.col("n_claims") * F.col("n_lines")), F.lit(0)).alias("n"))
-    pairs = latest_end_per_pair(src)
-    ratings = src["recomienda"].groupBy("cod_cliente", "cod_producto").agg(F.count(F.lit(1)).alias("n_ratings"))
-    kept = ratings.join(pairs, ["cod_cliente", "cod_producto"], "left_semi").agg(
-        F.coalesce(F.sum("n_ratings"), F.lit(0)).alias("n"))
-    return {
-        "fact_registro_contrato": lines.agg(F.count(F.lit(1)).alias("n")),
-        "fact_registro_siniestro": fan_out,
-        "fact_evaluacion_servicio": kept,
-    }
-
-
 def ordered(df: DataFrame, fact: str) -> DataFrame:
     """Columns of a fact in their declared order."""
     return df.select(*FACT_COLUMNS[fact])

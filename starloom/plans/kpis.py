@@ -3,19 +3,91 @@
 Facts are aggregated by surrogate key before any dimension is joined, so the shuffle carries one row per key
 and map task instead of the fact, and a hot key is combined map-side.  Names are grouped after the join, because
 equal names must merge.
+
+What a KPI takes from a fact are additive parts: counts and sums per key.  They can be kept, and updated with the rows
+that a change batch added and removed; a report is made from kept parts as from the fact.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.functions.dates import key_year
-
 Tables = Mapping[str, DataFrame]
 _EXACT = "decimal(22,2)"  # leaves 16 digits for the quotient before it is rounded
+_SUM = "decimal(28,2)"
+
+
+@dataclass(frozen=True)
+class Parts:
+    """Additive parts of one fact: per key (name -> SQL expression) the rows ``n`` and sums (name -> SQL expression)."""
+
+    fact: str
+    keys: Mapping[str, str]
+    sums: Mapping[str, str] = field(default_factory=dict)
+
+    def of(self, rows: DataFrame, sign: int = 1) -> DataFrame:
+        keys = [F.expr(e).alias(k) for k, e in self.keys.items()]
+        sums = [(F.coalesce(F.sum(F.expr(e).cast(_SUM)), F.lit(0)) * sign).cast(_SUM).alias(k) for k, e in self.sums.items()]
+        return rows.groupBy(*keys).agg((F.count(F.lit(1)) * sign).cast("long").alias("n"), *sums)
+
+    def updated(self, kept: DataFrame, added: DataFrame, removed: DataFrame) -> DataFrame:
+        """Kept parts after rows were added to and removed from the fact; only these rows are read."""
+        moved = kept.unionByName(self.of(added)).unionByName(self.of(removed, -1))
+        sums = [F.sum(k).cast(_SUM).alias(k) for k in self.sums]
+        total = moved.groupBy(*self.keys).agg(F.sum("n").cast("long").alias("n"), *sums)
+        return total.where("n <> 0") if self.keys else total
+
+
+_CONTRACTS, _CLAIMS, _RATINGS = "fact_registro_contrato", "fact_registro_siniestro", "fact_evaluacion_servicio"
+_PRODUCT = {"sk_dim_producto": "sk_dim_producto"}
+# Parts of each KPI by name.
+KPI_PARTS: dict[str, dict[str, Parts]] = {
+    "response_days": {"claims": Parts(_CLAIMS, {c: c for c in ("sk_fecha_siniestro", "sk_fecha_respuesta")})},
+    "contracts_by_state": {"contracts": Parts(_CONTRACTS, {"sk_dim_estado_contrato": "sk_dim_estado_contrato"})},
+    "claim_rate": {"contracts": Parts(_CONTRACTS, _PRODUCT), "claims": Parts(_CLAIMS, _PRODUCT)},
+    "rating_recommend": {"ratings": Parts(
+        _RATINGS, {**_PRODUCT, "sk_dim_evaluacion_servicio": "sk_dim_evaluacion_servicio"},
+        {"yes": "recomienda_amigo", "told": "CASE WHEN recomienda_amigo IS NOT NULL THEN 1 ELSE 0 END"})},
+    "goal_attainment": {"contracts": Parts(
+        _CONTRACTS, {**_PRODUCT, "anio": "CAST(sk_dim_tiempo_fecha_inicio div 10000 AS INT)"}, {"monto": "monto"})},
+    "income_by_type": {"contracts": Parts(_CONTRACTS, _PRODUCT, {"monto": "monto"})},
+    "rejected_share": {"claims": Parts(_CLAIMS, {}, {"rejected": "CASE WHEN id_rechazo = 'SI' THEN 1 ELSE 0 END"})},
+    "amount_by_branch": {"contracts": Parts(_CONTRACTS, {"sk_dim_sucursal": "sk_dim_sucursal"}, {"monto": "monto"})},
+}
+
+
+def kept_name(kpi: str, part: str) -> str:
+    """Table in which the parts of a KPI are kept."""
+    return f"kpi_{kpi}_{part}"
+
+
+def kpi_parts(wh: Tables) -> dict[str, DataFrame]:
+    """All parts of all KPIs, from the facts, by the name of the table that keeps them."""
+    return {kept_name(kpi, part): spec.of(wh[spec.fact]) for kpi, parts in KPI_PARTS.items() for part, spec in parts.items()}
+
+
+def updated_parts(kept: Tables, added: Tables, removed: Tables) -> dict[str, DataFrame]:
+    """All kept parts after rows were added to and removed from facts (by fact; a fact may be missing)."""
+    out = {}
+    for kpi, parts in KPI_PARTS.items():
+        for part, spec in parts.items():
+            if spec.fact in added:
+                name = kept_name(kpi, part)
+                out[name] = spec.updated(kept[name], added[spec.fact], removed[spec.fact])
+    return out
+
+
+def from_kept(kpi: str, wh: Tables) -> DataFrame:
+    """A KPI from the parts that the warehouse keeps: no fact is read, except the goals."""
+    return KPIS[kpi][0](wh, parts={part: wh[kept_name(kpi, part)] for part in KPI_PARTS[kpi]})
+
+
+def _parts(kpi: str, wh: Tables, parts: Tables | None) -> Tables:
+    return parts if parts is not None else {name: spec.of(wh[spec.fact]) for name, spec in KPI_PARTS[kpi].items()}
 
 
 def _ratio(top: Column, bottom: Column, digits: int, percent: bool = False) -> Column:
@@ -24,38 +96,36 @@ def _ratio(top: Column, bottom: Column, digits: int, percent: bool = False) -> C
     return F.round(quotient * F.lit(100).cast("decimal(3,0)") if percent else quotient, digits)
 
 
-def _amount_by_name(fact: DataFrame, dim: DataFrame, key: str, name: str, out: str) -> DataFrame:
-    per_key = fact.groupBy(key).agg(F.sum("monto").alias("_amount"))
+def _amount_by_name(per_key: DataFrame, dim: DataFrame, key: str, name: str, out: str) -> DataFrame:
     named = per_key.join(dim.select(key, name), key)
-    totals = named.groupBy(name).agg(F.round(F.sum("_amount"), 2).alias(out))
+    totals = named.groupBy(name).agg(F.round(F.sum("monto"), 2).alias(out))
     return totals.orderBy(F.col(out).desc_nulls_last(), name)
 
 
-def response_days(wh: Tables) -> DataFrame:
+def response_days(wh: Tables, parts: Tables | None = None) -> DataFrame:
     """Mean days from claim to response; open claims drop out of the second date join."""
     days = wh["dim_tiempo"].select("sk_dim_tiempo", "fecha_completa")
     opened = days.select(F.col("sk_dim_tiempo").alias("sk_fecha_siniestro"), F.col("fecha_completa").alias("_from"))
     closed = days.select(F.col("sk_dim_tiempo").alias("sk_fecha_respuesta"), F.col("fecha_completa").alias("_to"))
-    per_dates = wh["fact_registro_siniestro"].groupBy("sk_fecha_siniestro", "sk_fecha_respuesta").agg(
-        F.count(F.lit(1)).alias("_n"))
-    dated = per_dates.join(opened, "sk_fecha_siniestro").join(
-        closed, "sk_fecha_respuesta")
-    total = F.sum((F.datediff("_to", "_from") * F.col("_n")).cast("decimal(28,2)"))
-    return dated.agg(_ratio(total, F.sum("_n"), 2).alias("dias_promedio_respuesta"))
+    per_dates = _parts("response_days", wh, parts)["claims"]
+    dated = per_dates.join(opened, "sk_fecha_siniestro").join(closed, "sk_fecha_respuesta")
+    total = F.sum((F.datediff("_to", "_from") * F.col("n")).cast(_SUM))
+    return dated.agg(_ratio(total, F.sum("n"), 2).alias("dias_promedio_respuesta"))
 
 
-def contracts_by_state(wh: Tables) -> DataFrame:
-    per_key = wh["fact_registro_contrato"].groupBy("sk_dim_estado_contrato").agg(F.count(F.lit(1)).alias("_n"))
+def contracts_by_state(wh: Tables, parts: Tables | None = None) -> DataFrame:
+    per_key = _parts("contracts_by_state", wh, parts)["contracts"]
     states = wh["dim_estado_contrato"].select("sk_dim_estado_contrato", "descrip_estado")
     counts = per_key.join(states, "sk_dim_estado_contrato").groupBy("descrip_estado").agg(
-        F.sum("_n").alias("cantidad_contratos"))
+        F.sum("n").alias("cantidad_contratos"))
     return counts.orderBy(F.desc("cantidad_contratos"), "descrip_estado")
 
 
-def claim_rate(wh: Tables) -> DataFrame:
+def claim_rate(wh: Tables, parts: Tables | None = None) -> DataFrame:
     """Claims per contract and product; every product is shown, also without contracts."""
-    contracts = wh["fact_registro_contrato"].groupBy("sk_dim_producto").agg(F.count(F.lit(1)).alias("_c"))
-    claims = wh["fact_registro_siniestro"].groupBy("sk_dim_producto").agg(F.count(F.lit(1)).alias("_s"))
+    per_key = _parts("claim_rate", wh, parts)
+    contracts = per_key["contracts"].withColumnRenamed("n", "_c")
+    claims = per_key["claims"].withColumnRenamed("n", "_s")
     products = wh["dim_producto"].select("sk_dim_producto", "nb_producto")
     n_contracts, n_claims = F.coalesce("_c", F.lit(0)), F.coalesce("_s", F.lit(0))
     rates = products.join(contracts, "sk_dim_producto", "left").join(claims, "sk_dim_producto", "left").select(
@@ -67,34 +137,39 @@ def claim_rate(wh: Tables) -> DataFrame:
     return rates.orderBy(F.col("tasa_siniestralidad").desc_nulls_last(), "nb_producto", "contratos", "siniestros")
 
 
-def rating_recommend(wh: Tables) -> DataFrame:
+def rating_recommend(wh: Tables, parts: Tables | None = None) -> DataFrame:
     """Mean rating code and share of recommendations per product name; products without ratings are absent."""
-    per_key = wh["fact_evaluacion_servicio"].groupBy("sk_dim_producto", "sk_dim_evaluacion_servicio").agg(
-        F.count(F.lit(1)).alias("_n"), F.sum("recomienda_amigo").alias("_yes"), F.count("recomienda_amigo").alias("_told"))
+    per_key = _parts("rating_recommend", wh, parts)["ratings"]
     ratings = wh["dim_evaluacion_servicio"].select(
         F.col("sk_dim_evaluacion").alias("sk_dim_evaluacion_servicio"), "cod_evaluacion_nk")
     products = wh["dim_producto"].select("sk_dim_producto", "nb_producto")
     named = per_key.join(ratings, "sk_dim_evaluacion_servicio").join(products, "sk_dim_producto")
-    points = F.sum(F.col("cod_evaluacion_nk") * F.col("_n"))
+    points = F.sum(F.col("cod_evaluacion_nk") * F.col("n"))
     means = named.groupBy("nb_producto").agg(
-        _ratio(points, F.sum("_n"), 2).alias("calificacion_promedio"),
-        _ratio(F.sum("_yes"), F.sum("_told"), 1, percent=True).alias("pct_recomienda"),
+        _ratio(points, F.sum("n"), 2).alias("calificacion_promedio"),
+        _ratio(F.sum("yes"), F.sum("told"), 1, percent=True).alias("pct_recomienda"),
     )
     return means.orderBy(F.col("calificacion_promedio").desc_nulls_last(), "nb_producto")
 
 
-def goal_attainment(wh: Tables, product: int | None = None, year: int | None = None) -> DataFrame:
+def _starting_in(wh: Tables, year: int) -> DataFrame:
+    """Contract facts of one year; a published fact is laid out by it, so the other years' folders are not read."""
+    low, high, key = year * 10000 + 101, year * 10000 + 1231, "sk_dim_tiempo_fecha_inicio"
+    pruned = getattr(wh, "between", None)
+    return pruned(_CONTRACTS, key, low, high) if pruned else wh[_CONTRACTS].where(F.col(key).between(low, high))
+
+
+def goal_attainment(wh: Tables, product: int | None = None, year: int | None = None, parts: Tables | None = None) -> DataFrame:
     """Real income against the goal per product and year, optionally for one product and one year."""
-    goals = wh["fact_metas"].withColumn("anio", key_year(F.col("sk_dim_fecha_inicio_meta")))
+    goals = wh["fact_metas"].withColumn("anio", F.expr("CAST(sk_dim_fecha_inicio_meta div 10000 AS INT)"))
     products = wh["dim_producto"].select("sk_dim_producto", "cod_producto_nk", "nb_producto")
-    lines = wh["fact_registro_contrato"]
-    if year is not None:
-        goals = goals.where(F.col("anio") == year)
-        lines = lines.where(F.col("sk_dim_tiempo_fecha_inicio").between(year * 10000 + 101, year * 10000 + 1231))
     if product is not None:
         products = products.where(F.col("cod_producto_nk") == product)
-    real = lines.groupBy("sk_dim_producto", key_year(F.col("sk_dim_tiempo_fecha_inicio")).alias("anio")).agg(
-        F.sum("monto").alias("_real"))
+    if year is not None:
+        goals = goals.where(F.col("anio") == year)
+        if parts is None:
+            parts = {"contracts": KPI_PARTS["goal_attainment"]["contracts"].of(_starting_in(wh, year))}
+    real = _parts("goal_attainment", wh, parts)["contracts"].select("sk_dim_producto", "anio", F.col("monto").alias("_real"))
     joined = goals.join(products, "sk_dim_producto").join(real, ["sk_dim_producto", "anio"], "left")
     amount = F.coalesce("_real", F.lit(0).cast("decimal(18,2)"))
     return joined.select(
@@ -103,28 +178,27 @@ def goal_attainment(wh: Tables, product: int | None = None, year: int | None = N
     )
 
 
-def income_by_type(wh: Tables) -> DataFrame:
-    return _amount_by_name(
-        wh["fact_registro_contrato"], wh["dim_producto"], "sk_dim_producto", "nb_tipo_producto", "ingreso_total")
+def income_by_type(wh: Tables, parts: Tables | None = None) -> DataFrame:
+    per_key = _parts("income_by_type", wh, parts)["contracts"]
+    return _amount_by_name(per_key, wh["dim_producto"], "sk_dim_producto", "nb_tipo_producto", "ingreso_total")
 
 
-def rejected_share(wh: Tables) -> DataFrame:
+def rejected_share(wh: Tables, parts: Tables | None = None) -> DataFrame:
     """Share of claims whose rejection code is exactly 'SI'; NULL for an empty fact."""
-    rejected = F.count_if(F.col("id_rechazo") == "SI")
-    total = F.count(F.lit(1))
-    return wh["fact_registro_siniestro"].agg(
+    rejected, total = F.coalesce(F.sum("rejected"), F.lit(0)).cast("long"), F.coalesce(F.sum("n"), F.lit(0))
+    return _parts("rejected_share", wh, parts)["claims"].agg(
         rejected.alias("rechazados"), total.alias("total_siniestros"),
         _ratio(rejected, total, 1, percent=True).alias("pct_rechazados"),
     )
 
 
-def amount_by_branch(wh: Tables) -> DataFrame:
-    return _amount_by_name(
-        wh["fact_registro_contrato"], wh["dim_sucursal"], "sk_dim_sucursal", "nb_sucursal", "monto_total")
+def amount_by_branch(wh: Tables, parts: Tables | None = None) -> DataFrame:
+    per_key = _parts("amount_by_branch", wh, parts)["contracts"]
+    return _amount_by_name(per_key, wh["dim_sucursal"], "sk_dim_sucursal", "nb_sucursal", "monto_total")
 
 
 # KPI name -> (report, group columns); a KPI without group columns is a single row.
-KPIS: dict[str, tuple[Callable[[Tables], DataFrame], list[str]]] = {
+KPIS: dict[str, tuple[Callable[..., DataFrame], list[str]]] = {
     "response_days": (response_days, []),
     "contracts_by_state": (contracts_by_state, ["descrip_estado"]),
     "claim_rate": (claim_rate, ["nb_producto"]),

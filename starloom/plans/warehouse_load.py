@@ -8,6 +8,7 @@ the load.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -17,11 +18,12 @@ from pyspark.sql import functions as F
 
 from starloom.operators.calendar import DEFAULT_FIRST_DAY, DEFAULT_LAST_DAY, extend_calendar
 from starloom.operators.lookup import find_hot_keys
-from starloom.operators.merge import is_empty, merge_fact, merge_metrics
+from starloom.operators.merge import is_empty, merge_metrics, retained_rows
 from starloom.plans import dimensions, facts
-from starloom.schemas import DIMENSIONS, FACT_DATES, FACT_KEYS, FACT_REQUIRED
+from starloom.plans.kpis import kpi_parts
+from starloom.schemas import DIMENSIONS, FACT_DATES, FACT_KEYS, FACT_REQUIRED, FACT_YEARS, REGISTER_KEYS
 from starloom.session import materialise
-from starloom.sources.store import Load, Origin, WarehouseStore
+from starloom.sources.store import Change, Layout, Load, Origin, WarehouseStore
 
 METRICS_SCHEMA = (
     "table_name STRING, inserted LONG, matched LONG, changed LONG, deleted LONG, kept LONG, discarded LONG, source_rows LONG"
@@ -50,9 +52,8 @@ def _run(jobs: Mapping[str, Callable[[], object]], workers: int) -> dict[str, ob
         return {name: p.result() for name, p in pending.items()}
 
 
-def _checked_write(load: Load, name: str, df: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Write a fact and count its unresolved keys and its dates outside the calendar in the same pass."""
-    seen = Observation(f"{name}-keys")
+def _flagged(df: DataFrame, name: str, calendar: DataFrame) -> tuple[DataFrame, list]:
+    """A fact source with marks of its calendar days, and the counts that must be zero."""
     days = calendar.select("sk_dim_tiempo")
     flagged, checks = df, []
     for i, column in enumerate(FACT_DATES[name]):
@@ -60,27 +61,60 @@ def _checked_write(load: Load, name: str, df: DataFrame, calendar: DataFrame) ->
         flagged = flagged.join(known, column, "left")
         outside = F.col(column).isNotNull() & F.col(f"_day{i}").isNull()
         checks.append(F.count_if(outside).alias(f"{column} outside the calendar"))
-    checks += [F.count_if(F.col(c).isNull()).alias(f"{c} unresolved") for c in FACT_REQUIRED[name]]
-    observed = flagged.observe(seen, *checks).select(*df.columns)
-    written = load.write(name, observed)
-    broken = {k: v for k, v in seen.get.items() if v}
-    keys = written.groupBy(*FACT_KEYS[name]).count().where("count > 1")  # the written key columns alone
-    if not is_empty(keys):
-        broken["repeated fact keys"] = keys.count()
-    if broken:
-        raise LoadAborted(f"{name}: {broken}")
-    return written
+    return flagged, checks + [F.count_if(F.col(c).isNull()).alias(f"{c} unresolved") for c in FACT_REQUIRED[name]]
+
 
+def observed_fact(df: DataFrame, name: str, calendar: DataFrame) -> tuple[DataFrame, Observation]:
+    """A fact source that counts, in the pass that uses it, its unresolved keys, dates outside the calendar, source rows and
+    rows that no source row stands for."""
+    counted = df if facts.SOURCE_ROWS in df.columns else df.withColumn(facts.SOURCE_ROWS, F.lit(1).cast("long"))
+    flagged, checks = _flagged(counted, name, calendar)
+    seen = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
+    stands = F.col(facts.SOURCE_ROWS)
+    totals = [F.count(F.lit(1)).alias("_rows"), F.coalesce(F.sum(stands), F.lit(0)).alias("_source"), F.count_if(stands == 0).alias("_kept")]
+    return facts.ordered(flagged.observe(seen, *checks, *totals), name), seen
 
-def _fact_metrics(
-    previous: DataFrame | None, source: DataFrame, name: str, retain: DataFrame | None, source_rows: int | None
-) -> dict[str, int]:
-    """Counts of a fact load.  ``matched`` counts source rows, so a second row with the key of the first is a match."""
-    row = merge_metrics(previous, source, FACT_KEYS[name], retain_keys=retain).first().asDict()
-    if source_rows is not None:
-        row["source_rows"] = source_rows
-        row["matched"] = source_rows - row["inserted"]
-    return row
+
+def require_checked(name: str, seen: Observation) -> dict[str, int]:
+    """The totals of an observed fact; raises if a check counted anything."""
+    found = dict(seen.get)
+    totals = {k: int(found.pop(k) or 0) for k in ("_rows", "_source", "_kept")}
+    broken = {k: v for k, v in found.items() if v}
+    if broken:
+        raise LoadAborted(f"{name}: {broken}")
+    return totals
+
+
+def _checked_write(load: Load, name: str, df: DataFrame, calendar: DataFrame, unique: bool) -> tuple[Change, dict[str, int]]:
+    """Write the parts of a fact that differ; checks and counts are taken in the same pass.  Keys are checked for repeats
+    only if nothing has made them ``unique``."""
+    observed, seen = observed_fact(df, name, calendar)
+    change = load.write_changed(name, facts.ordered(df, name), Layout.by_year(FACT_YEARS[name]), observed)
+    totals = require_checked(name, seen)
+    if not unique:
+        keys = load.table(name).groupBy(*FACT_KEYS[name]).count().where("count > 1")  # the written key columns alone
+        if not is_empty(keys):
+            raise LoadAborted(f"{name}: {{'repeated fact keys': {keys.count()}}}")
+    return change, totals
+
+
+def _fact_metrics(load: Load, name: str, change: Change, totals: dict[str, int]) -> dict[str, int]:
+    """Counts of a fact load.  Old and new rows are compared in the parts that changed only, by key and row hash; the rows
+    of all others match.  ``matched`` counts source rows, so a second row with the key of the first is a match."""
+    if name not in load.previous:
+        moved = {"inserted": totals["_rows"], "changed": 0, "deleted": 0}
+    elif not change.written and not change.gone:
+        moved = {"inserted": 0, "changed": 0, "deleted": 0}
+    else:
+        before, after = load.before, load.state()
+        old, new = before[name], after[name]
+        if before.layout(name) is not None and before.layout(name) == after.layout(name):
+            touched = change.written | change.gone
+            old = before.only(name, touched & set(before.parts(name)))
+            new = after.only(name, touched & set(after.parts(name)))
+        moved = merge_metrics(old, new, FACT_KEYS[name]).first().asDict()
+    return {"inserted": moved["inserted"], "matched": totals["_source"] - moved["inserted"], "changed": moved["changed"],
+            "deleted": moved["deleted"], "kept": totals["_kept"], "source_rows": totals["_source"]}
 
 
 def measure_hot_keys(src: Mapping[str, DataFrame]) -> dict[str, dict[str, list[int]]]:
@@ -96,15 +130,18 @@ def load_dimensions(
     def keyed(name: str) -> DataFrame:
         target = before.get(name)
         if name == "dim_tiempo":
-            written = load.write(name, extend_calendar(spark, target, first_day, last_day))
             kept = target.count() if target is not None else 0
-            metrics[name] = {"inserted": written.count() - kept, "kept": kept}
-            return written
+            state = extend_calendar(spark, target, first_day, last_day)
+            inserted = state.count() - kept  # a few thousand days
+            metrics[name] = {"inserted": inserted, "kept": kept}
+            return load.write(name, state) if inserted or target is None else target
         if name == "dim_estado_contrato":
             result = dimensions.load_states(spark, target)
         else:
             result = dimensions.load_dimension(name, src, target)
         metrics[name] = dict(result.metrics)
+        if target is not None and not result.metrics["inserted"] and not result.metrics["changed"]:
+            return target  # nothing to write
         return load.write(name, result.state)
 
     jobs: dict[str, Callable[[], object]] = {"hot": lambda: measure_hot_keys(src) if measure_hot else {}}
@@ -120,34 +157,31 @@ def load_facts(
     unique_keys: bool = False,
 ) -> dict[str, DataFrame]:
     calendar = dims["dim_tiempo"]
-    counts = facts.source_row_counts(src) if with_metrics else {}
 
-    def write(name: str, source: DataFrame, retain: DataFrame | None = None) -> DataFrame:
-        previous = before.get(name)
-        source = facts.ordered(source, name)
-        if retain is not None:  # read three times below: by the merge, its anti join and the metrics
+    def write(name: str, source: DataFrame, retain: DataFrame | None = None, unique: bool = True) -> DataFrame:
+        state, previous = source, before.get(name)
+        if retain is not None:  # read three times below: by the state, its anti join and the writes
             source = materialise(source, name)
-        state = merge_fact(previous, source, FACT_KEYS[name], retain_keys=retain)
-        written = _checked_write(load, name, state, calendar)
+            rest = retained_rows(previous, source, FACT_KEYS[name], retain)
+            state = source.unionByName(rest.withColumn(facts.SOURCE_ROWS, F.lit(0).cast("long")))
+        change, totals = _checked_write(load, name, state, calendar, unique)
         if with_metrics:
-            base = written if retain is None else source
-            n = counts[name].first()[0] if name in counts else None
-            metrics[name] = _fact_metrics(previous, base, name, retain, n)
-        return written
+            metrics[name] = _fact_metrics(load, name, change, totals)
+        return load.table(name)
 
     def goals() -> DataFrame | None:
         previous, staged = before.get("fact_metas"), src.get("metas")
         if staged is None or is_empty(staged):
             metrics["fact_metas"] = {"inserted": 0, "matched": 0, "changed": 0, "deleted": 0}
-            return previous if previous is None else load.write("fact_metas", previous)
+            return previous
         if is_empty(dims["dim_producto"]):
             raise facts.MissingPrerequisite("dim_producto is empty; load the dimensions before the goals")
-        return write("fact_metas", facts.goal_fact_source(staged, dims))
+        return write("fact_metas", facts.goal_fact_source(staged, dims), unique=False)
 
     def claims() -> DataFrame:
         retain = facts.live_claim_keys(src, dims) if "fact_registro_siniestro" in before else None
         source = facts.claim_fact_source(src, dims, hot.get("registro_contrato"), hot.get("registro_siniestro"), unique_keys)
-        return write("fact_registro_siniestro", source, retain)
+        return write("fact_registro_siniestro", source, retain, not unique_keys)
 
     def ratings() -> DataFrame:
         written = write("fact_evaluacion_servicio", facts.rating_fact_source(src, dims, hot.get("recomienda")))
@@ -158,7 +192,7 @@ def load_facts(
 
     jobs = {
         "fact_registro_contrato": lambda: write(
-            "fact_registro_contrato", facts.contract_fact_source(src, dims, hot.get("registro_contrato"), unique_keys)),
+            "fact_registro_contrato", facts.contract_fact_source(src, dims, hot.get("registro_contrato"), unique_keys), unique=not unique_keys),
         "fact_registro_siniestro": claims,
         "fact_evaluacion_servicio": ratings,
         "fact_metas": goals,
@@ -166,6 +200,21 @@ def load_facts(
     return {name: df for name, df in _run(jobs, workers).items() if df is not None}
 
 
+def keep_registers(load: Load, src: Mapping[str, DataFrame], buckets: int) -> None:
+    """Keep what a change batch needs of the source: clients, lines, claims and ratings by key bucket, and which contracts
+    each client has lines of.  A register that did not change is not written."""
+    lines = src["registro_contrato"]
+    tables = {
+        "reg_cliente": src["cliente"].select("cod_cliente", "cod_sucursal"),
+        "reg_registro_contrato": lines,
+        "reg_registro_siniestro": src["registro_siniestro"],
+        "reg_recomienda": src["recomienda"],
+        "idx_cliente_contrato": lines.select("cod_cliente", "nro_contrato").distinct(),
+    }
+    for name, df in tables.items():
+        load.write_changed(name, df, Layout.by_bucket(REGISTER_KEYS[name], buckets))
+
+
 def run_load(
     store: WarehouseStore,
     src: Mapping[str, DataFrame],
@@ -176,11 +225,16 @@ def run_load(
     balance_hot_keys: bool = True,
     trust_primary_keys: bool = False,
     origin: Origin | None = None,
+    register_buckets: int | None = None,
+    keep_kpis: bool = False,
 ) -> LoadReport:
     """Load every dimension and fact from ``src`` on top of the published version, then publish.
 
+    Facts are laid out by year; a reload writes the years that differ, and only dimensions with new or changed rows.
     ``trust_primary_keys`` says that the source enforces its primary keys; the contract and claim loads then skip
-    the full-width shuffle that would reduce repeated keys.
+    the full-width shuffle that would reduce repeated keys.  ``register_buckets`` keeps the registers in the store, cut
+    into so many key buckets, so that ``change_load`` can load a change batch; ``keep_kpis`` keeps the additive parts of
+    the KPIs for it to update.
     """
     spark = store.spark
     load = store.open_load()
@@ -193,6 +247,11 @@ def run_load(
         dims, hot = load_dimensions(
             spark, src, load, before, first_day, last_day, metrics, workers, measure_hot=balance_hot_keys)
         load_facts(src, dims, load, before, hot, metrics, workers, with_metrics, trust_primary_keys)
+        if register_buckets:
+            keep_registers(load, src, register_buckets)
+        if keep_kpis:
+            for name, parts in kpi_parts(load.state()).items():
+                load.write(name, parts)
     except Exception as error:
         raise LoadAborted(f"load aborted, nothing published: {error}") from error
     return LoadReport(load.publish(origin), metrics)
@@ -211,11 +270,10 @@ def refresh_goals(
         staged = load.write("stg_metas", staged)
         if is_empty(staged):
             return LoadReport(store.version(), {"fact_metas": {"inserted": 0, "matched": 0, "changed": 0, "deleted": 0}})
-        previous = before.get("fact_metas")
-        source = facts.ordered(facts.goal_fact_source(staged, before), "fact_metas")
-        state = merge_fact(previous, source, FACT_KEYS["fact_metas"])
-        written = _checked_write(load, "fact_metas", state, before["dim_tiempo"])
-        metrics["fact_metas"] = _fact_metrics(previous, written, "fact_metas", None, None)
+        source = facts.goal_fact_source(staged, before)
+        change, totals = _checked_write(load, "fact_metas", source, before["dim_tiempo"], unique=False)
+        found = _fact_metrics(load, "fact_metas", change, totals)
+        metrics["fact_metas"] = {k: v for k, v in found.items() if k != "source_rows"}
     except Exception as error:
         raise LoadAborted(f"goals not loaded, nothing published: {error}") from error
     return LoadReport(load.publish(origin), metrics)

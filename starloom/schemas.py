@@ -149,6 +149,13 @@ FACT_DATES = {
     "fact_evaluacion_servicio": ["sk_dim_tiempo_evaluacion"],
     "fact_metas": ["sk_dim_fecha_inicio_meta", "sk_dim_fecha_fin_meta"],
 }
+# The key whose hash bucket a kept register is laid out by.
+REGISTER_KEYS = {
+    "reg_cliente": "cod_cliente", "reg_registro_contrato": "nro_contrato", "reg_registro_siniestro": "nro_contrato",
+    "reg_recomienda": "cod_cliente", "idx_cliente_contrato": "cod_cliente",
+}
+# The date key whose year a fact is laid out by.
+FACT_YEARS = {fact: dates[0] for fact, dates in FACT_DATES.items()}
 _FACT_PARENTS = {
     "sk_dim_cliente": ("dim_cliente", "sk_dim_cliente"),
     "sk_dim_contrato": ("dim_contrato", "sk_dim_contrato"),
