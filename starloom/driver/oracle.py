@@ -7,6 +7,7 @@ integers, so rounding does not depend on floating point.
 from __future__ import annotations
 
 import re
+from contextlib import contextmanager
 
 from starloom.operators.calendar import DAY_NAMES, DAY_SHORT_NAMES, MONTH_NAMES, MONTH_SHORT_NAMES
 from starloom.schemas import (
@@ -125,6 +126,40 @@ CTES = {
     "f_met": """SELECT m.*, p.sk AS pro, p.nb_producto FROM metas m JOIN d_pro p ON p.cod_producto = m.cod_producto""",
 }
 
+# The source after the change batch: the same tables with rows replaced and added; everything else follows from them.
+_NEW = "-n_nationkey - 1"
+_DAY = lambda month, day: f"make_date((SELECT ohi FROM anios), {month}, {day})"
+_PRODUCT, _BRANCH = "(SELECT min(p_partkey) FROM part)", "(SELECT min(s_suppkey) FROM supplier)"
+_AFTER = {
+    "cliente": f"""{CTES['cliente']} UNION ALL SELECT {_NEW}, 'Client of ' || n_name, 'N' || ({_NEW}), NULL, n_name, 'F',
+        lower(n_name || '@example.org'), {_BRANCH} FROM nation""",
+    "contrato": f"{CTES['contrato']} UNION ALL SELECT {_NEW}, n_name FROM nation",
+    "siniestro": f"{CTES['siniestro']} UNION ALL SELECT {_NEW}, n_name FROM nation",
+    "registro_contrato": f"""SELECT * REPLACE (CASE estado_contrato WHEN 'suspendido' THEN 'VENCIDO' ELSE estado_contrato END AS estado_contrato,
+        CAST(CASE estado_contrato WHEN 'suspendido' THEN monto + 100 ELSE monto END AS DECIMAL(18,2)) AS monto) FROM ({CTES['registro_contrato']})
+        UNION ALL SELECT {_NEW}, {_PRODUCT}, {_NEW}, {_DAY(1, 2)}, {_DAY(12, 30)}, CAST(1000 + n_nationkey AS DECIMAL(18,2)), 'Activo'
+        FROM nation, anios""",
+    "registro_siniestro": f"""SELECT * EXCLUDE (abierto) REPLACE (coalesce(fecha_respuesta, fecha_siniestro + 30) AS fecha_respuesta,
+        CASE WHEN fecha_respuesta IS NULL THEN 'NO' ELSE id_rechazo END AS id_rechazo,
+        CASE WHEN fecha_respuesta IS NULL THEN monto_solicitado ELSE monto_reconocido END AS monto_reconocido)
+        FROM (SELECT *, bool_or(fecha_respuesta IS NULL) OVER (PARTITION BY nro_siniestro, nro_contrato) AS abierto
+              FROM ({CTES['registro_siniestro']})) WHERE fecha_respuesta IS NULL OR NOT abierto
+        UNION ALL SELECT {_NEW}, {_NEW}, {_DAY(6, 1)}, {_DAY(6, 15)}, 'SI', CAST(0 AS DECIMAL(18,2)), CAST(500 AS DECIMAL(18,2)) FROM nation, anios""",
+    "recomienda": f"{CTES['recomienda']} UNION ALL SELECT {_NEW}, 5, {_PRODUCT}, 'SI' FROM nation",
+}
+_BEFORE = dict(CTES)
+
+
+@contextmanager
+def _after_the_batch():
+    """Statements built inside are about the source after the change batch."""
+    CTES.update(_AFTER)
+    try:
+        yield
+    finally:
+        CTES.update(_BEFORE)
+
+
 _TYPES = {"l": "BIGINT", "d": "DOUBLE", "s": "VARCHAR", "b": "BOOLEAN"}
 
 
@@ -352,6 +387,124 @@ def _attainment(where: str) -> str:
         f"FROM f_met m LEFT JOIN {real} r ON r.pro = m.pro AND r.anio = m.anio {where}")
 
 
+def _kpis() -> dict[str, str]:
+    out: dict[str, str] = {}
+    days = "date_diff('day', fecha_siniestro, fecha_respuesta)"
+    out["kpi_response_days"] = _typed("dias_promedio_respuesta=" + _ratio(f"sum({days})", "count(*)", 2) + ":d", "FROM f_sin WHERE fecha_respuesta IS NOT NULL")
+    out["kpi_contracts_by_state"] = _sql("SELECT descrip_estado, count(*) AS cantidad_contratos FROM f_con GROUP BY descrip_estado")
+    out["kpi_claim_rate"] = _typed(
+        "nb_producto:s; contratos=coalesce(c.n, 0):l; siniestros=coalesce(s.n, 0):l; tasa_siniestralidad=" + _ratio("coalesce(s.n, 0)", "coalesce(c.n, 0)", 2) + ":d",
+        "FROM d_pro p LEFT JOIN (SELECT pro, count(*) AS n FROM f_con GROUP BY pro) c ON c.pro = p.sk"
+        " LEFT JOIN (SELECT pro, count(*) AS n FROM f_sin GROUP BY pro) s ON s.pro = p.sk")
+    out["kpi_rating_recommend"] = _typed(
+        "nb_producto:s; calificacion_promedio=" + _ratio("sum(cod_evaluacion_servicio)", "count(*)", 2) + ":d; pct_recomienda="
+        + _ratio("sum(reco)", "count(*)", 1, 100) + ":d", "FROM f_eva GROUP BY nb_producto")
+    out["kpi_goal_attainment"] = _attainment("")
+    out["kpi_income_by_type"] = _typed("nb_tipo_producto:s; ingreso_total=sum(monto):d", "FROM f_con GROUP BY nb_tipo_producto")
+    rejected = "count(*) FILTER (id_rechazo = 'SI')"
+    out["kpi_rejected_share"] = _typed(f"rechazados={rejected}:l; total_siniestros=count(*):l; pct_rechazados=" + _ratio(rejected, "count(*)", 1, 100) + ":d", "FROM f_sin")
+    out["kpi_amount_by_branch"] = _typed("nb_sucursal:s; monto_total=sum(monto):d", "FROM f_con GROUP BY nb_sucursal")
+    return out
+
+
+def _details() -> dict[str, str]:
+    out: dict[str, str] = {}
+    out["contract_detail"] = _typed(
+        "nb_cliente:s; nro_contrato_nk=nro_contrato:l; nb_producto:s; nb_sucursal:s; descrip_estado:s; fecha_inicio_aaaammdd=ini:l; fecha_fin_aaaammdd=fin:l;"
+        " monto:d; cantidad=1:l", "FROM f_con")
+    out["contract_no_duplicate"] = _typed("nro_contrato_nk=nro_contrato:l; cod_producto_nk=cod_producto:l; cod_cliente_nk=cod_cliente:l; descrip_estado:s", "FROM f_con")
+    out["claim_detail"] = _typed(
+        "nro_siniestro_nk=nro_siniestro:l; nro_contrato_nk=nro_contrato:l; nb_cliente:s; nb_producto:s; fecha_siniestro:s; fecha_respuesta:s; id_rechazo:s;"
+        " monto_reconocido:d; monto_solicitado:d", "FROM f_sin")
+    out["claim_resolved"] = _typed("nro_siniestro_nk=nro_siniestro:l; nro_contrato_nk=nro_contrato:l; fecha_siniestro:s; fecha_respuesta:s; id_rechazo:s;"
+                                   " monto_reconocido:d", "FROM f_sin")
+    out["evaluation_detail"] = _typed("nb_cliente:s; nb_producto:s; cod_evaluacion_nk=cod_evaluacion_servicio:l; nb_descrip=nb_descripcion:s; recomienda_amigo=reco:d",
+                                      "FROM f_eva")
+    return out
+
+
+_KPI_GROUPS = {
+    "response_days": [], "contracts_by_state": ["descrip_estado"], "claim_rate": ["nb_producto"], "rating_recommend": ["nb_producto"],
+    "goal_attainment": ["nb_producto", "anio"], "income_by_type": ["nb_tipo_producto"], "rejected_share": [], "amount_by_branch": ["nb_sucursal"],
+}
+_KPI_MEASURES = {
+    "response_days": ["dias_promedio_respuesta"], "contracts_by_state": ["cantidad_contratos"],
+    "claim_rate": ["contratos", "siniestros", "tasa_siniestralidad"], "rating_recommend": ["calificacion_promedio", "pct_recomienda"],
+    "goal_attainment": ["monto_meta_ingreso", "monto_real", "pct_cumplimiento"], "income_by_type": ["ingreso_total"],
+    "rejected_share": ["rechazados", "total_siniestros", "pct_rechazados"], "amount_by_branch": ["monto_total"],
+}
+
+
+def _presence(before: str, after: str, keys: str, group: list[str], columns: list[str]) -> str:
+    def side(body: str, suffix: str) -> str:
+        values = "".join(f", max({c}) AS {c}_{suffix}" for c in columns)
+        return f"(SELECT {', '.join(group)}, count(*) AS filas_{suffix}{values} FROM ({body}) GROUP BY {', '.join(group)})"
+
+    picked = ", ".join([f"k.{g}" for g in group] + [f"coalesce(filas_{s}, 0) AS filas_{s}" for s in ("antes", "despues")]
+                       + [f"{c}_{s}" for s in ("antes", "despues") for c in columns])
+    using = ", ".join(group)
+    return (f"SELECT {picked} FROM ({keys}) k LEFT JOIN {side(before, 'antes')} b USING ({using})"
+            f" LEFT JOIN {side(after, 'despues')} a USING ({using})")
+
+
+def _changes() -> dict[str, str]:
+    """States and KPIs around the change batch."""
+    before_kpis, before_details = _kpis(), _details()
+    with _after_the_batch():
+        after_kpis, after_details = _kpis(), _details()
+    out = {"change_load_contracts": after_details["contract_detail"], "change_load_claims": after_details["claim_detail"],
+           "change_load_ratings": after_details["evaluation_detail"]}
+    for name, group in _KPI_GROUPS.items():
+        sides = [f"({kpis[f'kpi_{name}']}) {alias}" for kpis, alias in ((before_kpis, "b"), (after_kpis, "a"))]
+        columns = ", ".join(group + [f"{alias}.{m} AS {m}_{s}" for alias, s in (("b", "antes"), ("a", "despues")) for m in _KPI_MEASURES[name]])
+        joined = f"{sides[0]} FULL JOIN {sides[1]} USING ({', '.join(group)})" if group else f"{sides[0]}, {sides[1]}"
+        out[f"kpi_change_{name}"] = f"SELECT {columns} FROM {joined}"
+    out["change_load_parts"] = _sql("""SELECT table_name, CAST(anio AS BIGINT) AS anio FROM (
+        SELECT 'fact_registro_contrato' AS table_name, anio FROM f_con WHERE est = 3
+        UNION SELECT 'fact_registro_siniestro', year(fecha_siniestro) FROM f_sin WHERE fecha_respuesta IS NULL
+        UNION SELECT t, ohi FROM anios, (VALUES ('fact_registro_contrato'), ('fact_registro_siniestro'), ('fact_evaluacion_servicio')) v(t))""")
+    out["reload_parts"] = _sql("\nUNION ALL\n".join(
+        f"SELECT '{fact}' AS table_name, count(DISTINCT {year}) AS n_parts, CAST(0 AS BIGINT) AS n_written FROM {table}"
+        for fact, table, year in (("fact_registro_contrato", "f_con", "anio"), ("fact_registro_siniestro", "f_sin", "ini // 10000"),
+                                  ("fact_evaluacion_servicio", "f_eva", "dia // 10000"), ("fact_metas", "f_met", "anio"))))
+    out["check_new_clients"] = f"SELECT {_NEW} AS cod_cliente_nk, CAST(0 AS BIGINT) AS filas_antes, CAST(1 AS BIGINT) AS filas_despues FROM nation"
+    lines = _sql(f"""SELECT DISTINCT nro_contrato AS nro_contrato_nk, cod_producto AS cod_producto_nk, cod_cliente AS cod_cliente_nk
+        FROM registro_contrato WHERE estado_contrato = 'suspendido' UNION ALL SELECT {_NEW}, {_PRODUCT}, {_NEW} FROM nation""")
+    out["check_no_duplicates"] = _presence(
+        before_details["contract_no_duplicate"], after_details["contract_no_duplicate"], lines,
+        ["nro_contrato_nk", "cod_producto_nk", "cod_cliente_nk"], ["descrip_estado"])
+    claims = _sql(f"""SELECT DISTINCT nro_siniestro AS nro_siniestro_nk, nro_contrato AS nro_contrato_nk FROM registro_siniestro
+        WHERE fecha_respuesta IS NULL UNION ALL SELECT {_NEW}, {_NEW} FROM nation""")
+    out["check_resolved_claims"] = _presence(
+        before_details["claim_resolved"], after_details["claim_resolved"], claims, ["nro_siniestro_nk", "nro_contrato_nk"],
+        ["fecha_respuesta", "id_rechazo", "monto_reconocido"])
+    return out
+
+
+_REFERENCES = {
+    "f_con": ("fact_registro_contrato", {"sk_dim_tiempo_fecha_inicio": "ini", "sk_dim_tiempo_fecha_fin": "fin", "sk_dim_cliente": "cli",
+              "sk_dim_contrato": "con", "sk_dim_producto": "pro", "sk_dim_estado_contrato": "est", "sk_dim_sucursal": "suc"}),
+    "f_sin": ("fact_registro_siniestro", {"sk_fecha_siniestro": "ini", "sk_fecha_respuesta": "fin", "sk_dim_cliente": "cli",
+              "sk_dim_contrato": "con", "sk_dim_sucursal": "suc", "sk_dim_producto": "pro", "sk_dim_siniestro": "sin"}),
+    "f_eva": ("fact_evaluacion_servicio", {"sk_dim_tiempo_evaluacion": "dia", "sk_dim_cliente": "cli", "sk_dim_producto": "pro",
+              "sk_dim_evaluacion_servicio": "eva"}),
+    "f_met": ("fact_metas", {"sk_dim_fecha_inicio_meta": "anio * 10000 + 101", "sk_dim_fecha_fin_meta": "anio * 10000 + 1231",
+              "sk_dim_producto": "pro"}),
+}
+
+
+def _references(known: dict[str, str]) -> str:
+    """Keys and rows per reference; ``known`` says of a column which of its keys the dimension has."""
+    parts = []
+    for table, (fact, columns) in _REFERENCES.items():
+        for column, key in columns.items():
+            missing = f"NOT ({known[column].format(key)})" if column in known else "false"
+            parts.append(
+                f"SELECT '{fact}' AS table_name, 'foreign_key:{column}' AS rule, count(DISTINCT {key}) AS n_keys, count({key}) AS n_rows,"
+                f" count(DISTINCT {key}) FILTER ({missing}) AS n_missing_keys, count({key}) FILTER ({missing}) AS n_missing_rows FROM {table}")
+    return _sql("\nUNION ALL\n".join(parts))
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out["calendar_dim"] = _sql("SELECT * FROM calendario")
@@ -415,17 +568,19 @@ def oracle_sql() -> dict[str, str]:
         " sk_dim_siniestro=sin:l; cantidad=1:l; monto_reconocido:d; monto_solicitado:d; id_rechazo:s", "FROM f_sin")
     out["fact_evaluation_load"] = _typed(_RATING_FACT, "FROM f_eva")
     out["fact_goals_load"] = _typed(_GOAL_FACT, "FROM f_met")
-    # Upserts: what the source holds, and claims of every second contract kept with their old amount.
-    out["fact_contract_upsert"] = _typed(_CONTRACT_FACT, "FROM f_con WHERE con % 5 <> 0")
-    claim = out["fact_claim_load"]
+    # Upserts: the source, with the old day of matched ratings, and claims of every second contract kept with their old amount.
+    out["fact_contract_upsert"] = out["fact_contract_load"]
+    claim, rating = out["fact_claim_load"], out["fact_evaluation_load"]
     out["fact_claim_upsert_kept"] = f"""
-        SELECT * FROM ({claim}) WHERE sk_dim_siniestro % 5 <> 0 UNION ALL
-        SELECT * REPLACE (CAST(monto_solicitado + 1 AS DECIMAL(18,2)) AS monto_solicitado) FROM ({claim})
-        WHERE sk_dim_siniestro % 5 = 0 AND sk_dim_siniestro % 3 <> 0 AND sk_dim_contrato % 2 = 0"""
+        SELECT * FROM ({claim}) UNION ALL
+        SELECT * REPLACE (CAST(monto_solicitado + 1 AS DECIMAL(18,2)) AS monto_solicitado, 2 * sk_dim_siniestro AS sk_dim_siniestro) FROM ({claim}) o
+        WHERE sk_dim_contrato % 2 = 0 AND NOT EXISTS
+            (SELECT 1 FROM ({claim}) s WHERE s.sk_dim_siniestro = 2 * o.sk_dim_siniestro AND s.sk_dim_contrato = o.sk_dim_contrato)"""
     out["fact_evaluation_upsert"] = f"""
-        SELECT * REPLACE (CASE WHEN sk_dim_cliente % 3 <> 0 THEN 20000101 ELSE sk_dim_tiempo_evaluacion END AS sk_dim_tiempo_evaluacion)
-        FROM ({out["fact_evaluation_load"]}) WHERE sk_dim_cliente % 5 <> 0"""
-    out["fact_goals_upsert"] = _typed(_GOAL_FACT, "FROM f_met WHERE pro % 5 <> 0")
+        SELECT * REPLACE (CASE WHEN EXISTS (SELECT 1 FROM ({rating}) o WHERE 2 * o.sk_dim_cliente = s.sk_dim_cliente
+            AND o.sk_dim_producto = s.sk_dim_producto) THEN 20000101 ELSE sk_dim_tiempo_evaluacion END AS sk_dim_tiempo_evaluacion)
+        FROM ({rating}) s"""
+    out["fact_goals_upsert"] = out["fact_goals_load"]
     out["evaluation_rejects"] = _typed(
         "cod_cliente:l; cod_evaluacion_servicio:l; cod_producto:l; recomienda_amigo:s",
         "FROM recomienda r WHERE NOT EXISTS (SELECT 1 FROM pares p WHERE p.cod_cliente = r.cod_cliente AND p.cod_producto = r.cod_producto)")
@@ -462,36 +617,16 @@ def oracle_sql() -> dict[str, str]:
                      _key("fecha_siniestro", "fecha_respuesta"), "FROM registro_siniestro WHERE fecha_respuesta < fecha_siniestro"))
     out["dq_goals"] = _dq_goals()
     out["source_quality"] = _source_quality()
-    days = "date_diff('day', fecha_siniestro, fecha_respuesta)"
-    out["kpi_response_days"] = _typed("dias_promedio_respuesta=" + _ratio(f"sum({days})", "count(*)", 2) + ":d", "FROM f_sin WHERE fecha_respuesta IS NOT NULL")
-    out["kpi_contracts_by_state"] = _sql("SELECT descrip_estado, count(*) AS cantidad_contratos FROM f_con GROUP BY descrip_estado")
-    out["kpi_claim_rate"] = _typed(
-        "nb_producto:s; contratos=coalesce(c.n, 0):l; siniestros=coalesce(s.n, 0):l; tasa_siniestralidad=" + _ratio("coalesce(s.n, 0)", "coalesce(c.n, 0)", 2) + ":d",
-        "FROM d_pro p LEFT JOIN (SELECT pro, count(*) AS n FROM f_con GROUP BY pro) c ON c.pro = p.sk"
-        " LEFT JOIN (SELECT pro, count(*) AS n FROM f_sin GROUP BY pro) s ON s.pro = p.sk")
-    out["kpi_rating_recommend"] = _typed(
-        "nb_producto:s; calificacion_promedio=" + _ratio("sum(cod_evaluacion_servicio)", "count(*)", 2) + ":d; pct_recomienda="
-        + _ratio("sum(reco)", "count(*)", 1, 100) + ":d", "FROM f_eva GROUP BY nb_producto")
-    out["kpi_goal_attainment"] = _attainment("")
+    out["warehouse_references"] = _references({})
+    doubled = "{{0}} % 2 = 0 AND {{0}} <= 2 * (SELECT count(*) FROM {0})"
+    out["dq_reference_misses"] = _references({"sk_dim_cliente": doubled.format("cliente"), "sk_dim_producto": doubled.format("producto")})
+    out.update(_kpis())
     out["kpi_goal_attainment_year"] = _attainment("WHERE m.anio = (SELECT ohi FROM anios)")
-    out["kpi_income_by_type"] = _typed("nb_tipo_producto:s; ingreso_total=sum(monto):d", "FROM f_con GROUP BY nb_tipo_producto")
-    rejected = "count(*) FILTER (id_rechazo = 'SI')"
-    out["kpi_rejected_share"] = _typed(f"rechazados={rejected}:l; total_siniestros=count(*):l; pct_rechazados=" + _ratio(rejected, "count(*)", 1, 100) + ":d", "FROM f_sin")
-    out["kpi_amount_by_branch"] = _typed("nb_sucursal:s; monto_total=sum(monto):d", "FROM f_con GROUP BY nb_sucursal")
     out["kpi_before_after"] = _typed("nb_sucursal:s; monto_total_antes=sum(monto) FILTER (anio < ohi):d; monto_total_despues=sum(monto):d",
                                      "FROM f_con, anios GROUP BY nb_sucursal")
     out["client_present"] = _typed("sk_dim_cliente=sk:l; cod_cliente_nk=cod_cliente:l; nb_cliente:s; ci_rif:s; telefono:s; direccion:s; sexo:s; email:s", "FROM d_cli")
-    out["contract_detail"] = _typed(
-        "nb_cliente:s; nro_contrato_nk=nro_contrato:l; nb_producto:s; nb_sucursal:s; descrip_estado:s; fecha_inicio_aaaammdd=ini:l; fecha_fin_aaaammdd=fin:l;"
-        " monto:d; cantidad=1:l", "FROM f_con")
-    out["contract_no_duplicate"] = _typed("nro_contrato_nk=nro_contrato:l; cod_producto_nk=cod_producto:l; cod_cliente_nk=cod_cliente:l; descrip_estado:s", "FROM f_con")
-    out["claim_detail"] = _typed(
-        "nro_siniestro_nk=nro_siniestro:l; nro_contrato_nk=nro_contrato:l; nb_cliente:s; nb_producto:s; fecha_siniestro:s; fecha_respuesta:s; id_rechazo:s;"
-        " monto_reconocido:d; monto_solicitado:d", "FROM f_sin")
-    out["claim_resolved"] = _typed("nro_siniestro_nk=nro_siniestro:l; nro_contrato_nk=nro_contrato:l; fecha_siniestro:s; fecha_respuesta:s; id_rechazo:s;"
-                                   " monto_reconocido:d", "FROM f_sin")
-    out["evaluation_detail"] = _typed("nb_cliente:s; nb_producto:s; cod_evaluacion_nk=cod_evaluacion_servicio:l; nb_descrip=nb_descripcion:s; recomienda_amigo=reco:d",
-                                      "FROM f_eva")
+    out.update(_details())
+    out.update(_changes())
     out["snapshot_fingerprint"] = _fingerprint(_CUSTOMER, "customer")
     out["snapshot_stream"] = _typed(
         _GOAL_FACT.replace("monto_meta_ingreso:d", "monto_meta_ingreso=monto_meta_ingreso * 2:d").replace("anio *", "(anio + greatest(2000 - olo, 0)) *"),

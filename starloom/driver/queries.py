@@ -18,11 +18,12 @@ from starloom.operators.lookup import lookup, miss_counts
 from starloom.operators.merge import apply_changes, apply_updates, insert_only, merge_fact, merge_metrics, scd1_upsert, sync_delete
 from starloom.operators.totals import control_totals
 from starloom.plans import dimensions, facts, kpis
+from starloom.plans.change_load import rewritten_parts, run_change_load
 from starloom.plans.warehouse_load import reset_scope, run_load
-from starloom.schemas import CONTRACT_STATES, DIMENSIONS, FACT_KEYS, RATING_LABELS, source_rules, state_rows
+from starloom.schemas import CONTRACT_STATES, DIMENSIONS, FACT_KEYS, RATING_LABELS, source_rules, state_rows, warehouse_rules
 from starloom.session import scratch_path
 from starloom.sources.goals import FIRST_YEAR, goal_violations, normalise_goals, typed_goals
-from starloom.sources.store import WarehouseStore
+from starloom.sources.store import PublishedTables, WarehouseStore
 from starloom.streaming.snapshots import announced_snapshots, land_snapshot, quarantined, watch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -270,13 +271,13 @@ def fact_goals_load(spark, sf_dir):
     return warehouse(spark, sf_dir)["fact_metas"]
 
 
-# Upserts on a fact that exists.  The source lacks every fifth key, so those rows are deleted; the old fact lacks every
-# third, which are inserted; the rest match, and the old fact has other values for them.
+# Upserts on a fact that exists.  The source is the whole fact.  The old fact has one of its keys doubled: rows whose key is
+# twice another one match, and have other values there; keys beyond the greatest are gone from the source; the rest is new.
 
 def _upsert(spark, sf_dir, name: str, key: str, old: Mapping[str, Column], **options) -> DataFrame:
     fact = warehouse(spark, sf_dir)[name]
-    previous = fact.where(F.col(key) % 3 != 0).withColumns(dict(old)).select(*fact.columns)
-    return merge_fact(previous, fact.where(F.col(key) % 5 != 0), FACT_KEYS[name], **options)
+    previous = fact.withColumns({**old, key: F.col(key) * 2}).select(*fact.columns)
+    return merge_fact(previous, fact, FACT_KEYS[name], **options)
 
 
 @query
@@ -286,9 +287,10 @@ def fact_contract_upsert(spark, sf_dir):
 
 @query
 def fact_claim_upsert_kept(spark, sf_dir):
-    """Of the claims that the source lacks, those of every second contract are kept as they were."""
+    """Of the old claims that the source lacks, those of every second contract are kept as they were."""
     keys = FACT_KEYS["fact_registro_siniestro"]
-    live = warehouse(spark, sf_dir)["fact_registro_siniestro"].where("sk_dim_contrato % 2 = 0").select(*keys)
+    fact = warehouse(spark, sf_dir)["fact_registro_siniestro"]
+    live = fact.withColumn("sk_dim_siniestro", F.col("sk_dim_siniestro") * 2).where("sk_dim_contrato % 2 = 0").select(*keys)
     old = {"monto_solicitado": (F.col("monto_solicitado") + 1).cast(MONEY)}
     return _upsert(spark, sf_dir, "fact_registro_siniestro", "sk_dim_siniestro", old, retain_keys=live)
 
@@ -331,7 +333,7 @@ def _without_first_year(r: Roles) -> Mapping[str, DataFrame]:
 def sync_delete_contracts(spark, sf_dir):
     """Contract facts left after a purge of the source."""
     wh, r = warehouse(spark, sf_dir), roles(spark, sf_dir)
-    live = facts.contract_fact_source(_without_first_year(r), wh)
+    live = facts.live_contract_keys(_without_first_year(r), wh)
     return sync_delete(wh["fact_registro_contrato"], live, FACT_KEYS["fact_registro_contrato"])
 
 
@@ -499,9 +501,25 @@ def dq_goals(spark, sf_dir):
 
 @query
 def source_quality(spark, sf_dir):
-    """All declared constraints of the source tables, counted per rule."""
+    """All declared constraints of the source tables, counted per rule: one scan of each table."""
     src = roles(spark, sf_dir).source()
-    return q.summarise(q.violations(src, [source_rules(t) for t in src if t != "metas"]))
+    return q.quality_summary({t: src[t] for t in src if t != "metas"}, [source_rules(t) for t in src if t != "metas"])
+
+
+@query
+def warehouse_references(spark, sf_dir):
+    """The 21 references of the facts: different keys and rows, and those without a dimension row."""
+    wh = {n: df for n, df in warehouse(spark, sf_dir).items() if n.startswith(("dim_", "fact_"))}
+    return q.reference_summary(wh, [warehouse_rules(t) for t in wh])
+
+
+@query
+def dq_reference_misses(spark, sf_dir):
+    """The references again, against client and product dimensions that know only every key that another one is twice of."""
+    wh = {n: df for n, df in warehouse(spark, sf_dir).items() if n.startswith(("dim_", "fact_"))}
+    for name, key in (("dim_cliente", "sk_dim_cliente"), ("dim_producto", "sk_dim_producto")):
+        wh[name] = wh[name].withColumn(key, F.col(key) * 2)
+    return q.reference_summary(wh, [warehouse_rules(t) for t in wh])
 
 
 # --- KPIs and reports --------------------------------------------------------------------------------------
@@ -592,6 +610,138 @@ def evaluation_detail(spark, sf_dir):
     return kpis.rating_detail(warehouse(spark, sf_dir))
 
 
+# --- change batches ----------------------------------------------------------------------------------------
+
+
+def _change_batch(r: Roles) -> dict[str, DataFrame]:
+    """New and changed source rows: every suspended line expires and costs 100 more, every open claim is answered after 30
+    days and paid in full, and each nation has a new client with a contract, a rejected claim and a rating."""
+    day = r.order_years()[1].year
+    product, branch = (r.raw(t).agg(F.min(c)).first()[0] for t, c in (("part", "p_partkey"), ("supplier", "s_suppkey")))
+    nation = r.raw("nation")
+    new = (-F.col("n_nationkey") - 1).cast("long")
+    on = lambda month, d: F.lit(dt.date(day, month, d))
+    money = lambda v: F.lit(v).cast(MONEY)
+    client = nation.select(
+        new.alias("cod_cliente"), F.concat(F.lit("Client of "), "n_name").alias("nb_cliente"), F.concat(F.lit("N"), new.cast("string")).alias("ci_rif"),
+        F.lit(None).cast("string").alias("telefono"), F.col("n_name").alias("direccion"), F.lit("F").alias("sexo"),
+        F.lower(F.concat("n_name", F.lit("@example.org"))).alias("email"), F.lit(branch).alias("cod_sucursal"))
+    line = nation.select(
+        new.alias("nro_contrato"), F.lit(product).alias("cod_producto"), new.alias("cod_cliente"), on(1, 2).alias("fecha_inicio"),
+        on(12, 30).alias("fecha_fin"), (F.col("n_nationkey") + 1000).cast(MONEY).alias("monto"), F.lit("Activo").alias("estado_contrato"))
+    claim = nation.select(
+        new.alias("nro_siniestro"), new.alias("nro_contrato"), on(6, 1).alias("fecha_siniestro"), on(6, 15).alias("fecha_respuesta"),
+        F.lit("SI").alias("id_rechazo"), money(0).alias("monto_reconocido"), money(500).alias("monto_solicitado"))
+    expired = r.registro_contrato().where("estado_contrato = 'suspendido'").withColumns(
+        {"estado_contrato": F.lit("VENCIDO"), "monto": (F.col("monto") + 100).cast(MONEY)})
+    answered = r.registro_siniestro().where("fecha_respuesta IS NULL").withColumns(
+        {"fecha_respuesta": F.date_add("fecha_siniestro", 30), "id_rechazo": F.lit("NO"), "monto_reconocido": F.col("monto_solicitado")})
+    return {
+        "cliente": client, "contrato": nation.select(new.alias("nro_contrato"), F.col("n_name").alias("descrip_contrato")),
+        "siniestro": nation.select(new.alias("nro_siniestro"), F.col("n_name").alias("descripcion_siniestro")),
+        "registro_contrato": expired.unionByName(line), "registro_siniestro": answered.unionByName(claim),
+        "recomienda": nation.select(
+            new.alias("cod_cliente"), F.lit(5).alias("cod_evaluacion_servicio"), F.lit(product).alias("cod_producto"),
+            F.lit("SI").alias("recomienda_amigo")),
+    }
+
+
+_changes: dict[tuple[str, str], tuple[PublishedTables, PublishedTables]] = {}
+
+
+def _changed(spark, sf_dir) -> tuple[PublishedTables, PublishedTables]:
+    """The warehouse before and after the change batch was loaded into a store that keeps registers and KPI parts."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _changes:
+        r = roles(spark, sf_dir)
+        store = WarehouseStore(spark, scratch_path(spark, "changes"))
+        run_load(store, r.source(), *r.years(), with_metrics=False, register_buckets=8, keep_kpis=True)
+        before = store.tables()
+        run_change_load(store, _change_batch(r))
+        _changes[key] = before, store.tables()
+    return _changes[key]
+
+
+@query
+def change_load_contracts(spark, sf_dir):
+    return kpis.contract_detail(_changed(spark, sf_dir)[1])
+
+
+@query
+def change_load_claims(spark, sf_dir):
+    return kpis.claim_detail(_changed(spark, sf_dir)[1])
+
+
+@query
+def change_load_ratings(spark, sf_dir):
+    return kpis.rating_detail(_changed(spark, sf_dir)[1])
+
+
+@query
+def change_load_parts(spark, sf_dir):
+    """Years of the facts that the batch made the load write; nothing else of a fact was."""
+    before, after = _changed(spark, sf_dir)
+    parts = [p for p in rewritten_parts(before, after) if p[0].startswith("fact_")]
+    return spark.createDataFrame(parts, "table_name STRING, anio LONG")
+
+
+@query
+def reload_parts(spark, sf_dir):
+    """Parts per fact, and how many of them a second load of the same source has written: none."""
+    r = roles(spark, sf_dir)
+    store = WarehouseStore(spark, scratch_path(spark, "reload"))
+    load = store.open_load()
+    load.adopt(loaded(spark, sf_dir)[0].paths())
+    load.publish()
+    before = store.tables()
+    run_load(store, r.source(), *r.years(), with_metrics=False)
+    written = [name for name, _ in rewritten_parts(before, store.tables())]
+    counts = [(n, len(before.parts(n)), written.count(n)) for n in sorted(FACT_KEYS)]
+    return spark.createDataFrame(counts, "table_name STRING, n_parts LONG, n_written LONG")
+
+
+def _kpi_change(name: str) -> None:
+    def before_after(spark, sf_dir):
+        before, after = _changed(spark, sf_dir)
+        return kpis.compare(kpis.from_kept(name, before), kpis.from_kept(name, after), kpis.KPIS[name][1])
+
+    before_after.__name__ = f"kpi_change_{name}"
+    before_after.__doc__ = "The KPI before and after the batch, from the parts that the loads kept: no fact is read."
+    query(before_after)
+
+
+for _name in kpis.KPIS:
+    _kpi_change(_name)
+
+
+@query
+def check_new_clients(spark, sf_dir):
+    """Every client of the batch: rows in the dimension before the load and after it (0 and 1)."""
+    before, after = _changed(spark, sf_dir)
+    keys = _change_batch(roles(spark, sf_dir))["cliente"].select(F.col("cod_cliente").alias("cod_cliente_nk"))
+    return kpis.presence(kpis.client_present(before), kpis.client_present(after), keys)
+
+
+@query
+def check_no_duplicates(spark, sf_dir):
+    """Every line of the batch: rows and state of its business key before the load and after it."""
+    before, after = _changed(spark, sf_dir)
+    lines = _change_batch(roles(spark, sf_dir))["registro_contrato"]
+    business = {"nro_contrato": "nro_contrato_nk", "cod_producto": "cod_producto_nk", "cod_cliente": "cod_cliente_nk"}
+    keys = lines.select(*[F.col(c).alias(n) for c, n in business.items()]).distinct()
+    return kpis.presence(kpis.contract_state(before), kpis.contract_state(after), keys, ["descrip_estado"])
+
+
+@query
+def check_resolved_claims(spark, sf_dir):
+    """Every claim of the batch: rows, response, rejection and amount before the load and after it."""
+    before, after = _changed(spark, sf_dir)
+    claims = _change_batch(roles(spark, sf_dir))["registro_siniestro"]
+    keys = claims.select(F.col("nro_siniestro").alias("nro_siniestro_nk"), F.col("nro_contrato").alias("nro_contrato_nk")).distinct()
+    return kpis.presence(kpis.claim_resolution(before), kpis.claim_resolution(after), keys,
+                         ["fecha_respuesta", "id_rechazo", "monto_reconocido"])
+
+
 # --- snapshots ---------------------------------------------------------------------------------------------
 
 
@@ -621,7 +771,7 @@ def _watched_store(spark, sf_dir) -> WarehouseStore:
     base, _ = loaded(spark, sf_dir)
     store = WarehouseStore(spark, scratch_path(spark, "watch"))
     load = store.open_load()
-    load.written = {n: p for n, p in base.paths().items() if n.startswith("dim_")}
+    load.adopt({n: p for n, p in base.paths().items() if n.startswith("dim_")})
     lo, hi = (d.year for d in r.order_years())
     shift = max(FIRST_YEAR - lo, 0)
     load.write("dim_tiempo", extend_calendar(spark, base.tables()["dim_tiempo"], dt.date(lo, 1, 1), dt.date(hi + shift, 12, 31)))

@@ -166,6 +166,18 @@ def claim_fact_source(
     )
 
 
+def live_contract_keys(src: Tables, dims: Tables, hot: Hot | None = None) -> DataFrame:
+    """Keys of the contract facts that the source still has lines for: no other column is read or joined."""
+    spread = ["nro_contrato", "cod_producto", "cod_cliente"]
+    keys = src["registro_contrato"].select(*spread).distinct()
+    for dim, column, key, label in (
+        ("dim_contrato", "nro_contrato", "sk_dim_contrato", "contract"), ("dim_producto", "cod_producto", "sk_dim_producto", "product"),
+        ("dim_cliente", "cod_cliente", "sk_dim_cliente", "client"),
+    ):
+        keys = lookup(keys, dims[dim], {column: f"{column}_nk"}, [key], "inner", hot=_hot(hot, label), spread_by=spread)
+    return keys.select(*FACT_KEYS["fact_registro_contrato"])
+
+
 def live_claim_keys(src: Tables, dims: Tables) -> DataFrame:
     """Keys the claim sync must keep: every registered claim, even when its contract has no line any more."""
     keys = src["registro_siniestro"].select("nro_siniestro", "nro_contrato").distinct()

@@ -221,6 +221,17 @@ def compare(before: DataFrame, after: DataFrame, group: list[str]) -> DataFrame:
     return joined if group else joined.drop("_one")
 
 
+def presence(before: DataFrame, after: DataFrame, keys: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """The rows that each of ``keys`` has in a report before and after a load: their number, and the greatest value of the
+    named columns.  One row where there was none, one where there was one: nothing is missing and nothing is doubled."""
+    def side(df: DataFrame, suffix: str) -> DataFrame:
+        values = [F.max(c).alias(f"{c}_{suffix}") for c in columns or []]
+        counted = df.groupBy(*keys.columns).agg(F.count(F.lit(1)).alias(f"filas_{suffix}"), *values)
+        return keys.join(counted, keys.columns, "left").fillna(0, [f"filas_{suffix}"])
+
+    return side(before, "antes").join(side(after, "despues"), keys.columns)
+
+
 # --- denormalised check reports ---------------------------------------------------------------------------
 
 
