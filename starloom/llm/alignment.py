@@ -37,7 +37,7 @@ SLICES = 16  # parts of the pair table, built and summed by tasks of their own
 BRANCHES = 64  # first level of the tree: tasks whose vectors are summed together
 MOST_PAIRS = 1 << 22  # pairs that two vocabularies may admit at most; 17 bytes each are broadcast
 BITS_PER_KEY = 2.0  # of a level of the perfect hash; levels go on until every key has a slot
-KNOWN_PIECES = 1 << 18
+KNOWN_PIECES = 1 << 19
 PIECES_AT_ONCE = 1 << 16
 
 _CUT = re.compile(r"(?<=[^ ]) (?=[A-Za-z])")
@@ -81,21 +81,22 @@ class Vocabularies:
         entries |= {t["id"]: t["content"].encode() for t in described["added_tokens"] if t["id"] not in entries}
         return [entries.get(i, b"") for i in range(max(entries) + 1)]
 
-    def b_bytes(self) -> list[bytes]:
+    def b_bytes(self, processor=None) -> list[bytes]:
         """Bytes of B's tokens by id."""
-        processor = self.b()
+        processor = processor or self.b()
         out = []
         for i in range(processor.vocab_size()):
             piece = processor.id_to_piece(i)
             out.append(bytes([int(piece[3:5], 16)]) if processor.is_byte(i) else piece.replace("▁", " ").encode())
         return out
 
-    def a(self):
-        """A as ranks of byte strings; its added tokens are never made from text."""
+    def a(self, tokens: list[bytes] | None = None):
+        """A as ranks of byte strings; its added tokens, which follow the others, are never made from text."""
         import tiktoken
 
-        added = {t["id"] for t in json.loads(self.a_json)["added_tokens"]}
-        ranks = {token: i for i, token in enumerate(self.a_bytes()) if i not in added}
+        described = json.loads(self.a_json)
+        added = {t["id"] for t in described["added_tokens"]} - set(described["model"]["vocab"].values())
+        ranks = {token: i for i, token in enumerate(tokens or self.a_bytes()) if i not in added}
         return tiktoken.Encoding("a", pat_str=self.pattern, mergeable_ranks=ranks, special_tokens={})
 
     def b(self):
@@ -195,9 +196,10 @@ class Aligner:
     """Aligns texts; remembers what B made of a piece until there are too many."""
 
     def __init__(self, vocabularies: Vocabularies):
-        self.a, self.b = vocabularies.a(), vocabularies.b()
-        self.b_bytes = vocabularies.b_bytes()
-        self.a_length = np.array([len(t) for t in vocabularies.a_bytes()], dtype=np.int64)
+        a_bytes = vocabularies.a_bytes()
+        self.a, self.b = vocabularies.a(a_bytes), vocabularies.b()
+        self.b_bytes = vocabularies.b_bytes(self.b)
+        self.a_length = np.array([len(t) for t in a_bytes], dtype=np.int64)
         self.b_length = np.array([len(t) for t in self.b_bytes], dtype=np.int64)
         self.known: dict[str, bytes] = {}
         self.unlike: set[str] = set()  # pieces of which B's tokens give other bytes
@@ -234,12 +236,12 @@ class Aligner:
         for text, pieces in zip(texts, cut):
             b_ids = self._b_ids(text, pieces) if text else None
             if b_ids is not None:
-                a_parts.append(np.array(self.a.encode_ordinary(" " + text), dtype=np.int64))
+                a_parts.append(self.a.encode_to_numpy(" " + text, disallowed_special=()))
                 b_parts.append(np.frombuffer(b_ids, dtype=np.int32))
             a_from.append(a_from[-1] + (len(a_parts[-1]) if b_ids is not None else 0))
             b_from.append(b_from[-1] + (len(b_parts[-1]) if b_ids is not None else 0))
-        a_ids = np.concatenate([np.zeros(0, dtype=np.int64), *a_parts])
-        b_ids = np.concatenate([np.zeros(0, dtype=np.int64), *b_parts]).astype(np.int64)
+        a_ids = np.concatenate([np.zeros(0, dtype=np.uint32), *a_parts]).astype(np.int64)
+        b_ids = np.concatenate([np.zeros(0, dtype=np.int32), *b_parts]).astype(np.int64)
         a_end, b_end = np.cumsum(self.a_length[a_ids]), np.cumsum(self.b_length[b_ids])
         place = np.searchsorted(b_end, a_end)  # both sides of every text have the same bytes
         together = b_end[place] == a_end if len(b_end) else np.zeros(0, dtype=bool)
