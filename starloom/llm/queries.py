@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -186,7 +187,8 @@ def _op4_sql() -> str:
 
     kinds = []
     for rank, rule in enumerate(RULES):
-        pattern = rule.pattern.replace("'", "''")
+        # SQL's patterns know no possessive repetition and need none.
+        pattern = re.sub(r"([*+}])\+", r"\1", rule.pattern).replace("'", "''")
         before = "coalesce(list_sum(list_transform(p[1:i], lambda x: length(x))), 0)"
         matched = "coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0)"
         kinds.append(f"""

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.common import row_struct
+from starloom.session import materialise
 
 
 @dataclass(frozen=True)
@@ -54,14 +55,18 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]{16,}", least=20),
     Rule("hex", r"[0-9a-f]{24,}", least=24),
 )
+# A key without its END goes as far as its headers and body lines of 40 and more characters do, and a padded last line.
+# Hyphens of a body come in runs of up to four, so it never reaches into another BEGIN.  Repetitions are possessive: they
+# run in constant stack over bodies of any length, and what follows each of them can never be part of it.
+_BEGIN_KEY = r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY(?: BLOCK)?-----"
+_THROUGH_END = r"[^-]*+(?:-{1,4}+[^-]++)*+-{5,}END [A-Z ]{0,40}PRIVATE KEY(?: BLOCK)?-----"
+_GAP, _BODY = r"[\x20\x09-\x0D]", r"[A-Za-z0-9+/=]{40,}+"
+_WITHOUT_END = (
+    rf"(?:{_GAP}*+[A-Za-z][A-Za-z0-9-]{{0,38}}:[^\n]*+\n)*+{_GAP}*+{_BODY}(?:{_GAP}++{_BODY})*+"
+    rf"(?:{_GAP}++[A-Za-z0-9+/]+={{1,2}})?"
+)
 ADDED_RULES = (
-    # Through the end of the key; its headers have few hyphens, and another BEGIN has five.  Without an end, the line.
-    Rule(
-        "private",
-        r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:[^-]*(?:-[^-]+){0,32}-----END [A-Z ]{0,40}PRIVATE KEY-----)?",
-        version=2,
-        trigger=r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----",
-    ),
+    Rule("private", rf"{_BEGIN_KEY}(?:{_THROUGH_END}|{_WITHOUT_END})?", version=3, trigger=_BEGIN_KEY),
     Rule("forge", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("webtoken", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]+"),
 )
@@ -181,9 +186,10 @@ def attach(
 ) -> DataFrame:
     """(doc, spans): each row of ``versions`` as a struct (of the columns ``carry``) and what was found in its blob.
 
-    Clean rows get null; the rows of a blob that many paths share are split by the adaptive join.
+    Clean rows get null.  The spans are written first, so that the join is not bound to their partitioning and the
+    adaptive join can split the rows of a blob that many paths share.
     """
-    found = spans_by_blob(findings, rules).withColumnRenamed("blob", "found_blob")
+    found = materialise(spans_by_blob(findings, rules).withColumnRenamed("blob", "found_blob"), "secret-spans")
     keyed = versions.select(row_struct(carry or versions.columns).alias("doc"), blob_id(F.col(text_col)).alias("blob"))
     return keyed.join(found, F.col("blob") == F.col("found_blob"), "left").select("doc", "spans")
 

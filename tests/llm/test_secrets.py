@@ -92,3 +92,41 @@ def test_private_keys_go_with_their_body(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     clean = redact_documents(docs, BlobLedger(spark, scratch_path(spark, "ledger")))
     assert [r["text"] for r in clean.orderBy("doc_id").collect()] == list(texts.values())
+
+
+def test_private_keys_with_many_headers_hyphens_or_no_end(spark):
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----\n", "-----END RSA PRIVATE KEY-----"
+    headers = "".join(f"X-Header-{i}: v-{i}\n" for i in range(60)) + "\n"
+    body = "\n".join(["MIIEpAIBAAKCAQEA" + "aB3/+xYz" * 6] * 30)
+    block = "-----BEGIN PGP PRIVATE KEY BLOCK-----\n" + body + "\n-----END PGP PRIVATE KEY BLOCK-----"
+    texts = {
+        f"a {begin}{headers}{body}\n{end} z": "a [SECRET] z",
+        f"a {begin}{headers}{body}\nAb3=\nafter it": "a [SECRET]\nafter it",
+        f"{begin}{body}\nplain words - and more": "[SECRET]\nplain words - and more",
+        f"{begin}{headers}no body": f"[SECRET]\n{headers}no body",
+        begin + "a-b--c " * 100_000 + end: "[SECRET]",
+        begin + "a-b--c " * 100_000: "[SECRET]\n" + "a-b--c " * 100_000,
+        f"{block}.": "[SECRET].",
+    }
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    clean = redact_documents(docs, BlobLedger(spark, scratch_path(spark, "ledger")))
+    assert [r["text"] for r in clean.orderBy("doc_id").collect()] == list(texts.values())
+
+
+def test_sql_form_finds_the_same_keys(spark, tmp_path):
+    import duckdb
+
+    from starloom.llm.queries import oracle_sql, queries
+
+    begin, end = "-----BEGIN EC PRIVATE KEY-----\n", "-----END EC PRIVATE KEY-----"
+    body = "\n".join(["MIIEpAIBAAKCAQEA" + "aB3/+xYz" * 6] * 3)
+    head = "".join(f"X-H{i}: v-{i}\n" for i in range(40))
+    texts = [f"{begin}{head}{body}{end}", f"{begin}{head}{body}\nAb=\nrest", f"x {begin}no body", f"{begin}{begin}{body} z", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r.asDict() for r in queries()["op4_secrets"](spark, str(tmp_path)).collect()}
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    rows = con.sql(oracle_sql()["op4_secrets"])
+    assert {r[0]: dict(zip(rows.columns, r)) for r in rows.fetchall()} == got
+    assert sum("private:" in r["spans"] for r in got.values()) == 4
