@@ -25,7 +25,7 @@ SHARE = 0.75
 SHARE_QUANTILE = 6.6257  # of the chi-squared distribution with five degrees of freedom, at SHARE
 CUTOFF = 75.0  # squared distance; no normal vector gets there, but clean texts have heavier tails
 STEPS = 5
-LEAST_ROWS = 50  # smaller groups are pooled by language, then altogether
+LEAST_ROWS = 50  # smaller groups are judged by their language, then by the corpus
 #: Standard deviations that no estimate goes below, in the order of ``_FEATURES``.
 FLOORS = (0.7, 0.2, 0.06, 0.2, 0.2)
 
@@ -172,10 +172,11 @@ def judge_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
     cutoff: float = CUTOFF, least_rows: int = LEAST_ROWS,
 ) -> DataFrame:
-    """(doc_id, counts, base_failed, distance, kept) with one row per row of ``docs``.
+    """(doc_id, counts, base_failed, kept, distance) with one row per row of ``docs``.
 
-    ``distance`` is the squared robust distance in the group, null where the base rules failed or no group is large
-    enough to judge; such documents are kept if the base rules passed.  Null languages and sources are groups like
+    ``distance`` is the squared robust distance in the group.  Groups of less than ``least_rows`` documents are judged by
+    the estimate over all documents of their language, or of the corpus if the language has too few.  It is null where the
+    base rules failed, or where the whole corpus has too few documents; the latter are kept.  Null languages and sources are groups like
     others; null texts have no words and fail; repeated rows each get a result.  Other columns are ignored; an empty
     table gives an empty result.
     """
@@ -192,20 +193,24 @@ def judge_documents(
 
     passed = stats.where("NOT base_failed")
     sources = passed.groupBy("by_source", "by_lang").agg(F.count(F.lit(1)).alias("n"))
-    small = sources.where(F.col("n") < least_rows).groupBy("by_lang").agg(F.sum("n").alias("small"))
-    group = F.when(F.col("n") >= least_rows, F.col("by_source")).when(
-        F.coalesce("small", F.lit(0)) >= least_rows, F.concat(F.col("by_lang"), F.lit("*"))
-    ).otherwise("*")
-    groups = sources.join(small, "by_lang", "left").select("by_source", group.alias("g"), "n")
-    enough = groups.groupBy("g").agg(F.sum("n").alias("total")).where(F.col("total") >= least_rows)
-    groups = materialise(groups.join(enough, "g", "left_semi").select("by_source", "g"), "quality-groups")
-
-    rows = materialise(passed.join(groups, "by_source").select("g", "salt", "x"), "quality-rows")
+    langs = materialise(sources.groupBy("by_lang").agg(F.sum("n").alias("in_lang"), F.min("n").alias("least")), "quality-langs")
+    total, least_lang = langs.agg(F.coalesce(F.sum("in_lang"), F.lit(0)), F.min("in_lang")).first()
+    everywhere = total >= least_rows > (least_lang or 0)  # some language is judged by the whole corpus
+    large, some = F.col("n") >= least_rows, F.col("in_lang") >= least_rows
+    lang = F.concat("by_lang", F.lit("*"))
+    group = F.when(large, F.col("by_source")).when(some, lang).when(F.lit(everywhere), "*")
+    feeds = F.array_compact(F.array(
+        F.when(large, F.col("by_source")), F.when(some & (F.col("least") < least_rows), lang), F.when(F.lit(everywhere), "*")
+    ))
+    groups = materialise(sources.join(langs, "by_lang").select("by_source", group.alias("g"), feeds.alias("feeds")), "quality-groups")
+
+    fed = passed.join(groups.select("by_source", "feeds"), "by_source").select(F.explode("feeds").alias("g"), "salt", "x")
+    rows = materialise(fed, "quality-rows")
     models = groups.join(minimum_covariance(rows), "g").select("by_source", "model", "scale")
     judged = stats.join(models, "by_source", "left").withColumn(
         "distance", F.when(~F.col("base_failed"), _distance() / F.greatest("scale", F.lit(1e-3)))
     )
     return judged.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance",
-        (~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= cutoff)).alias("kept"),
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        (~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= cutoff)).alias("kept"), "distance",
     )
