@@ -4,10 +4,13 @@ Prefix sums of the turns' tokens choose the windows: the new turns of a window a
 into one stretch of ``PITCH`` tokens.  A turn of up to ``PITCH`` tokens may begin at the end of a stretch, so a window
 has at most twice ``PITCH`` new tokens; a longer turn is a window of its own and is never cut.  Before its new turns a
 window repeats the system turn of the conversation and as many of the turns just before as have ``HISTORY_TURNS`` and
-``HISTORY_TOKENS`` at most.  Only new assistant turns are under the loss mask, so every target counts once.
+``HISTORY_TOKENS`` at most.  Of a system turn of more than ``SYSTEM_TOKENS`` only the first words are repeated, so that,
+but for the turn that is a window of its own, no window is beyond ``2 * PITCH + HISTORY_TOKENS + SYSTEM_TOKENS``.  Only
+new assistant turns are under the loss mask, so every target counts once.
 
-One shuffle brings the turns of a conversation together, by runs of ``RUN_TURNS`` turn numbers, so that a conversation
-of any length is many bounded groups; neither a window nor its history reaches over such a run.
+The turns of a conversation are summed by runs of ``RUN_TURNS`` turn numbers, so that a conversation of any length is
+many groups.  A run has one narrow row, with its sums and its first turns' sizes; over these rows the sums go on from run
+to run, and each run learns how the next ones begin.  Where runs end therefore changes no window and no history.
 
 A turn is written as ``<s>role\\ntext</s>``.  Control strings inside roles and texts, and the backslash, are replaced by
 a backslash and a digit, which is undone without loss.
@@ -21,6 +24,7 @@ from pyspark.sql import functions as F
 PITCH = 320
 HISTORY_TURNS = 2
 HISTORY_TOKENS = 128
+SYSTEM_TOKENS = 128
 TURN_TOKENS = 4  # for the marks of a turn
 RUN_TURNS = 1_024
 BEGIN, END = "<s>", "</s>"
@@ -56,9 +60,11 @@ def format_conversations(
     pitch: int = PITCH,
     history_turns: int = HISTORY_TURNS,
     history_tokens: int = HISTORY_TOKENS,
+    system_tokens: int = SYSTEM_TOKENS,
 ) -> DataFrame:
-    """Windows: conv_id, run, first (together the order in the conversation), n_context, n_tokens, text, loss.
+    """Windows: conv_id, run, first (the number of its first new turn, from 1), n_context, n_tokens, text, loss.
 
+    ``run`` is the run of turn numbers in which the window begins.
     ``text`` holds ``n_context`` repeated turns and then the new ones; ``loss`` lists the spans (start, end, in code
     points) of the new assistant texts.  Turns are ordered by turn (null last), then role, then text; null roles and
     texts are empty; repeated rows are turns of their own; rows with a null conv_id are one conversation.  Other
@@ -76,42 +82,74 @@ def format_conversations(
     run = ["conv", "stray", "run"]
     inside = Window.partitionBy(*run).orderBy(*order)
     so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    long = F.col("tokens") > pitch
     placed = turns.withColumns(
         {
-            "at": F.row_number().over(inside),
+            "at": F.row_number().over(inside).cast("long"),
             "before": F.sum("tokens").over(so_far) - F.col("tokens"),
-            "longs": F.count_if(F.col("tokens") > pitch).over(so_far),
+            "longs": F.count_if(long).over(so_far),
         }
-    ).withColumn("window", F.struct("longs", F.col("tokens") > pitch, F.floor(F.col("before") / pitch)))
+    )
+    # One row per run: what it adds to the sums, and its first turns.
+    sizes = F.struct("at", "tokens")
+    runs = placed.groupBy(*run).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("tokens").alias("run_tokens"), F.count_if(long).alias("run_longs"),
+        F.array_sort(F.collect_list(F.when(F.col("at") <= history_turns, sizes))).alias("head"),
+    )
+    along = Window.partitionBy("conv", "stray").orderBy("run")
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    following = along.rowsBetween(1, max(1, history_turns))
+    sums = {f"{name}0": F.coalesce(F.sum(name).over(earlier), F.lit(0)) for name in ("n", "run_tokens", "run_longs")}
+    heads = F.slice(F.flatten(F.collect_list("head").over(following)), 1, history_turns)
+    ahead = F.transform(heads, lambda t: t["tokens"])
+    runs = runs.withColumns(sums | {"ahead": ahead}).drop("head", "run_tokens", "run_longs")
+    windowed = lambda longs, tokens, before: F.struct(
+        longs.alias("longs"), (tokens > pitch).alias("long"), F.floor(before / pitch).alias("stretch")
+    )
     # A turn belongs to its own window, and is history of the windows that begin with one of the next turns.
-    ahead = {f"{name}{i}": F.lead(name, i).over(inside) for i in range(1, history_turns + 1) for name in ("window", "before")}
-    placed = placed.withColumns(ahead | {"window0": F.col("window")})
-    roles = [F.struct("window", F.lit(0).alias("back"))]
+    nexts = {f"tokens{i}": F.lead("tokens", i).over(inside) for i in range(1, history_turns + 1)}
+    placed = placed.withColumns(nexts).join(runs, run).withColumns({
+        "left": (F.col("n") - F.col("at")).cast("int"), "at": F.col("at") + F.col("n0"),
+        "before0": F.col("before") + F.col("run_tokens0"), "longs0": F.col("longs") + F.col("run_longs0"), "tokens0": F.col("tokens"),
+    }).withColumn("window0", windowed(F.col("longs0"), F.col("tokens0"), F.col("before0")))
+    for i in range(1, history_turns + 1):
+        beyond = F.get("ahead", F.greatest(F.lit(i - 1) - F.col("left"), F.lit(0)))
+        placed = placed.withColumn(f"tokens{i}", F.when(F.col("left") >= i, F.col(f"tokens{i}")).otherwise(beyond)).withColumns({
+            f"before{i}": F.col(f"before{i - 1}") + F.col(f"tokens{i - 1}"),
+            f"longs{i}": F.col(f"longs{i - 1}") + (F.col(f"tokens{i}") > pitch).cast("long"),
+        })
+        there = windowed(F.col(f"longs{i}"), F.col(f"tokens{i}"), F.col(f"before{i}"))
+        placed = placed.withColumn(f"window{i}", F.when(F.col(f"tokens{i}").isNotNull(), there))
+    roles = [F.struct(F.col("window0").alias("window"), F.lit(0).alias("back"))]
     for back in range(1, history_turns + 1):
         theirs = F.col(f"window{back}")
         begins = theirs != F.col(f"window{back - 1}")
-        near = F.col(f"before{back}") - F.col("before") <= history_tokens
+        near = F.col(f"before{back}") - F.col("before0") <= history_tokens
         roles.append(F.when(begins & near, F.struct(theirs.alias("window"), F.lit(back).alias("back"))))
     member = F.explode(F.filter(F.array(*roles), lambda m: m.isNotNull()))
     piece = F.struct(
         "at", F.col("member.back").alias("back"), F.concat(F.lit(BEGIN), escape(F.col("role"), (_NEWLINE,)), F.lit("\n"))
         .alias("head"), escape(F.col("text")).alias("body"), (F.col("role") == ASSISTANT).alias("target"), "tokens",
     )
-    windows = placed.withColumn("member", member).groupBy(*run, "member.window").agg(
+    new = F.col("member.back") == 0
+    windows = placed.withColumn("member", member).groupBy("conv", "stray", "member.window").agg(
         F.array_sort(F.collect_list(piece)).alias("pieces"),
-        F.min(F.when(F.col("member.back") == 0, F.col("at"))).alias("first"),
+        F.min(F.when(new, F.col("at"))).alias("first"), F.min(F.when(new, F.col("run"))).alias("run"),
     )
 
-    # The system turn is the earliest with that role; windows after it repeat it.
-    where = F.struct("run", F.col("turn").isNull(), "turn", "role", "text")
+    # The system turn is the earliest with that role; windows after it repeat it, or its first words.
+    few = F.regexp_extract("text", rf"^[\x20\x09-\x0D]*+(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+){{0,{max(0, system_tokens - TURN_TOKENS)}}}", 0)
     system = placed.where(F.col("role") == SYSTEM).groupBy("conv", "stray").agg(
-        F.min_by(F.struct("run", "at", "text", "tokens"), where).alias("system")
+        F.min_by(F.struct("at", "text", "tokens"), "at").alias("system")
+    ).select("conv", "stray", "system.at", "system.tokens", F.col("system.text").alias("text"))
+    system = system.withColumn("text", F.when(F.col("tokens") > system_tokens, few).otherwise(F.col("text"))).select(
+        "conv", "stray", F.struct("at", "text", token_count(F.col("text")).alias("tokens")).alias("system")
     )
     joined = windows.join(system, ["conv", "stray"], "left")
-    earlier = F.struct("system.run", "system.at") < F.struct("run", "first")
-    repeated = F.exists("pieces", lambda p: (F.col("system.run") == F.col("run")) & (p["at"] == F.col("system.at")))
+    earlier = F.col("system.at") < F.col("first")
+    repeated = F.exists("pieces", lambda p: p["at"] == F.col("system.at"))
     kept = F.struct(
-        F.lit(0).alias("at"), F.lit(1).alias("back"),
+        F.lit(0).cast("long").alias("at"), F.lit(1).alias("back"),
         F.lit(f"{BEGIN}{SYSTEM}\n").alias("head"), escape(F.col("system.text")).alias("body"),
         F.lit(False).alias("target"), F.col("system.tokens").alias("tokens"),
     )

@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from starloom.llm.chat import HISTORY_TOKENS, PITCH, escape, format_conversations, read_back, unescape
+from starloom.llm.chat import HISTORY_TOKENS, PITCH, SYSTEM_TOKENS, escape, format_conversations, read_back, unescape
 
 SCHEMA = "conv_id long, turn long, role string, text string, run string, at string, member string, window string"
 
@@ -59,3 +59,49 @@ def test_escape_is_reversible(spark):
 
 def test_empty_table(spark):
     assert format_conversations(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def plain_windows(sizes, pitch, history_turns, history_tokens):
+    """(numbers of the history turns, numbers of the new turns) of each window, by a plain loop over the whole conversation."""
+    windows, before, longs = {}, 0, 0
+    for at, size in enumerate(sizes):
+        longs += size > pitch
+        windows.setdefault((longs, size > pitch, before // pitch), []).append(at)
+        before += size
+    out = []
+    for new in windows.values():
+        back = [i for i in range(max(0, new[0] - history_turns), new[0]) if sum(sizes[i: new[0]]) <= history_tokens]
+        out.append((back, new))
+    return sorted(out, key=lambda w: w[1])
+
+
+def test_windows_and_history_go_on_across_runs(spark):
+    rng = random.Random(8)
+    sizes = {1: [5 + rng.randrange(60) for _ in range(2100)], 2: [20] * 2100, 3: [4 + rng.choice([3, 10, 500]) for _ in range(700)]}
+    gaps = {1: 1, 2: 1, 3: 700}  # in conversation 3 a run has one or two turns
+    data = [
+        (conv, i * gaps[conv], "user", " ".join([f"{i}"] + ["w"] * (size - 5)))
+        for conv, all_sizes in sizes.items() for i, size in enumerate(all_sizes)
+    ]
+    frame = spark.createDataFrame(data, "conv_id long, turn long, role string, text string").repartition(5)
+    got = {}
+    for w in format_conversations(frame, history_turns=3).orderBy("conv_id", "first").collect():
+        numbers = [int(p.split("\n", 1)[1].split(" ")[0]) for p in w["text"].split("</s>")[:-1]]
+        assert w["first"] == numbers[w["n_context"]] + 1
+        got.setdefault(w["conv_id"], []).append((numbers[: w["n_context"]], numbers[w["n_context"]:]))
+    for conv, all_sizes in sizes.items():
+        assert got[conv] == plain_windows(all_sizes, PITCH, 3, HISTORY_TOKENS)
+    assert all(back for back, _ in got[2][1:])
+    none = format_conversations(frame, history_turns=0)
+    assert none.where("n_context > 0").count() == 0
+
+
+def test_a_long_system_turn_stays_within_the_budget(spark):
+    rules = " ".join(f"rule{i}" for i in range(5000))
+    data = [(1, 0, "system", rules)] + [(1, t, ["assistant", "user"][t % 2], "w " * 60) for t in range(1, 90)]
+    windows = format_conversations(spark.createDataFrame(data, "conv_id long, turn long, role string, text string")).orderBy("first").collect()
+    assert windows[0]["n_context"] == 0 and windows[0]["text"] == f"<s>system\n{rules}</s>"
+    assert len(windows) > 10
+    for w in windows[1:]:
+        assert w["text"].startswith("<s>system\nrule0 rule1 ") and "rule123 </s>" in w["text"] and "rule124" not in w["text"]
+        assert w["n_tokens"] <= 2 * PITCH + HISTORY_TOKENS + SYSTEM_TOKENS
