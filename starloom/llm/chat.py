@@ -90,10 +90,11 @@ def format_conversations(
             "longs": F.count_if(long).over(so_far),
         }
     )
-    # One row per run: what it adds to the sums, and its first turns.
+    # One row per run: what it adds to the sums, and its first turns.  Made of the columns above, so that Spark shuffles
+    # the turns once for both uses.
     sizes = F.struct("at", "tokens")
     runs = placed.groupBy(*run).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("tokens").alias("run_tokens"), F.count_if(long).alias("run_longs"),
+        F.max("at").alias("n"), F.max(F.col("before") + F.col("tokens")).alias("run_tokens"), F.max("longs").alias("run_longs"),
         F.array_sort(F.collect_list(F.when(F.col("at") <= history_turns, sizes))).alias("head"),
     )
     along = Window.partitionBy("conv", "stray").orderBy("run")
@@ -129,7 +130,7 @@ def format_conversations(
     member = F.explode(F.filter(F.array(*roles), lambda m: m.isNotNull()))
     piece = F.struct(
         "at", F.col("member.back").alias("back"), F.concat(F.lit(BEGIN), escape(F.col("role"), (_NEWLINE,)), F.lit("\n"))
-        .alias("head"), escape(F.col("text")).alias("body"), (F.col("role") == ASSISTANT).alias("target"), "tokens",
+        .alias("head"), escape(F.col("text")).alias("body"), (F.col("role") == ASSISTANT).alias("target"), "tokens", "turn", "role",
     )
     new = F.col("member.back") == 0
     windows = placed.withColumn("member", member).groupBy("conv", "stray", "member.window").agg(
@@ -139,19 +140,27 @@ def format_conversations(
 
     # The system turn is the earliest with that role; windows after it repeat it, or its first words.
     few = F.regexp_extract("text", rf"^[\x20\x09-\x0D]*+(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+){{0,{max(0, system_tokens - TURN_TOKENS)}}}", 0)
-    system = placed.where(F.col("role") == SYSTEM).groupBy("conv", "stray").agg(
-        F.min_by(F.struct("at", "text", "tokens"), "at").alias("system")
-    ).select("conv", "stray", "system.at", "system.tokens", F.col("system.text").alias("text"))
-    system = system.withColumn("text", F.when(F.col("tokens") > system_tokens, few).otherwise(F.col("text"))).select(
-        "conv", "stray", F.struct("at", "text", token_count(F.col("text")).alias("tokens")).alias("system")
+    where = F.struct("run", F.col("turn").isNull(), "turn", "text")
+    system = turns.where(F.col("role") == SYSTEM).groupBy("conv", "stray").agg(
+        F.min_by(F.struct("turn", "text", "tokens"), where).alias("s")
+    )
+    shown = F.when(F.col("s.tokens") > system_tokens, few).otherwise(F.col("text"))
+    system = system.select("conv", "stray", "s", F.col("s.text").alias("text")).select(
+        "conv", "stray", F.struct("s.turn", escape(F.col("text")).alias("whole"), shown.alias("text")).alias("system")
     )
     joined = windows.join(system, ["conv", "stray"], "left")
-    earlier = F.col("system.at") < F.col("first")
-    repeated = F.exists("pieces", lambda p: p["at"] == F.col("system.at"))
+    # Its copies, equal in turn, role and text, count as it.
+    place = lambda turn, role: F.struct(turn.isNull(), turn, role)
+    own = place(F.col("system.turn"), F.lit(SYSTEM))
+    same = lambda p: (place(p["turn"], p["role"]) == own) & (p["body"] == F.col("system.whole"))
+    begin = F.filter("pieces", lambda p: p["back"] == 0)[0]
+    earlier = own <= place(begin["turn"], begin["role"])
+    repeated = F.exists("pieces", same)
     kept = F.struct(
         F.lit(0).cast("long").alias("at"), F.lit(1).alias("back"),
         F.lit(f"{BEGIN}{SYSTEM}\n").alias("head"), escape(F.col("system.text")).alias("body"),
-        F.lit(False).alias("target"), F.col("system.tokens").alias("tokens"),
+        F.lit(False).alias("target"),
+        token_count(F.col("system.text")).alias("tokens"), F.col("system.turn").alias("turn"), F.lit(SYSTEM).alias("role"),
     )
     pieces = F.when(F.col("system").isNotNull() & earlier & ~repeated, F.concat(F.array(kept), "pieces")).otherwise(
         F.col("pieces")
