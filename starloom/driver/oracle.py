@@ -147,13 +147,22 @@ _AFTER = {
         UNION ALL SELECT {_NEW}, {_NEW}, {_DAY(6, 1)}, {_DAY(6, 15)}, 'SI', CAST(0 AS DECIMAL(18,2)), CAST(500 AS DECIMAL(18,2)) FROM nation, anios""",
     "recomienda": f"{CTES['recomienda']} UNION ALL SELECT {_NEW}, 5, {_PRODUCT}, 'SI' FROM nation",
 }
+# The source with misses: an unknown state, days a century before, an unknown rating.
+_PLANTED = {
+    "registro_contrato": f"""SELECT * REPLACE (CASE estado_contrato WHEN 'suspendido' THEN 'anulado' ELSE estado_contrato END AS estado_contrato)
+        FROM ({CTES['registro_contrato']})""",
+    "registro_siniestro": f"""SELECT * REPLACE (CASE WHEN fecha_respuesta IS NULL THEN CAST(fecha_siniestro - INTERVAL 1200 MONTH AS DATE)
+        ELSE fecha_siniestro END AS fecha_siniestro) FROM ({CTES['registro_siniestro']})""",
+    "recomienda": f"""SELECT * REPLACE (CASE WHEN recomienda_amigo IS NULL THEN 9 ELSE cod_evaluacion_servicio END AS cod_evaluacion_servicio)
+        FROM ({CTES['recomienda']})""",
+}
 _BEFORE = dict(CTES)
 
 
 @contextmanager
-def _after_the_batch():
-    """Statements built inside are about the source after the change batch."""
-    CTES.update(_AFTER)
+def _source_with(changed: dict[str, str] = _AFTER):
+    """Statements built inside are about a changed source, by default the one after the change batch."""
+    CTES.update(changed)
     try:
         yield
     finally:
@@ -450,7 +459,7 @@ def _presence(before: str, after: str, keys: str, group: list[str], columns: lis
 def _changes() -> dict[str, str]:
     """States and KPIs around the change batch."""
     before_kpis, before_details = _kpis(), _details()
-    with _after_the_batch():
+    with _source_with():
         after_kpis, after_details = _kpis(), _details()
     out = {"change_load_contracts": after_details["contract_detail"], "change_load_claims": after_details["claim_detail"],
            "change_load_ratings": after_details["evaluation_detail"]}
@@ -459,6 +468,23 @@ def _changes() -> dict[str, str]:
         columns = ", ".join(group + [f"{alias}.{m} AS {m}_{s}" for alias, s in (("b", "antes"), ("a", "despues")) for m in _KPI_MEASURES[name]])
         joined = f"{sides[0]} FULL JOIN {sides[1]} USING ({', '.join(group)})" if group else f"{sides[0]}, {sides[1]}"
         out[f"kpi_change_{name}"] = f"SELECT {columns} FROM {joined}"
+    with _source_with(_PLANTED):
+        details = _details()
+        out["quarantine_contract_detail"], out["quarantine_rating_detail"] = details["contract_detail"], details["evaluation_detail"]
+        lines = "FROM lineas l JOIN d_cli c ON c.cod_cliente = l.cod_cliente WHERE l.estado_contrato = 'anulado'"
+        out["quarantine_contracts"] = _typed(
+            "nro_contrato=l.nro_contrato:l; cod_producto=l.cod_producto:l; cod_cliente=l.cod_cliente:l;"
+            " failed='sk_dim_estado_contrato unresolved':s", lines)
+        out["quarantine_claims"] = _typed(
+            "nro_siniestro:l; nro_contrato:l; failed='sk_fecha_siniestro outside the calendar':s",
+            "FROM reclamos_con, anios WHERE year(fecha_siniestro) < lo")
+        out["quarantine_ratings"] = _typed(
+            "cod_cliente:l; cod_producto:l; cod_evaluacion_servicio:l; failed=f:s",
+            """FROM (SELECT *, concat_ws(chr(59) || ' ', CASE WHEN NOT EXISTS (SELECT 1 FROM cliente c WHERE c.cod_cliente = v.cod_cliente)
+            THEN 'sk_dim_cliente unresolved' END, CASE WHEN cod_evaluacion_servicio = 9 THEN 'sk_dim_evaluacion_servicio unresolved' END) AS f
+            FROM votos v) WHERE f <> ''""")
+        out["load_abort"] = _sql(f"""SELECT 'fact_registro_contrato' AS table_name, 'sk_dim_estado_contrato unresolved' AS failed,
+            count(*) AS n, CAST(0 AS BIGINT) AS version {lines} HAVING count(*) > 0""")
     out["change_load_parts"] = _sql("""SELECT table_name, CAST(anio AS BIGINT) AS anio FROM (
         SELECT 'fact_registro_contrato' AS table_name, anio FROM f_con WHERE est = 3
         UNION SELECT 'fact_registro_siniestro', year(fecha_siniestro) FROM f_sin WHERE fecha_respuesta IS NULL

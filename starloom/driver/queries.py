@@ -8,7 +8,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.driver.bindings import MONEY, Roles, loaded, roles, warehouse
+from starloom.driver.bindings import MONEY, Roles, Source, loaded, roles, warehouse
 from starloom.functions.dates import key_year, smart_key
 from starloom.functions.digests import table_fingerprint
 from starloom.operators import quality as q
@@ -19,7 +19,7 @@ from starloom.operators.merge import apply_changes, apply_updates, insert_only,
 from starloom.operators.totals import control_totals
 from starloom.plans import dimensions, facts, kpis
 from starloom.plans.change_load import rewritten_parts, run_change_load
-from starloom.plans.warehouse_load import reset_scope, run_load
+from starloom.plans.warehouse_load import LoadAborted, reset_scope, run_load
 from starloom.schemas import CONTRACT_STATES, DIMENSIONS, FACT_KEYS, RATING_LABELS, source_rules, state_rows, warehouse_rules
 from starloom.session import scratch_path
 from starloom.sources.goals import FIRST_YEAR, goal_violations, normalise_goals, typed_goals
@@ -700,6 +700,75 @@ def reload_parts(spark, sf_dir):
     return spark.createDataFrame(counts, "table_name STRING, n_parts LONG, n_written LONG")
 
 
+# --- quarantine --------------------------------------------------------------------------------------------
+
+
+def _planted(r: Roles) -> Source:
+    """The source with misses: suspended lines get a state that is unknown, open claims a date a century before, and
+    ratings without a recommendation a code that is unknown."""
+    line, claim, rating = r.registro_contrato(), r.registro_siniestro(), r.recomienda()
+    state = F.when(F.col("estado_contrato") == "suspendido", "anulado").otherwise(F.col("estado_contrato"))
+    day = F.when(F.col("fecha_respuesta").isNull(), F.add_months("fecha_siniestro", -1200)).otherwise(F.col("fecha_siniestro"))
+    code = F.when(F.col("recomienda_amigo").isNull(), 9).otherwise(F.col("cod_evaluacion_servicio"))
+    return Source(r, {
+        "registro_contrato": line.withColumn("estado_contrato", state),
+        "registro_siniestro": claim.withColumn("fecha_siniestro", day),
+        "recomienda": rating.withColumn("cod_evaluacion_servicio", code.cast(rating.schema["cod_evaluacion_servicio"].dataType)),
+    })
+
+
+_quarantined: dict[tuple[str, str], PublishedTables] = {}
+
+
+def _with_quarantine(spark, sf_dir) -> PublishedTables:
+    """The warehouse after a quarantine load of the planted source."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _quarantined:
+        r = roles(spark, sf_dir)
+        store = WarehouseStore(spark, scratch_path(spark, "quarantine"))
+        run_load(store, _planted(r), *r.years(), with_metrics=False, quarantine=True)
+        _quarantined[key] = store.tables()
+    return _quarantined[key]
+
+
+def _set_aside(fact: str):
+    def rows(spark, sf_dir):
+        misses = _with_quarantine(spark, sf_dir)[f"quarantine_{fact}"]
+        return misses.withColumn("failed", F.array_join("failed", "; "))
+
+    return rows
+
+
+for _fact, _name in (("fact_registro_contrato", "contracts"), ("fact_registro_siniestro", "claims"), ("fact_evaluacion_servicio", "ratings")):
+    _rows = _set_aside(_fact)
+    _rows.__name__, _rows.__doc__ = f"quarantine_{_name}", "Rows that the quarantine load set aside, with what they lack."
+    query(_rows)
+
+
+@query
+def quarantine_contract_detail(spark, sf_dir):
+    """What the same load published as the contract fact."""
+    return kpis.contract_detail(_with_quarantine(spark, sf_dir))
+
+
+@query
+def quarantine_rating_detail(spark, sf_dir):
+    return kpis.rating_detail(_with_quarantine(spark, sf_dir))
+
+
+@query
+def load_abort(spark, sf_dir):
+    """Without quarantine the load of that source aborts: what its first failing fact lacks, and the version readers see."""
+    r = roles(spark, sf_dir)
+    store = WarehouseStore(spark, scratch_path(spark, "abort"))
+    try:
+        run_load(store, _planted(r), *r.years(), with_metrics=False)
+        found = []
+    except LoadAborted as stop:
+        found = [(stop.table, check, n, store.version()) for check, n in stop.counts.items()]
+    return spark.createDataFrame(found, "table_name STRING, failed STRING, n LONG, version LONG")
+
+
 def _kpi_change(name: str) -> None:
     def before_after(spark, sf_dir):
         before, after = _changed(spark, sf_dir)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.dates import smart_key, year_end_key, year_start_key
@@ -17,7 +17,7 @@ from starloom.operators.keys import last_wins, last_wins_counted
 from starloom.operators.lookup import lookup
 from starloom.operators.merge import is_empty, merge_fact
 from starloom.plans.dimensions import unique_entities
-from starloom.schemas import FACT_COLUMNS, FACT_KEYS
+from starloom.schemas import FACT_COLUMNS, FACT_KEYS, FACT_NATURALS
 
 Tables = Mapping[str, DataFrame]
 Hot = Mapping[str, Sequence[int]]
@@ -68,10 +68,14 @@ def _counters():
     return [F.lit(1).alias(c) for c in ("cantidad", "cantidad_cliente", "cantidad_producto", "cantidad_contrato")]
 
 
+def _naturals(fact: str, wanted: bool) -> list[Column]:
+    return [F.col(c).alias(f"nk_{c}") for c in FACT_NATURALS[fact]] if wanted else []
+
+
 def contract_fact_source(
-    src: Tables, dims: Tables, hot: Hot | None = None, unique_keys: bool = False
+    src: Tables, dims: Tables, hot: Hot | None = None, unique_keys: bool = False, naturals: bool = False
 ) -> DataFrame:
-    """Keyed contract lines.  The contract join comes first: its shuffle on the contract number also serves the
+    """Keyed contract lines, with their natural keys if ``naturals``.  The contract join comes first: its shuffle on the contract number also serves the
     deduplication, whose key starts with it.  ``unique_keys`` skips the deduplication."""
     lines = src["registro_contrato"]
     spread = ["nro_contrato", "cod_producto", "cod_cliente"]
@@ -97,7 +101,7 @@ def contract_fact_source(
         smart_key(F.col("fecha_fin")).alias("sk_dim_tiempo_fecha_fin"),
         "sk_dim_cliente", "sk_dim_contrato", "sk_dim_producto", "sk_dim_estado_contrato", "sk_dim_sucursal",
         F.col("monto").cast("decimal(18,2)").alias("monto"),
-        *_counters(), SOURCE_ROWS,
+        *_counters(), SOURCE_ROWS, *_naturals("fact_registro_contrato", naturals),
     )
 
 
@@ -131,7 +135,8 @@ def claim_source(src: Tables, hot_lines: Hot | None = None, hot_claims: Hot | No
 
 
 def claim_fact_source(
-    src: Tables, dims: Tables, hot_lines: Hot | None = None, hot_claims: Hot | None = None, unique_keys: bool = False
+    src: Tables, dims: Tables, hot_lines: Hot | None = None, hot_claims: Hot | None = None, unique_keys: bool = False,
+    naturals: bool = False,
 ) -> DataFrame:
     """Keyed claims: contract-level keys are resolved once per contract, then joined to the claims.  The contract key
     comes last, so its shuffle also serves the join with the claims."""
@@ -162,7 +167,7 @@ def claim_fact_source(
         smart_key(F.col("fecha_respuesta")).alias("sk_fecha_respuesta"),
         "sk_dim_cliente", "sk_dim_contrato", "sk_dim_sucursal", "sk_dim_producto", "sk_dim_siniestro",
         F.lit(1).alias("cantidad"), "monto_reconocido", "monto_solicitado", "id_rechazo",
-        (F.col("_claims") * F.col("_lines")).alias(SOURCE_ROWS),
+        (F.col("_claims") * F.col("_lines")).alias(SOURCE_ROWS), *_naturals("fact_registro_siniestro", naturals),
     )
 
 
@@ -208,7 +213,7 @@ def rejected_ratings(src: Tables, hot: Hot | None = None) -> DataFrame:
     )
 
 
-def rating_fact_source(src: Tables, dims: Tables, hot: Hot | None = None) -> DataFrame:
+def rating_fact_source(src: Tables, dims: Tables, hot: Hot | None = None, naturals: bool = False) -> DataFrame:
     """Keyed ratings; a NULL recommendation counts as no."""
     keyed = kept_ratings(src)
     keyed = lookup(
@@ -227,11 +232,11 @@ def rating_fact_source(src: Tables, dims: Tables, hot: Hot | None = None) -> Dat
     return keyed.select(
         smart_key(F.col("fecha_eval")).alias("sk_dim_tiempo_evaluacion"), "sk_dim_cliente", "sk_dim_producto",
         F.col("sk_dim_evaluacion").alias("sk_dim_evaluacion_servicio"), F.lit(1).alias("cantidad"),
-        flag.alias("recomienda_amigo"), SOURCE_ROWS,
+        flag.alias("recomienda_amigo"), SOURCE_ROWS, *_naturals("fact_evaluacion_servicio", naturals),
     )
 
 
-def goal_fact_source(goals: DataFrame, dims: Tables) -> DataFrame:
+def goal_fact_source(goals: DataFrame, dims: Tables, naturals: bool = False) -> DataFrame:
     """Keyed goals; each covers its whole calendar year."""
     keyed = lookup(goals, dims["dim_producto"], {"cod_producto": "cod_producto_nk"}, ["sk_dim_producto"])
     return keyed.select(
@@ -239,7 +244,7 @@ def goal_fact_source(goals: DataFrame, dims: Tables) -> DataFrame:
         year_end_key(F.col("anio")).alias("sk_dim_fecha_fin_meta"),
         "sk_dim_producto",
         F.col("monto_meta_ingreso").cast("decimal(18,2)").alias("monto_meta_ingreso"),
-        "meta_renovacion", "meta_asegurados",
+        "meta_renovacion", "meta_asegurados", *_naturals("fact_metas", naturals),
     )
 
 

@@ -13,7 +13,7 @@ from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.operators.calendar import DEFAULT_FIRST_DAY, DEFAULT_LAST_DAY, extend_calendar
@@ -21,7 +21,7 @@ from starloom.operators.lookup import find_hot_keys
 from starloom.operators.merge import is_empty, merge_metrics, retained_rows
 from starloom.plans import dimensions, facts
 from starloom.plans.kpis import kpi_parts
-from starloom.schemas import DIMENSIONS, FACT_DATES, FACT_KEYS, FACT_REQUIRED, FACT_YEARS, REGISTER_KEYS
+from starloom.schemas import DIMENSIONS, FACT_DATES, FACT_KEYS, FACT_NATURALS, FACT_REQUIRED, FACT_YEARS, REGISTER_KEYS
 from starloom.session import materialise
 from starloom.sources.store import Change, Layout, Load, Origin, WarehouseStore
 
@@ -31,7 +31,11 @@ METRICS_SCHEMA = (
 
 
 class LoadAborted(RuntimeError):
-    """The load was given up; the published version is unchanged."""
+    """The load was given up; the published version is unchanged.  ``table`` and ``counts`` tell what a fact's checks found."""
+
+    def __init__(self, message: str, table: str | None = None, counts: Mapping[str, int] | None = None):
+        super().__init__(message)
+        self.table, self.counts = table, dict(counts or {})
 
 
 @dataclass
@@ -52,16 +56,32 @@ def _run(jobs: Mapping[str, Callable[[], object]], workers: int) -> dict[str, ob
         return {name: p.result() for name, p in pending.items()}
 
 
-def _flagged(df: DataFrame, name: str, calendar: DataFrame) -> tuple[DataFrame, list]:
-    """A fact source with marks of its calendar days, and the counts that must be zero."""
+def _flagged(df: DataFrame, name: str, calendar: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
+    """A fact source with marks of its calendar days, and what no row of it may be, by the name of the check."""
     days = calendar.select("sk_dim_tiempo")
-    flagged, checks = df, []
+    flagged, checks = df, {}
     for i, column in enumerate(FACT_DATES[name]):
         known = days.select(F.col("sk_dim_tiempo").alias(column), F.lit(True).alias(f"_day{i}"))
         flagged = flagged.join(known, column, "left")
         outside = F.col(column).isNotNull() & F.col(f"_day{i}").isNull()
-        checks.append(F.count_if(outside).alias(f"{column} outside the calendar"))
-    return flagged, checks + [F.count_if(F.col(c).isNull()).alias(f"{c} unresolved") for c in FACT_REQUIRED[name]]
+        checks[f"{column} outside the calendar"] = outside
+    return flagged, checks | {f"{c} unresolved": F.col(c).isNull() for c in FACT_REQUIRED[name]}
+
+
+def set_aside(load: Load, name: str, source: DataFrame, calendar: DataFrame) -> DataFrame:
+    """The rows of a fact source (with natural keys) that can be loaded.  The others are written to ``quarantine_<name>``
+    with their natural keys and the checks they fail, and get published with the fact.
+
+    The joins run once: their rows are written down with the failed checks, and both tables are read from there.
+    """
+    flagged, checks = _flagged(source, name, calendar)
+    failed = F.array_compact(F.array(*[F.when(broken, F.lit(check)) for check, broken in checks.items()]))
+    columns = [c for c in source.columns if not c.startswith("nk_")]
+    naturals = [f"nk_{c}" for c in FACT_NATURALS[name]]
+    marked = materialise(flagged.select(*columns, *naturals, failed.alias("failed")), f"{name}-marked")
+    misses = marked.where(F.size("failed") > 0)
+    load.write(f"quarantine_{name}", misses.select(*[F.col(f"nk_{c}").alias(c) for c in FACT_NATURALS[name]], "failed"))
+    return marked.where(F.size("failed") == 0).select(*columns)
 
 
 def observed_fact(df: DataFrame, name: str, calendar: DataFrame) -> tuple[DataFrame, Observation]:
@@ -72,7 +92,8 @@ def observed_fact(df: DataFrame, name: str, calendar: DataFrame) -> tuple[DataFr
     seen = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
     stands = F.col(facts.SOURCE_ROWS)
     totals = [F.count(F.lit(1)).alias("_rows"), F.coalesce(F.sum(stands), F.lit(0)).alias("_source"), F.count_if(stands == 0).alias("_kept")]
-    return facts.ordered(flagged.observe(seen, *checks, *totals), name), seen
+    counts = [F.count_if(broken).alias(check) for check, broken in checks.items()]
+    return facts.ordered(flagged.observe(seen, *counts, *totals), name), seen
 
 
 def require_checked(name: str, seen: Observation) -> dict[str, int]:
@@ -81,7 +102,7 @@ def require_checked(name: str, seen: Observation) -> dict[str, int]:
     totals = {k: int(found.pop(k) or 0) for k in ("_rows", "_source", "_kept")}
     broken = {k: v for k, v in found.items() if v}
     if broken:
-        raise LoadAborted(f"{name}: {broken}")
+        raise LoadAborted(f"{name}: {broken}", name, broken)
     return totals
 
 
@@ -94,7 +115,8 @@ def _checked_write(load: Load, name: str, df: DataFrame, calendar: DataFrame, un
     if not unique:
         keys = load.table(name).groupBy(*FACT_KEYS[name]).count().where("count > 1")  # the written key columns alone
         if not is_empty(keys):
-            raise LoadAborted(f"{name}: {{'repeated fact keys': {keys.count()}}}")
+            repeated = {"repeated fact keys": keys.count()}
+            raise LoadAborted(f"{name}: {repeated}", name, repeated)
     return change, totals
 
 
@@ -154,11 +176,13 @@ def load_dimensions(
 def load_facts(
     src: Mapping[str, DataFrame], dims: Mapping[str, DataFrame], load: Load, before: Mapping[str, DataFrame],
     hot: Mapping[str, Mapping[str, list[int]]], metrics: dict[str, dict[str, int]], workers: int, with_metrics: bool,
-    unique_keys: bool = False,
+    unique_keys: bool = False, quarantine: bool = False,
 ) -> dict[str, DataFrame]:
     calendar = dims["dim_tiempo"]
 
     def write(name: str, source: DataFrame, retain: DataFrame | None = None, unique: bool = True) -> DataFrame:
+        if quarantine:
+            source = set_aside(load, name, source, calendar)
         state, previous = source, before.get(name)
         if retain is not None:  # read three times below: by the state, its anti join and the writes
             source = materialise(source, name)
@@ -176,15 +200,15 @@ def load_facts(
             return previous
         if is_empty(dims["dim_producto"]):
             raise facts.MissingPrerequisite("dim_producto is empty; load the dimensions before the goals")
-        return write("fact_metas", facts.goal_fact_source(staged, dims), unique=False)
+        return write("fact_metas", facts.goal_fact_source(staged, dims, quarantine), unique=False)
 
     def claims() -> DataFrame:
         retain = facts.live_claim_keys(src, dims) if "fact_registro_siniestro" in before else None
-        source = facts.claim_fact_source(src, dims, hot.get("registro_contrato"), hot.get("registro_siniestro"), unique_keys)
+        source = facts.claim_fact_source(src, dims, hot.get("registro_contrato"), hot.get("registro_siniestro"), unique_keys, quarantine)
         return write("fact_registro_siniestro", source, retain, not unique_keys)
 
     def ratings() -> DataFrame:
-        written = write("fact_evaluacion_servicio", facts.rating_fact_source(src, dims, hot.get("recomienda")))
+        written = write("fact_evaluacion_servicio", facts.rating_fact_source(src, dims, hot.get("recomienda"), quarantine))
         if with_metrics:
             entry = metrics["fact_evaluacion_servicio"]
             entry["discarded"] = src["recomienda"].count() - entry["source_rows"]
@@ -192,7 +216,8 @@ def load_facts(
 
     jobs = {
         "fact_registro_contrato": lambda: write(
-            "fact_registro_contrato", facts.contract_fact_source(src, dims, hot.get("registro_contrato"), unique_keys), unique=not unique_keys),
+            "fact_registro_contrato", facts.contract_fact_source(
+                src, dims, hot.get("registro_contrato"), unique_keys, quarantine), unique=not unique_keys),
         "fact_registro_siniestro": claims,
         "fact_evaluacion_servicio": ratings,
         "fact_metas": goals,
@@ -227,6 +252,7 @@ def run_load(
     origin: Origin | None = None,
     register_buckets: int | None = None,
     keep_kpis: bool = False,
+    quarantine: bool = False,
 ) -> LoadReport:
     """Load every dimension and fact from ``src`` on top of the published version, then publish.
 
@@ -234,7 +260,9 @@ def run_load(
     ``trust_primary_keys`` says that the source enforces its primary keys; the contract and claim loads then skip
     the full-width shuffle that would reduce repeated keys.  ``register_buckets`` keeps the registers in the store, cut
     into so many key buckets, so that ``change_load`` can load a change batch; ``keep_kpis`` keeps the additive parts of
-    the KPIs for it to update.
+    the KPIs for it to update.  With ``quarantine`` fact rows with unresolved keys or dates outside the calendar do not abort
+    the load: they stay out of the fact and are published beside it, in ``quarantine_<fact>`` (natural keys, failed checks),
+    which every such load replaces.  A fact row whose source row is set aside goes, like one without a source row.
     """
     spark = store.spark
     load = store.open_load()
@@ -246,14 +274,15 @@ def run_load(
         src = dimensions.unique_entities(src)
         dims, hot = load_dimensions(
             spark, src, load, before, first_day, last_day, metrics, workers, measure_hot=balance_hot_keys)
-        load_facts(src, dims, load, before, hot, metrics, workers, with_metrics, trust_primary_keys)
+        load_facts(src, dims, load, before, hot, metrics, workers, with_metrics, trust_primary_keys, quarantine)
         if register_buckets:
             keep_registers(load, src, register_buckets)
         if keep_kpis:
             for name, parts in kpi_parts(load.state()).items():
                 load.write(name, parts)
     except Exception as error:
-        raise LoadAborted(f"load aborted, nothing published: {error}") from error
+        found = (error.table, error.counts) if isinstance(error, LoadAborted) else ()
+        raise LoadAborted(f"load aborted, nothing published: {error}", *found) from error
     return LoadReport(load.publish(origin), metrics)
 
 

@@ -149,6 +149,13 @@ FACT_DATES = {
     "fact_evaluacion_servicio": ["sk_dim_tiempo_evaluacion"],
     "fact_metas": ["sk_dim_fecha_inicio_meta", "sk_dim_fecha_fin_meta"],
 }
+# What tells the source rows of a fact apart, kept beside the names of the keys that a quarantined row lacks.
+FACT_NATURALS = {
+    "fact_registro_contrato": ["nro_contrato", "cod_producto", "cod_cliente"],
+    "fact_registro_siniestro": ["nro_siniestro", "nro_contrato"],
+    "fact_evaluacion_servicio": ["cod_cliente", "cod_producto", "cod_evaluacion_servicio"],
+    "fact_metas": ["anio", "cod_producto"],
+}
 # The key whose hash bucket a kept register is laid out by.
 REGISTER_KEYS = {
     "reg_cliente": "cod_cliente", "reg_registro_contrato": "nro_contrato", "reg_registro_siniestro": "nro_contrato",

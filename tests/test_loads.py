@@ -265,3 +265,37 @@ def test_a_load_that_was_overtaken_does_not_publish(spark, base, tmp_path):
     with pytest.raises(VersionMoved):
         second.publish()
     assert store.paths()["dim_sucursal"] == first.written["dim_sucursal"]
+
+
+def test_quarantine_sets_aside_what_would_abort(spark, base, tmp_path):
+    tables = source_rows()
+    line, claim = tables["registro_contrato"][0], tables["registro_siniestro"][0]
+    line[6] = "ANULADO"  # no such state
+    line[3] = "1800-01-01"  # nor such a day
+    claim[2] = "1800-01-01"
+    src = {**frames(spark, tables), "metas": goals(spark).unionByName(
+        goals(spark).limit(1).withColumn("cod_producto", F.lit(999).cast("long")))}
+    store = fork(spark, base, tmp_path)
+    with pytest.raises(LoadAborted) as stop:
+        run_load(store, src, with_metrics=False)
+    assert stop.value.table == "fact_registro_contrato" and stop.value.counts == {
+        "sk_dim_tiempo_fecha_inicio outside the calendar": 1, "sk_dim_estado_contrato unresolved": 1}
+    before = store.tables()
+    report = run_load(store, src, quarantine=True)
+    after = store.tables()
+    misses = after["quarantine_fact_registro_contrato"].collect()
+    assert [tuple(m)[:3] for m in misses] == [(line[0], line[1], line[2])]
+    assert set(misses[0]["failed"]) == set(stop.value.counts)
+    found = rows(after["quarantine_fact_registro_siniestro"])
+    assert found == [(claim[0], claim[1], ["sk_fecha_siniestro outside the calendar"])]
+    assert [m["cod_producto"] for m in after["quarantine_fact_metas"].collect()] == [999]
+    assert after["quarantine_fact_evaluacion_servicio"].count() == 0
+    for fact, gone in (("fact_registro_contrato", 1), ("fact_metas", 0), ("fact_evaluacion_servicio", 0)):
+        assert after[fact].count() == before[fact].count() - gone
+    assert report.metrics["fact_registro_contrato"]["deleted"] == 1
+    # The next sound load empties the quarantine and brings the rows back.
+    run_load(store, {**source(spark), "metas": goals(spark)}, with_metrics=False, quarantine=True)
+    healed = store.tables()
+    assert all(healed[f"quarantine_{fact}"].count() == 0 for fact in ("fact_registro_contrato", "fact_registro_siniestro", "fact_metas"))
+    for fact in ("fact_registro_contrato", "fact_registro_siniestro", "fact_metas"):
+        assert rows(healed[fact]) == rows(before[fact])
