@@ -539,6 +539,7 @@ def oracle_sql() -> dict[str, str]:
         " FROM (SELECT c.*, until FROM calendario c, anios)").replace("SELECT * REPLACE", "SELECT * EXCLUDE (until) REPLACE")
     out["smart_key_counts"] = """SELECT CAST(k AS BIGINT) AS sk_dim_tiempo, count(*) AS n_lines FROM (SELECT CASE WHEN l_linestatus = 'F'
         THEN year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate) END AS k FROM lineitem) GROUP BY k"""
+    out["smart_key_sql"] = out["smart_key_counts"]
     out["fixed_domain_dim"] = """WITH v AS (SELECT row_number() OVER (ORDER BY c) AS sk, c FROM (SELECT DISTINCT CASE WHEN l_linestatus = 'O'
         THEN 'ACTIVO' ELSE 'VENCIDO' END AS c FROM lineitem)),
         n AS (SELECT * FROM (VALUES (1, 'ACTIVO', 'Activo'), (2, 'VENCIDO', 'Vencido'), (3, 'SUSPENDIDO', 'Suspendido')) d(o, c, t)
@@ -658,6 +659,23 @@ def oracle_sql() -> dict[str, str]:
         _GOAL_FACT.replace("monto_meta_ingreso:d", "monto_meta_ingreso=monto_meta_ingreso * 2:d").replace("anio *", "(anio + greatest(2000 - olo, 0)) *"),
         "FROM f_met, anios")
     out["snapshot_quarantine"] = _sql(
-        "SELECT 'negative:meta_renovacion' AS rule, 'metas' AS table_name, 'NULL,' || (anio + greatest(2000 - olo, 0)) || ',' || cod_producto AS row_key, '-1' AS detail,"
-        " CAST(1 AS BIGINT) AS n_rows, 's3' AS snapshot FROM metas, anios WHERE meta_renovacion = 1")
+        "SELECT 'negative:meta_renovacion' AS rule, 'metas' AS table_name,"
+        " fila || ',' || (anio + greatest(2000 - olo, 0)) || ',' || cod_producto AS row_key, '-1' AS detail,"
+        " CAST(1 AS BIGINT) AS n_rows, 's3' AS snapshot"
+        " FROM (SELECT *, 1 + row_number() OVER (ORDER BY anio, cod_producto) AS fila FROM metas), anios WHERE meta_renovacion = 1")
+    out["watch_all_clients"] = _typed(
+        "sk_dim_cliente=sk:l; cod_cliente_nk=cod_cliente:l; nb_cliente:s; ci_rif:s; telefono:s; direccion:s; sexo:s; email=email || '.c2':s", "FROM d_cli")
+    out["watch_all_products"] = _sql(
+        "SELECT CAST(p_partkey AS BIGINT) AS cod_producto_nk, p_name AS nb_producto, p_brand || ' p1' AS descrip_producto FROM part")
+    out["watch_all_goals"] = _typed(_GOAL_FACT.replace("anio *", "(anio + greatest(2000 - olo, 0)) *"), "FROM f_met, anios")
+    out["watch_all_bound"] = _sql(
+        "SELECT 'cliente' AS source, 'c2' AS snapshot, count(*) AS n_rows FROM customer"
+        " UNION ALL SELECT 'metas', 'g1', count(*) FROM metas UNION ALL SELECT 'producto', 'p1', count(*) FROM part")
+    out["watch_all_quarantine"] = _sql(
+        "SELECT 'negative:monto_meta_ingreso' AS rule, 'g2' AS snapshot, count(*) AS n, CAST(2 AS BIGINT) AS first_row, 1 + count(*) AS last_row FROM metas")
+    out["goal_guards"] = _sql(
+        "SELECT guard, stopped_by, n_rows, CAST(version AS BIGINT) AS version FROM (SELECT count(*) AS n_rows FROM metas),"
+        " (VALUES ('column', 'columns', NULL), ('empty', 'empty', NULL), ('product', 'MissingPrerequisite', 1)) AS g(guard, stopped_by, version)")
+    out["staging_load_time"] = _sql(
+        "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_unstamped, CAST(1 AS BIGINT) AS n_load_times FROM metas")
     return out

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.driver.bindings import MONEY, Roles, Source, loaded, roles, warehouse
-from starloom.functions.dates import key_year, smart_key
+from starloom.functions.dates import key_year, register_sql_functions, smart_key
 from starloom.functions.digests import table_fingerprint
 from starloom.operators import quality as q
 from starloom.operators.calendar import calendar_rows, date_series, extend_calendar
@@ -19,12 +19,12 @@ from starloom.operators.merge import apply_changes, apply_updates, insert_only,
 from starloom.operators.totals import control_totals
 from starloom.plans import dimensions, facts, kpis
 from starloom.plans.change_load import rewritten_parts, run_change_load
-from starloom.plans.warehouse_load import LoadAborted, reset_scope, run_load
+from starloom.plans.warehouse_load import LoadAborted, refresh_goals, reset_scope, run_load
 from starloom.schemas import CONTRACT_STATES, DIMENSIONS, FACT_KEYS, RATING_LABELS, source_rules, state_rows, warehouse_rules
 from starloom.session import scratch_path
-from starloom.sources.goals import FIRST_YEAR, goal_violations, normalise_goals, typed_goals
+from starloom.sources.goals import FIRST_YEAR, checked_goals, goal_violations, normalise_goals, stage, typed_goals
 from starloom.sources.store import PublishedTables, WarehouseStore
-from starloom.streaming.snapshots import announced_snapshots, land_snapshot, quarantined, watch
+from starloom.streaming.snapshots import announced_snapshots, bound_snapshots, land_snapshot, quarantined, watch, watch_sources
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -72,6 +72,15 @@ def smart_key_counts(spark, sf_dir):
         F.count(F.lit(1)).alias("n_lines"))
 
 
+@query
+def smart_key_sql(spark, sf_dir):
+    """The same count by the SQL form of the key function."""
+    register_sql_functions(spark)
+    return spark.sql(
+        "SELECT fn_sk_tiempo(CASE WHEN l_linestatus = 'F' THEN CAST(l_shipdate AS DATE) END) AS sk_dim_tiempo, count(*) AS n_lines"
+        " FROM {lines} GROUP BY ALL", lines=roles(spark, sf_dir).raw("lineitem"))
+
+
 @query
 def fixed_domain_dim(spark, sf_dir):
     """The fixed state domain added to the states that the line status already implies."""
@@ -825,6 +834,13 @@ def snapshot_fingerprint(spark, sf_dir):
     return _customer_fingerprint(spark, sf_dir)
 
 
+def _sheet_goals(r: Roles) -> tuple[DataFrame, dt.date, dt.date]:
+    """Goals moved to years that a sheet admits, and a calendar range that covers them."""
+    lo, hi = (d.year for d in r.order_years())
+    shift = max(FIRST_YEAR - lo, 0)
+    return r.metas().withColumn("anio", F.col("anio") + shift), dt.date(lo, 1, 1), dt.date(hi + shift, 12, 31)
+
+
 _watched: dict[tuple[str, str], WarehouseStore] = {}
 
 
@@ -841,16 +857,14 @@ def _watched_store(spark, sf_dir) -> WarehouseStore:
     store = WarehouseStore(spark, scratch_path(spark, "watch"))
     load = store.open_load()
     load.adopt({n: p for n, p in base.paths().items() if n.startswith("dim_")})
-    lo, hi = (d.year for d in r.order_years())
-    shift = max(FIRST_YEAR - lo, 0)
-    load.write("dim_tiempo", extend_calendar(spark, base.tables()["dim_tiempo"], dt.date(lo, 1, 1), dt.date(hi + shift, 12, 31)))
+    good, first, last = _sheet_goals(r)
+    load.write("dim_tiempo", extend_calendar(spark, base.tables()["dim_tiempo"], first, last))
     load.publish()
     landing = scratch_path(spark, "landing")
-    good = r.metas().withColumn("anio", F.col("anio") + shift)
     spoilt = good.withColumn("meta_renovacion", F.when(F.col("meta_renovacion") == 1, -1).otherwise(F.col("meta_renovacion")))
     revised = good.withColumn("monto_meta_ingreso", (F.col("monto_meta_ingreso") * 2).cast(MONEY))
     for name, sheet in (("s1", good), ("s2", good), ("s3", spoilt), ("s4", revised)):
-        land_snapshot(sheet, landing, name)
+        land_snapshot(sheet.orderBy("anio", "cod_producto"), landing, name)
     watch(store, announced_snapshots(spark, landing, per_batch=1), scratch_path(spark, "watch-state"), interval=None).awaitTermination()
     _watched[key] = store
     return store
@@ -864,9 +878,108 @@ def snapshot_stream(spark, sf_dir):
 
 @query
 def snapshot_quarantine(spark, sf_dir):
-    """Violations of the spoilt sheet."""
+    """Violations of the spoilt sheet, with its row numbers."""
     return quarantined(_watched_store(spark, sf_dir)).select("rule", "table_name", "row_key", "detail", "n_rows", "snapshot")
 
 
+def _fully_watched(spark, sf_dir) -> WarehouseStore:
+    """A store that has watched all source tables: one batch with a client snapshot, a newer one and a goals sheet, then one
+    with a spoilt sheet and a revised product table."""
+    key = (spark.sparkContext.applicationId, f"{sf_dir} (all tables)")
+    if key in _watched:
+        return _watched[key]
+    r = roles(spark, sf_dir)
+    store = WarehouseStore(spark, scratch_path(spark, "watch-all"))
+    load = store.open_load()
+    load.adopt(loaded(spark, sf_dir)[0].paths())
+    load.publish()
+    good, first, last = _sheet_goals(r)
+    landing, state = scratch_path(spark, "landing-all"), scratch_path(spark, "watch-all-state")
+    clients = r.cliente()
+    batches = [
+        [("c1", "cliente", clients.withColumn("telefono", F.lit("none"))),
+         ("c2", "cliente", clients.withColumn("email", F.concat("email", F.lit(".c2")))), ("g1", "metas", good)],
+        [("g2", "metas", good.withColumn("monto_meta_ingreso", -F.col("monto_meta_ingreso"))),
+         ("p1", "producto", r.producto().withColumn("descripcion", F.concat("descripcion", F.lit(" p1"))))],
+    ]
+    for batch in batches:
+        for name, table, df in batch:
+            land_snapshot(df, landing, name, table)
+        watch_sources(store, announced_snapshots(spark, landing), state, r.source(), first, last,
+                      interval=None, with_metrics=False).awaitTermination()
+    _watched[key] = store
+    return store
+
+
+@query
+def watch_all_clients(spark, sf_dir):
+    """Clients after the watch over all tables: the newer of two snapshots of one batch."""
+    return kpis.client_present(_fully_watched(spark, sf_dir).tables())
+
+
+@query
+def watch_all_products(spark, sf_dir):
+    """Products after the watch: the second batch loads them although its goals sheet is refused."""
+    return _fully_watched(spark, sf_dir).tables()["dim_producto"].select("cod_producto_nk", "nb_producto", "descrip_producto")
+
+
+@query
+def watch_all_goals(spark, sf_dir):
+    """Goal fact after the watch: the sheet bound by the first batch."""
+    return _fully_watched(spark, sf_dir).tables()["fact_metas"]
+
+
+@query
+def watch_all_bound(spark, sf_dir):
+    """The snapshot that the published version read each table from, with its rows."""
+    bound = bound_snapshots(_fully_watched(spark, sf_dir))
+    read = {"metas": lambda path: spark.read.option("header", True).csv(path)}
+    rows = [(s, e["snapshot"], read.get(s, spark.read.parquet)(e["path"]).count()) for s, e in sorted(bound.items())]
+    return spark.createDataFrame(rows, "source STRING, snapshot STRING, n_rows LONG")
+
+
+@query
+def watch_all_quarantine(spark, sf_dir):
+    """Violations of the refused sheet per rule, with the sheet's first and last row."""
+    found = quarantined(_fully_watched(spark, sf_dir))
+    row = F.substring_index("row_key", ",", 1).cast("long")
+    return found.groupBy("rule", "snapshot").agg(
+        F.count(F.lit(1)).alias("n"), F.min(row).alias("first_row"), F.max(row).alias("last_row"))
+
+
+@query
+def goal_guards(spark, sf_dir):
+    """What stops a load of goals before it starts: a column is missing, every cell is blank, there is no product."""
+    r = roles(spark, sf_dir)
+    goals = r.metas()
+    blank = goals.select(*[F.when(F.col(c).isNull(), F.col(c)).cast("string").alias(c) for c in goals.columns])
+    found = []
+    for guard, raw in (("column", goals.drop("meta_renovacion")), ("empty", blank)):
+        _, _, error = checked_goals(raw)
+        found.append((guard, error.rule if error else None, raw.count(), None))
+    store = WarehouseStore(spark, scratch_path(spark, "guards"))
+    load = store.open_load()
+    base = loaded(spark, sf_dir)[0].tables()
+    for name in ("dim_producto", "dim_tiempo"):
+        load.write(name, base[name].limit(0) if name == "dim_producto" else base[name])
+    load.publish()
+    try:
+        refresh_goals(store, stage(goals))
+        stopped = None
+    except LoadAborted as stop:
+        stopped = type(stop.__cause__).__name__
+    found.append(("product", stopped, goals.count(), store.version()))
+    return spark.createDataFrame(found, "guard STRING, stopped_by STRING, n_rows LONG, version LONG")
+
+
+@query
+def staging_load_time(spark, sf_dir):
+    """Staged goals of a full load: rows, rows without a load time, and load times other than the one of their load."""
+    staged = loaded(spark, sf_dir)[0].tables()["stg_metas"]
+    stamps = staged.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("fecha_carga").isNull()).alias("n_unstamped"),
+                        F.count_distinct("fecha_carga").alias("n_load_times"))
+    return stamps
+
+
 def queries() -> Mapping[str, Query]:
     return dict(REGISTRY)

@@ -23,6 +23,7 @@ from starloom.plans import dimensions, facts
 from starloom.plans.kpis import kpi_parts
 from starloom.schemas import DIMENSIONS, FACT_DATES, FACT_KEYS, FACT_NATURALS, FACT_REQUIRED, FACT_YEARS, REGISTER_KEYS
 from starloom.session import materialise
+from starloom.sources.goals import LOADED_AT, stage
 from starloom.sources.store import Change, Layout, Load, Origin, WarehouseStore
 
 METRICS_SCHEMA = (
@@ -111,6 +112,9 @@ def _checked_write(load: Load, name: str, df: DataFrame, calendar: DataFrame, un
     only if nothing has made them ``unique``."""
     observed, seen = observed_fact(df, name, calendar)
     change = load.write_changed(name, facts.ordered(df, name), Layout.by_year(FACT_YEARS[name]), observed)
+    if not change.written and not change.untouched and is_empty(load.table(name)):
+        # No row, nothing to count: adaptive execution takes the observation out of a plan that it finds empty.
+        return change, dict.fromkeys(("_rows", "_source", "_kept"), 0)
     totals = require_checked(name, seen)
     if not unique:
         keys = load.table(name).groupBy(*FACT_KEYS[name]).count().where("count > 1")  # the written key columns alone
@@ -253,6 +257,7 @@ def run_load(
     register_buckets: int | None = None,
     keep_kpis: bool = False,
     quarantine: bool = False,
+    beside: Mapping[str, DataFrame] | None = None,
 ) -> LoadReport:
     """Load every dimension and fact from ``src`` on top of the published version, then publish.
 
@@ -263,6 +268,7 @@ def run_load(
     the KPIs for it to update.  With ``quarantine`` fact rows with unresolved keys or dates outside the calendar do not abort
     the load: they stay out of the fact and are published beside it, in ``quarantine_<fact>`` (natural keys, failed checks),
     which every such load replaces.  A fact row whose source row is set aside goes, like one without a source row.
+    Goals without a load time get this one's.  ``beside`` are further tables that the same commit publishes.
     """
     spark = store.spark
     load = store.open_load()
@@ -270,7 +276,10 @@ def run_load(
     metrics: dict[str, dict[str, int]] = {}
     try:
         if src.get("metas") is not None:
-            src = {**src, "metas": load.write("stg_metas", src["metas"])}
+            staged = src["metas"] if LOADED_AT in src["metas"].columns else stage(src["metas"])
+            src = {**src, "metas": load.write("stg_metas", staged)}
+        for name, df in (beside or {}).items():
+            load.write(name, df)
         src = dimensions.unique_entities(src)
         dims, hot = load_dimensions(
             spark, src, load, before, first_day, last_day, metrics, workers, measure_hot=balance_hot_keys)

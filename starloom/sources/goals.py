@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starloom.operators import quality as q
 from starloom.operators.merge import is_empty
+from starloom.sources.tables import numbered
 
 # Required columns and admitted years of the goals sheet.
 GOAL_COLUMNS = ["anio", "cod_producto", "monto_meta_ingreso", "meta_renovacion", "meta_asegurados"]
@@ -16,6 +17,8 @@ GOAL_TYPES = {
     "anio": "int", "cod_producto": "long", "monto_meta_ingreso": "decimal(18,2)", "meta_renovacion": "int",
     "meta_asegurados": "int",
 }
+HEADER_ROWS = 1
+LOADED_AT = "fecha_carga"
 CHECK_ORDER = ["columns", "empty", "null", "type", "range", "negative", "duplicate", "product", "calendar"]
 
 
@@ -27,6 +30,14 @@ def read_goals(spark: SparkSession, path: str, fmt: str = "csv", **options) -> D
     return raw.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in raw.columns])
 
 
+def number_goals(raw: DataFrame) -> DataFrame:
+    """A read sheet with the row numbers that its errors name: the header is row 1, and the files of a sheet in several
+    count on in name order.  A ``row_no`` column of the sheet's own is kept instead."""
+    if "row_no" in [c.strip().lower() for c in raw.columns]:
+        return raw
+    return numbered(raw, first=HEADER_ROWS + 1)
+
+
 def normalise_goals(raw: DataFrame) -> DataFrame:
     """Headers trimmed and lower-cased, rows without any value dropped, other columns ignored.
 
@@ -123,4 +134,4 @@ def checked_goals(
 
 def stage(goals: DataFrame) -> DataFrame:
     """Typed goals stamped with the load time."""
-    return goals.withColumn("fecha_carga", F.current_timestamp())
+    return goals.withColumn(LOADED_AT, F.current_timestamp())

@@ -15,6 +15,7 @@ from collections.abc import Collection, Iterator, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -248,7 +249,11 @@ class Load:
         placed = df.observe(seen, F.count(F.lit(1)).alias("n"))
         placed = placed.withColumn(layout.column, layout.part()).withColumn(_LOAD, F.lit(f"c{self.tag}"))
         placed.hint("rebalance", layout.column).write.mode("append").partitionBy(layout.column, _LOAD).parquet(base)
-        if not seen.get["n"]:
+        try:
+            written = seen.get["n"]
+        except Py4JJavaError:  # adaptive execution found the plan empty and took the observation out
+            written = 0
+        if not written:
             return {}
         fresh = self.store.spark.read.option("basePath", base).parquet(f"{base}/*/{_LOAD}=c{self.tag}")
         digests = part_digests(fresh.select(*df.columns), layout)

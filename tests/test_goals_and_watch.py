@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 
 from fixture_data import goals, source
 from starloom.operators.quality import QualityError
+from starloom.operators.calendar import DEFAULT_FIRST_DAY, DEFAULT_LAST_DAY
 from starloom.plans.warehouse_load import refresh_goals, run_load
-from starloom.sources.goals import checked_goals, goal_violations, normalise_goals, read_goals, stage, typed_goals
+from starloom.sources.goals import checked_goals, goal_violations, normalise_goals, number_goals, read_goals, stage, typed_goals
 from starloom.sources.store import WarehouseStore
-from starloom.sources.tables import read_jdbc, read_source, read_table
+from starloom.sources.tables import numbered, read_jdbc, read_source, read_table
 from starloom.streaming.snapshots import (
-    announced_snapshots, dropped_files, full_refresh, goals_only, handle_batch, land_snapshot, quarantined, watch,
+    announced_snapshots, bound_snapshots, dropped_files, full_refresh, goals_only, handle_batch, handle_sources, land_snapshot,
+    quarantined, watch, watch_sources,
 )
 
 HEADER = "row_no STRING, anio STRING, cod_producto STRING, monto_meta_ingreso STRING, meta_renovacion STRING, meta_asegurados STRING"
@@ -203,7 +205,7 @@ def test_dropped_csv_files_and_full_refresh(spark, watched, tmp_path):
     folder.mkdir()
     (folder / "goals-1.csv").write_text(
         "row_no, Anio ,COD_PRODUCTO,monto_meta_ingreso,meta_renovacion,meta_asegurados,note\n2,2026,2,2400.00,1,1,x\n3,,,,,,\n")
-    refresh = full_refresh(lambda staged, origin: run_load(store, {**source(spark), "metas": staged}, origin=origin, with_metrics=False))
+    refresh = full_refresh(store, source(spark), with_metrics=False)
     run(store, dropped_files(spark, str(folder)), state, refresh=refresh)
     assert store.tables()["fact_metas"].count() == 1 and store.version() == 2
     (folder / "goals-2.csv").write_text("anio,cod_producto\n2026,2\n")
@@ -252,3 +254,125 @@ def test_streams_do_not_share_their_history(spark, tmp_path):
     store = WarehouseStore(spark, str(tmp_path / "s"))
     store.reject("one", 0, "3:abc", "bad")
     assert store.last_fingerprint("one") == "3:abc" and store.last_fingerprint("two") is None
+
+
+# --- row numbers -------------------------------------------------------------------------------------------
+
+
+def test_rows_are_numbered_in_file_order_over_blocks_and_files(spark, tmp_path):
+    folder = tmp_path / "sheet"
+    folder.mkdir()
+    expected = {}
+    for part, rows in (("part-0.csv", 700), ("part-1.csv", 0), ("part-2.csv", 1300)):
+        cells = [f"{part}-{i}" for i in range(rows)]
+        (folder / part).write_text("\n".join(["a,b", *[f"{c},{'x' * (i % 7)}" for i, c in enumerate(cells)]]) + "\n")
+        for c in cells:
+            expected[c] = len(expected) + 2
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        scan = spark.read.option("header", True).csv(str(folder))
+        assert scan.rdd.getNumPartitions() > 8
+        got = numbered(scan, first=2)
+        assert got.columns == ["a", "b", "row_no"]
+        assert {r["a"]: r["row_no"] for r in got.collect()} == expected
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+def test_a_sheet_names_the_rows_of_its_errors(spark, tmp_path):
+    path = tmp_path / "s.csv"
+    path.write_text(" Anio ,cod_producto,monto_meta_ingreso,meta_renovacion,meta_asegurados\n"
+                    "2024,1,1,1,1\n,,,,\n2024,2,,1,1\n2024,3,1,-1,1\n")
+    raw = number_goals(read_goals(spark, str(path)))
+    _, found, error = checked_goals(raw)
+    assert rules(found) == [("negative:meta_renovacion", "5,2024,3"), ("null:monto_meta_ingreso", "4,2024,2")]
+    assert "4,2024,2" in str(error)
+    own = sheet(spark, [("70", "2024", "1", None, "1", "1")])
+    assert rules(checked_goals(number_goals(own))[1]) == [("null:monto_meta_ingreso", "70,2024,1")]
+
+
+# --- watch over all tables -----------------------------------------------------------------------------------
+
+
+def run_all(spark, store, landing, state, **options):
+    watch_sources(store, announced_snapshots(spark, landing), state, source(spark), DEFAULT_FIRST_DAY, DEFAULT_LAST_DAY,
+                  interval=None, with_metrics=False, **options).awaitTermination()
+
+
+def bound_names(store):
+    return {s: e["snapshot"] for s, e in bound_snapshots(store).items()}
+
+
+def test_one_batch_binds_the_newest_snapshot_of_every_table(spark, watched):
+    store, landing, state = watched
+    clients, base = source(spark)["cliente"], int(good_sheet(spark).agg(F.sum("monto_meta_ingreso")).first()[0])
+    land_snapshot(clients.withColumn("telefono", F.lit("old")), landing, "c1", "cliente")
+    land_snapshot(good_sheet(spark, 3), landing, "g1")
+    land_snapshot(clients.withColumn("telefono", F.lit("new")), landing, "c2", "cliente")
+    run_all(spark, store, landing, state)
+    assert store.version() == 2 and total(store) == 3 * base
+    assert bound_names(store) == {"cliente": "c2", "metas": "g1"}
+    phones = lambda: {r["telefono"] for r in store.tables()["dim_cliente"].select("telefono").distinct().collect()}
+    assert phones() == {"new"}
+
+    land_snapshot(good_sheet(spark, -1), landing, "g2")  # refused; the clients of the batch are loaded
+    land_snapshot(clients.withColumn("telefono", F.lit("newer")), landing, "c3", "cliente")
+    land_snapshot(clients.drop("telefono"), landing, "s1", "sucursal")
+    land_snapshot(clients, landing, "x1", "nothing")
+    run_all(spark, store, landing, state)
+    assert store.version() == 3 and total(store) == 3 * base and phones() == {"newer"}
+    assert bound_names(store) == {"cliente": "c3", "metas": "g1"}
+    kinds = {(r["snapshot"], r["rule"].split(":")[0]) for r in quarantined(store).collect()}
+    assert kinds == {("g2", "negative"), ("s1", "columns"), ("x1", "source")}
+
+    land_snapshot(good_sheet(spark, 3), landing, "g3")  # what is bound already, under a new name
+    run_all(spark, store, landing, state)
+    assert store.version() == 3
+
+
+def test_tables_that_need_each_other_may_land_in_any_order(spark, watched):
+    store, landing, state = watched
+    src = source(spark)
+    far = lambda df: df.withColumn("cod_producto", F.lit(9_001).cast(df.schema["cod_producto"].dataType))
+    land_snapshot(far(src["registro_contrato"]), landing, "l1", "registro_contrato")
+    run_all(spark, store, landing, state)
+    assert store.version() == 1 and bound_snapshots(store) == {} and statuses(store) == ["rejected"]
+    assert {r["rule"] for r in quarantined(store).collect()} == {"sk_dim_producto unresolved"}
+    land_snapshot(src["producto"].unionByName(far(src["producto"].limit(1))), landing, "p1", "producto")
+    run_all(spark, store, landing, state)
+    assert store.version() == 2 and bound_names(store) == {"producto": "p1", "registro_contrato": "l1"}
+    assert store.tables()["fact_registro_contrato"].select("sk_dim_producto").distinct().count() == 1
+
+
+def test_a_load_may_leave_a_fact_without_rows(spark, watched):
+    store, _, _ = watched
+    lines = source(spark)["registro_contrato"]
+    unknown = lines.withColumn("cod_cliente", F.lit(9_001).cast(lines.schema["cod_cliente"].dataType))
+    run_load(store, {**source(spark), "registro_contrato": unknown}, with_metrics=False)
+    assert store.tables()["fact_registro_contrato"].count() == 0
+
+
+def test_a_replayed_batch_of_tables_changes_nothing(spark, watched):
+    store, landing, _ = watched
+    path = land_snapshot(source(spark)["cliente"], landing, "c1", "cliente")
+    batch = spark.createDataFrame([("c1", path, "cliente")], "snapshot STRING, path STRING, source STRING").withColumn(
+        "landed_at", F.current_timestamp())
+    args = (source(spark), DEFAULT_FIRST_DAY, DEFAULT_LAST_DAY)
+    again = lambda n, b=batch: handle_sources(store, "a", b, n, *args, with_metrics=False)
+    assert [again(0), again(0), again(1), again(2, batch.limit(0))] == ["loaded", "replayed", "unchanged", "nothing"]
+    assert store.version() == 2
+    missing = batch.withColumn("path", F.lit(f"{landing}/payload/cliente/gone"))
+    with pytest.raises(Exception, match="(?i)path"):
+        again(3, missing)
+    assert store.version() == 2 and store.last_batch("a") == 0
+
+
+def test_a_full_load_stamps_its_goals(spark, loaded_paths, tmp_path):
+    store = WarehouseStore(spark, str(tmp_path / "stamp"))
+    load = store.open_load()
+    load.written = dict(loaded_paths)
+    load.publish()
+    run_load(store, {**source(spark), "metas": goals(spark).drop("fecha_carga")}, with_metrics=False)
+    stamps = store.tables()["stg_metas"].select("fecha_carga").distinct().collect()
+    assert len(stamps) == 1 and stamps[0][0] is not None
