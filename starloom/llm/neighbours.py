@@ -148,6 +148,13 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))
 
 
+def _levelled(vectors: np.ndarray) -> np.ndarray:
+    """Every vector times the power of two that brings its largest component to between 0.5 and 1.  Cosines keep every
+    bit, and squares and products neither overflow nor vanish, however long or short a vector is."""
+    _, exponent = np.frexp(np.abs(vectors).max(axis=1, keepdims=True))
+    return np.ldexp(vectors, -exponent)
+
+
 def usable_vectors(table: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(vec_id, vector) in double precision: no nulls, no null or non-finite component, not zero; equal rows once.
 
@@ -175,6 +182,7 @@ def _routes(probabilities: np.ndarray, held: np.ndarray, mass: float, enough: in
 
 def _best(query_ids, queries, ids, vectors, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(query, vec_id, score) of the k nearest in these vectors, score computed pair by pair in double precision."""
+    queries, vectors = _levelled(queries), _levelled(vectors)
     unit, norms = _unit(vectors), np.sqrt((vectors * vectors).sum(axis=1))
     step = max(1, (4 << 20) // max(1, len(ids)))
     order = np.argsort(ids, kind="stable")

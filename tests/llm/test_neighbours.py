@@ -60,6 +60,26 @@ def test_odd_vectors_and_ties(spark, monkeypatch):
     assert nearest(frame.where("vec_id >= 300")).count() == 0
 
 
+def test_scores_of_extreme_vectors(spark):
+    rows = [(0, [1.0, 2.0]), (50, [2.0**-660, 2.0**-659]), (1, [2.0**-660, 2.0**-659]), (2, [2.0**660, 2.0**660]),
+            (3, [2.0**1023, -(2.0**1023)]), (4, [2.0**-1074, 0.0]), (5, [3.0, 6.0]), (6, [-1.0, 1e-300])]
+    frame = spark.createDataFrame([(i, v, 0) for i, v in rows], "vec_id long, embedding array<double>, label int")
+    got = answers(nearest(frame, k=8))
+    small = {2: [1.0, 1.0], 1: [1.0, 2.0], 50: [1.0, 2.0], 3: [1.0, -1.0], 4: [1.0, 0.0], 6: [-1.0, 0.0]}
+    expected = brute([(i, small.get(i, v)) for i, v in rows], k=8)
+    for query, best in expected.items():
+        assert [i for i, _ in got[query]] == [i for i, _ in best]
+        assert np.allclose([s for _, s in got[query]], [s for _, s in best], rtol=0, atol=1e-15)
+
+
+def test_levelling_keeps_every_bit_of_a_cosine():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(200, 12)) * 10.0 ** rng.integers(-8, 8, size=(200, 1))
+    flat = neighbours._levelled(x)
+    cosine = lambda v: (v[1:] * v[:-1]).sum(axis=1) / (np.sqrt((v[1:] ** 2).sum(axis=1)) * np.sqrt((v[:-1] ** 2).sum(axis=1)))
+    assert (cosine(x) == cosine(flat)).all() and flat.max() < 1
+
+
 def test_parts_are_balanced():
     rng = np.random.default_rng(3)
     unit = rng.normal(size=(500, 8))
