@@ -10,9 +10,11 @@ Linked tokens end together, so the bytes of one are a suffix of the other's.  Th
 number of pairs (``pair_bound``), whatever the corpus: hash, keys and counts are a few megabytes and are broadcast.
 
 A is read from its JSON file and run as the rank file it amounts to (merges in the order of their ids, which is checked),
-because that is several times faster.  B is run on pieces of the text, cut at a space between a character that is no space
-and an ASCII letter, and remembers them: no token of B holds a space after another character, which is checked, so no
-merge reaches over such a place.  Offsets, groups and links of many texts are then found together, in arrays.
+because that is several times faster.  Both run on pieces of the text, cut at a space between a character that is no space
+and an ASCII letter: no token of B holds a space after another character, which is checked, so no merge reaches over such
+a place, and A's pattern begins a pre-token there, whatever white space is before it.  A group therefore never reaches over
+it either.  A task aligns each piece when it first meets it, remembers tokens and links by the number of the piece, and
+puts texts together from these; offsets, groups and links of many pieces are found together, in arrays.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import stream_groups
+from starloom.llm.common import ragged, stream_groups
 from starloom.session import materialise
 
 SLICES = 16  # parts of the pair table, built and summed by tasks of their own
@@ -38,6 +40,7 @@ BRANCHES = 64  # first level of the tree: tasks whose vectors are summed togethe
 MOST_PAIRS = 1 << 22  # pairs that two vocabularies may admit at most; 17 bytes each are broadcast
 BITS_PER_KEY = 2.0  # of a level of the perfect hash; levels go on until every key has a slot
 KNOWN_PIECES = 1 << 19
+KNOWN_CHARS = 1 << 24  # of the pieces that a task remembers; texts without spaces are one piece
 PIECES_AT_ONCE = 1 << 16
 
 _CUT = re.compile(r"(?<=[^ ]) (?=[A-Za-z])")
@@ -169,12 +172,38 @@ class Aligned:
     a_last: np.ndarray  # place of the last token of A, and of B, in each group
     b_last: np.ndarray
 
-    def pairs(self) -> np.ndarray:
-        """One code a << 32 | b per link."""
-        return self.a_ids[self.a_last] << 32 | self.b_ids[self.b_last]
-
-    def digests(self, decimals: Decimals) -> list[str]:
-        """SHA-256 of ``a1,a2|b1;a3|b2,b3`` of each text, '' for one without tokens."""
+    @classmethod
+    def none(cls) -> "Aligned":
+        ids, start = np.zeros(0, dtype=np.int32), np.zeros(1, dtype=np.int64)
+        return cls(ids, ids, start, start, start, start[1:], start[1:])
+
+    def followed_by(self, other: "Aligned") -> "Aligned":
+        def shifted(mine: np.ndarray, its: np.ndarray, ids: np.ndarray) -> np.ndarray:
+            return np.concatenate([mine, its + len(ids)])
+
+        return Aligned(
+            np.concatenate([self.a_ids, other.a_ids]), np.concatenate([self.b_ids, other.b_ids]),
+            shifted(self.a_from, other.a_from[1:], self.a_ids), shifted(self.b_from, other.b_from[1:], self.b_ids),
+            shifted(self.link_from, other.link_from[1:], self.a_last),
+            shifted(self.a_last, other.a_last, self.a_ids), shifted(self.b_last, other.b_last, self.b_ids))
+
+    def put_together(self, texts: np.ndarray, ends: np.ndarray) -> "Aligned":
+        """Its texts as listed, repeats included, put together to new texts that end before the places ``ends``."""
+        many = [np.diff(begins)[texts] for begins in (self.a_from, self.b_from, self.link_from)]
+        first = [np.concatenate([[0], np.cumsum(m)]) for m in many]
+        a, b, links = (ragged(begins[texts], m) for begins, m in zip((self.a_from, self.b_from, self.link_from), many))
+        moved = [np.repeat(now[:-1] - begins[texts], many[2]) for now, begins in zip(first, (self.a_from, self.b_from))]
+        begins = np.concatenate([[0], ends])
+        return Aligned(self.a_ids[a], self.b_ids[b], *(now[begins] for now in first),
+                       self.a_last[links] + moved[0], self.b_last[links] + moved[1])
+
+    def pairs(self, texts: np.ndarray | None = None) -> np.ndarray:
+        """One code a << 32 | b per link, of all texts or, text after text, of the given ones."""
+        links = slice(None) if texts is None else ragged(self.link_from[texts], self.link_from[texts + 1] - self.link_from[texts])
+        return self.a_ids[self.a_last[links]].astype(np.int64) << 32 | self.b_ids[self.b_last[links]]
+
+    def written(self, decimals: Decimals) -> list[bytes]:
+        """``a1,a2|b1;a3|b2,b3;`` of each text, b"" for one without tokens."""
         total = len(self.a_ids) + len(self.b_ids)
         numbers, separators = np.empty(total, dtype=np.int64), np.full(total, ord(","), dtype=np.uint8)
         places = []
@@ -188,12 +217,13 @@ class Aligned:
         separators[places[0][self.a_last]] = ord("|")
         separators[places[1][self.b_last]] = ord(";")
         written, begins = decimals.written(numbers, separators)
-        at = begins[self.a_from + self.b_from].tolist()
-        return [hashlib.sha256(written[x: y - 1]).hexdigest() if y > x else "" for x, y in zip(at, at[1:])]
+        raw, at = written.tobytes(), begins[self.a_from + self.b_from].tolist()
+        return [raw[x:y] for x, y in zip(at, at[1:])]
 
 
 class Aligner:
-    """Aligns texts; remembers what B made of a piece until there are too many."""
+    """Aligns texts by their pieces.  Both tokenizers run on a piece when it is first met; its alignment, numbered in
+    ``known``, is remembered until there are too many; then all are forgotten, and numbers start again."""
 
     def __init__(self, vocabularies: Vocabularies):
         a_bytes = vocabularies.a_bytes()
@@ -201,53 +231,91 @@ class Aligner:
         self.b_bytes = vocabularies.b_bytes(self.b)
         self.a_length = np.array([len(t) for t in a_bytes], dtype=np.int64)
         self.b_length = np.array([len(t) for t in self.b_bytes], dtype=np.int64)
-        self.known: dict[str, bytes] = {}
-        self.unlike: set[str] = set()  # pieces of which B's tokens give other bytes
+        self.forgotten = 0  # times
+        self._forget()
+
+    def _forget(self) -> None:
+        fresh: list[str] = []
+
+        class Numbers(dict):
+            def __missing__(self, piece: str) -> int:
+                self[piece] = number = len(self)
+                fresh.append(piece)
+                return number
+
+        self.fresh, self.numbers = fresh, Numbers()
+        self.known, self.chars = Aligned.none(), 0
+        self.unlike = np.zeros(0, dtype=bool)  # pieces of which B's tokens give other bytes
 
     def _gives(self, ids: list[int], text: str) -> bool:
         return b"".join([self.b_bytes[i] for i in ids]) == b" " + text.encode()
 
-    def _learn(self, cut: list[list[str]]) -> None:
-        if len(self.known) > KNOWN_PIECES:
-            self.known, self.unlike = {}, set()
-        fresh = list({p for pieces in cut for p in pieces}.difference(self.known))
-        if not fresh:
-            return
-        made = self.b.encode(fresh, num_threads=1)
+    def _a_ids(self, pieces: list[str]) -> np.ndarray:
+        """A's tokens of all pieces.  Where no space meets the one between two pieces, A cuts there, so they run as one text."""
+        parts = [np.zeros(0, dtype=np.uint32)]
+        for bare, run in itertools.groupby(pieces, lambda p: p.strip() == p != ""):
+            parts += [self.a.encode_to_numpy(" " + text, disallowed_special=()) for text in ([" ".join(run)] if bare else run)]
+        return np.concatenate(parts).astype(np.int32)
+
+    def _align(self, pieces: list[str]) -> tuple[Aligned, np.ndarray]:
+        """The pieces, aligned, and which of them are unlike what B's tokens give; those have no tokens."""
+        made = self.b.encode(pieces, num_threads=1)
+        wanted = [b" " + p.encode() for p in pieces]
+        size = np.fromiter(map(len, wanted), dtype=np.int64, count=len(wanted))
+        unlike = np.zeros(len(pieces), dtype=bool)
         many = np.fromiter(map(len, made), dtype=np.int64, count=len(made))
-        flat = np.fromiter(itertools.chain.from_iterable(made), dtype=np.int32, count=int(many.sum()))
-        raw, ends = flat.tobytes(), (4 * np.cumsum(many)).tolist()
-        self.known.update(zip(fresh, (raw[a:b] for a, b in zip([0, *ends], ends))))
-        wanted = [b" " + p.encode() for p in fresh]
-        length = np.diff(np.concatenate([[0], np.cumsum(self.b_length[flat])])[np.concatenate([[0], np.cumsum(many)])])
-        alike = np.array_equal(length, list(map(len, wanted)))
-        if not alike or b"".join(map(self.b_bytes.__getitem__, flat.tolist())) != b"".join(wanted):
-            self.unlike.update(p for p, ids in zip(fresh, made) if not self._gives(ids, p))
-
-    def _b_ids(self, text: str, pieces: list[str]) -> bytes | None:
-        if self.unlike.isdisjoint(pieces):
-            return b"".join(map(self.known.__getitem__, pieces))
-        ids = self.b.encode(text)
-        return np.array(ids, dtype=np.int32).tobytes() if self._gives(ids, text) else None
-
-    def __call__(self, texts: list[str | None], cut: list[list[str]]) -> Aligned:
-        self._learn(cut)
-        a_parts, b_parts, a_from, b_from = [], [], [0], [0]
-        for text, pieces in zip(texts, cut):
-            b_ids = self._b_ids(text, pieces) if text else None
-            if b_ids is not None:
-                a_parts.append(self.a.encode_to_numpy(" " + text, disallowed_special=()))
-                b_parts.append(np.frombuffer(b_ids, dtype=np.int32))
-            a_from.append(a_from[-1] + (len(a_parts[-1]) if b_ids is not None else 0))
-            b_from.append(b_from[-1] + (len(b_parts[-1]) if b_ids is not None else 0))
-        a_ids = np.concatenate([np.zeros(0, dtype=np.uint32), *a_parts]).astype(np.int64)
-        b_ids = np.concatenate([np.zeros(0, dtype=np.int32), *b_parts]).astype(np.int64)
+        b_ids = np.fromiter(itertools.chain.from_iterable(made), dtype=np.int32, count=int(many.sum()))
+        b_from = np.concatenate([[0], np.cumsum(many)])
+        length = np.diff(np.concatenate([[0], np.cumsum(self.b_length[b_ids])])[b_from])
+        alike = np.array_equal(length, size)
+        if not alike or b"".join(map(self.b_bytes.__getitem__, b_ids.tolist())) != b"".join(wanted):
+            unlike = np.array([not self._gives(ids, p) for p, ids in zip(pieces, made)], dtype=bool)
+            b_ids = b_ids[np.repeat(~unlike, many)]
+            b_from = np.concatenate([[0], np.cumsum(np.where(unlike, 0, many))])
+            size = np.where(unlike, 0, size)
+            pieces = list(itertools.compress(pieces, ~unlike))
+        a_ids = self._a_ids(pieces)
         a_end, b_end = np.cumsum(self.a_length[a_ids]), np.cumsum(self.b_length[b_ids])
-        place = np.searchsorted(b_end, a_end)  # both sides of every text have the same bytes
+        starts = np.concatenate([[0], np.cumsum(size)])
+        a_from = np.searchsorted(a_end, starts, side="right")
+        if not np.array_equal(np.concatenate([[0], a_end])[a_from], starts):
+            raise RuntimeError("tokens of the first vocabulary reach over pieces")
+        place = np.searchsorted(b_end, a_end)  # both sides of every piece have the same bytes
         together = b_end[place] == a_end if len(b_end) else np.zeros(0, dtype=bool)
-        a_from, b_from = np.array(a_from), np.array(b_from)
         link_from = np.concatenate([[0], np.cumsum(together)])[a_from]
-        return Aligned(a_ids, b_ids, a_from, b_from, link_from, np.flatnonzero(together), place[together])
+        return Aligned(a_ids, b_ids, a_from, b_from, link_from, np.flatnonzero(together), place[together]), unlike
+
+    def _learn(self) -> None:
+        if not self.fresh:
+            return
+        self.chars += sum(map(len, self.fresh))
+        aligned, unlike = self._align(self.fresh)
+        self.fresh.clear()
+        self.known = self.known.followed_by(aligned)
+        self.unlike = np.concatenate([self.unlike, unlike])
+
+    def numbered(self, texts: list[str | None], cut: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the known pieces that make up the texts, one text after the other, and where each text ends."""
+        if len(self.numbers) > KNOWN_PIECES or self.chars > KNOWN_CHARS:
+            self._forget()
+            self.forgotten += 1
+        ends = np.cumsum([len(pieces) for pieces in cut], dtype=np.int64)
+        many = int(ends[-1]) if len(ends) else 0
+        found = np.fromiter(map(self.numbers.__getitem__, itertools.chain.from_iterable(cut)), dtype=np.int64, count=many)
+        self._learn()
+        strange = np.unique(np.searchsorted(ends, np.flatnonzero(self.unlike[found]), side="right"))
+        if len(strange):  # such a text is one piece, if B gives back the whole of it, or cannot be aligned
+            rows = np.split(found, ends[:-1])
+            for row in strange.tolist():
+                rows[row] = np.array([self.numbers[texts[row]]], dtype=np.int64)
+            self._learn()
+            rows = [row[~self.unlike[row]] for row in rows]
+            found, ends = np.concatenate(rows), np.cumsum([len(row) for row in rows])
+        return found, ends
+
+    def __call__(self, texts: list[str | None], cut: list[list[str]]) -> Aligned:
+        found, ends = self.numbered(texts, cut)
+        return self.known.put_together(found, ends)
 
 
 def _text_groups(column: pa.Array) -> Iterator[tuple[list[str | None], list[list[str]]]]:
@@ -275,10 +343,13 @@ def task_pairs(texts: DataFrame, vocabularies: Vocabularies) -> DataFrame:
         pairs, n = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
         for batch in batches:
             for texts, cut in _text_groups(batch.column(0)):
-                fresh, many = np.unique(aligner(texts, cut).pairs(), return_counts=True)
-                pairs, at = np.unique(np.concatenate([pairs, fresh]), return_inverse=True)
+                found, _ = aligner.numbered(texts, cut)
+                times = np.bincount(found)
+                met = np.flatnonzero(times)
+                links = np.diff(aligner.known.link_from)[met]
+                pairs, at = np.unique(np.concatenate([pairs, aligner.known.pairs(met)]), return_inverse=True)
                 total = np.zeros(len(pairs), dtype=np.int64)
-                np.add.at(total, at, np.concatenate([n, many]))
+                np.add.at(total, at, np.concatenate([n, np.repeat(times[met], links)]))
                 n = total
         yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(n)], names=["pair", "n"])
 
@@ -444,23 +515,60 @@ def _summed(counted: DataFrame, table: PairTable, shared) -> dict[int, bytes]:
 _FIELDS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
 
 
+class DescribedPieces:
+    """What the result says of texts, added up from what it says of their pieces.  A piece is described when the first text
+    that can be aligned has it: the first pass has counted the pairs of such texts only."""
+
+    def __init__(self, aligner: Aligner, table: PairTable):
+        self.aligner, self.table = aligner, table
+        self.decimals = Decimals(max(len(aligner.a_length), len(aligner.b_length)))
+        self.forgotten = -1
+
+    def _describe(self, found: np.ndarray) -> None:
+        if self.forgotten != self.aligner.forgotten:
+            self.forgotten = self.aligner.forgotten
+            self.facts, self.written = np.zeros((0, len(_FIELDS)), dtype=np.int64), []
+            self.done = np.zeros(0, dtype=bool)
+        more = len(self.aligner.numbers) - len(self.written)
+        self.facts = np.concatenate([self.facts, np.zeros((more, len(_FIELDS)), dtype=np.int64)])
+        self.done = np.concatenate([self.done, np.zeros(more, dtype=bool)])
+        self.written += [b""] * more
+        fresh = np.unique(found[~self.done[found]])
+        pieces = self.aligner.known.put_together(fresh, np.arange(1, len(fresh) + 1))
+        pairs, at = np.unique(pieces.pairs(), return_inverse=True)
+        counts, best = self.table.look_up(pairs)
+        sums = [np.concatenate([[0], np.cumsum(values[at])])[pieces.link_from] for values in (best.astype(np.int64), counts)]
+        columns = [pieces.a_from, pieces.b_from, pieces.link_from, pieces.link_from, *sums]
+        self.facts[fresh] = np.stack([np.diff(c) for c in columns], axis=1)
+        for piece, written in zip(fresh.tolist(), pieces.written(self.decimals)):
+            self.written[piece] = written
+        self.done[fresh] = True
+
+    def __call__(self, texts: list[str | None], cut: list[list[str]]) -> tuple[np.ndarray, list[str]]:
+        """The numbers of ``_FIELDS``, a line for each text, and SHA-256 of ``a1,a2|b1;a3|b2,b3``, '' without tokens."""
+        found, ends = self.aligner.numbered(texts, cut)
+        self._describe(found)
+        begins = np.concatenate([[0], ends])
+        total = np.concatenate([np.zeros((1, len(_FIELDS)), dtype=np.int64), np.cumsum(self.facts[found], axis=0)])
+        pieces, digests = found.tolist(), []
+        for x, y in itertools.pairwise(begins.tolist()):
+            whole = b"".join([self.written[i] for i in pieces[x:y]])
+            digests.append(hashlib.sha256(memoryview(whole)[:-1]).hexdigest() if whole else "")
+        return np.diff(total[begins], axis=0), digests
+
+
 def _aligned(text: Column, vocabularies: Vocabularies, shared) -> Column:
     schema = "struct<" + ",".join(f"{name}:long" for name in _FIELDS) + ",groups_sha256:string>"
 
     @F.arrow_udf(schema)
     def aligned(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        aligner, table = Aligner(vocabularies), shared.value
-        decimals = Decimals(max(len(aligner.a_length), len(aligner.b_length)))
+        described = DescribedPieces(Aligner(vocabularies), shared.value)
         for column in texts:
             facts, digests = [np.zeros((0, len(_FIELDS)), dtype=np.int64)], []
             for group, cut in _text_groups(column):
-                found = aligner(group, cut)
-                pairs, at = np.unique(found.pairs(), return_inverse=True)
-                counts, best = table.look_up(pairs)
-                sums = [np.concatenate([[0], np.cumsum(values[at])])[found.link_from] for values in (best.astype(np.int64), counts)]
-                columns = [found.a_from, found.b_from, found.link_from, found.link_from, *sums]
-                facts.append(np.stack([np.diff(c) for c in columns], axis=1))
-                digests += found.digests(decimals)
+                found, said = described(group, cut)
+                facts.append(found)
+                digests += said
             columns = np.concatenate(facts)
             yield pa.StructArray.from_arrays(
                 [*[pa.array(np.ascontiguousarray(columns[:, c])) for c in range(len(_FIELDS))], pa.array(digests, type=pa.string())],

@@ -126,3 +126,38 @@ def test_perfect_hashes_are_minimal_and_keys_are_verified(spark, vocabularies, o
     table = pair_table(odd_documents.select("text"), vocabularies)
     with pytest.raises(RuntimeError):
         table.look_up(np.array([(50_000 << 32) | 7], dtype=np.int64))
+
+
+def test_both_tokenizers_run_on_a_piece_once(vocabularies, sides):
+    aligner = Aligner(vocabularies)
+    seen = {"a": [], "b": []}
+
+    class Heard:
+        def __init__(self, side, inner):
+            self.side, self.inner = side, inner
+
+        def encode(self, texts, **options):
+            seen[self.side] += texts if isinstance(texts, list) else [texts]
+            return self.inner.encode(texts, **options)
+
+        def encode_to_numpy(self, text, **options):
+            seen[self.side].append(text)
+            return self.inner.encode_to_numpy(text, **options)
+
+    aligner.a, aligner.b = Heard("a", aligner.a), Heard("b", aligner.b)
+    text = "One text\n of several pieces, said again: one text"
+    for _ in range(2):
+        found = aligner([text] * 30, [cut_text(text)] * 30)
+        whole = groups_of(text, sides)
+        assert found.a_ids.tolist() == [i for g in whole for i in g[0]] * 30
+        assert found.b_ids.tolist() == [i for g in whole for i in g[1]] * 30
+        assert np.diff(found.link_from).tolist() == [len(whole)] * 30
+    for side in "ab":
+        assert sum(map(len, seen[side])) <= len(text) + 1
+
+
+def test_pieces_of_texts_that_cannot_be_aligned(spark, vocabularies, sides):
+    """Their pairs are in no count, also where the same pieces stand in other texts."""
+    rows = [(1, "zyxqword quorvex ▁ zyxqword plain"), (2, "plain words"), (3, None), (4, " led ▁"), (5, "plain quorvex\t end ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    assert answers(aligned_documents(docs, vocabularies)) == brute(rows, sides)
