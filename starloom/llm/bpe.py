@@ -4,6 +4,9 @@ The distinct pre-tokens of a stretch of text are put into padded numpy matrices
 merges its leftmost pair of least rank; ranks come from a hash table of pairs, and the rows close up behind the merge.
 Rows without a pair left are taken out.  Results go to a pool that later texts of the same task look up.
 
+Where the pattern allows it, texts are cut at spaces and newlines first; the ids of a piece, put together from those of its
+pre-tokens, are remembered too, and the pattern runs on new pieces only.
+
 Pre-tokens over ``WIDE`` bytes merge all occurrences of their least pair in one round, from the left, where no merge
 of the new token can have a smaller rank; that gives what one merge at a time gives and keeps long runs affordable.
 """
@@ -13,9 +16,11 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +32,10 @@ WIDE = 64
 CELLS = 1 << 20  # of one matrix
 GROUP_CHARS = 1 << 21  # of the texts whose new pre-tokens are merged together
 POOL_WORDS = 300_000  # pre-tokens that a task remembers; beyond, it starts anew
+POOL_PIECES = 1 << 19  # and pieces,
+POOL_CHARS = 1 << 24  # and their characters; texts without spaces are one piece
+#: Patterns of which no pre-token holds white space after another character or looks beyond white space.
+CUT_AT_SPACES = {r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""}
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -81,10 +90,12 @@ class Encoder:
         self.byte_ids = np.array([self.rank_of[bytes([i])] for i in range(256)], dtype=np.int32)
         self.table, self.bits = table, len(table["keys"]).bit_length() - 1
         self.split = regex.compile(pattern)
+        self.by_pieces = pattern in CUT_AT_SPACES
         self.token_bytes = np.frombuffer(b"".join(tokens), dtype=np.uint8)
         self.token_lengths = np.array([len(token) for token in tokens], dtype=np.int64)
         self.token_starts = np.cumsum(self.token_lengths) - self.token_lengths
         self._forget()
+        self._forget_pieces()
 
     def _forget(self) -> None:
         fresh: list[str] = []
@@ -100,6 +111,26 @@ class Encoder:
         self.flat = np.zeros(0, dtype=np.int32)
         self.starts = self.lengths = np.zeros(0, dtype=np.int64)
 
+    def _forget_pieces(self) -> None:
+        new: list[str] = []
+
+        class Pieces(dict):
+            def __missing__(self, piece: str) -> int:
+                """-1 for a piece whose white space meets that of the next one, or begins a text: the text decides how it is
+                split."""
+                if not piece or piece[-1].isspace() or piece.startswith("\n\n") and piece[2].isspace():
+                    self[piece] = -1
+                    return -1
+                number = self[piece] = self.many
+                self.many += 1
+                new.append(piece)
+                return number
+
+        self.new, self.pieces = new, Pieces()
+        self.pieces.many = self.piece_chars = 0
+        self.piece_flat = np.zeros(0, dtype=np.int32)
+        self.piece_starts = self.piece_lengths = np.zeros(0, dtype=np.int64)
+
     def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Rank of each pair, NONE where there is none or a side is padding."""
         out = np.full(a.shape, NONE, dtype=np.int32)
@@ -201,21 +232,75 @@ class Encoder:
             return np.fromiter(map(number, words), dtype=np.int32, count=len(words))
         return np.fromiter((number(found.group()) for found in self.split.finditer(text)), dtype=np.int32)
 
+    def _cuttable(self, text: str) -> bool:
+        """Spares ``_cut`` texts with frequent kinds of white space that it would return as None, and very long ones."""
+        return self.by_pieces and len(text) <= GROUP_CHARS and not any(run in text for run in ("  ", "\n\n", "\n ", " \n"))
+
+    def _cut(self, texts: list[str]) -> list[np.ndarray | None]:
+        """Pieces of each text by number, None for a text that cannot be split piece by piece.
+
+        A piece starts at a space, which is left out, or at a newline; the first of a text is marked by two newlines."""
+        try:
+            marked = pa.array(["\n\n" + text.replace("\n", " \n") for text in texts], type=pa.string())
+        except UnicodeEncodeError:  # lone surrogates, which columns cannot hold
+            return [None] * len(texts)
+        cut = pc.split_pattern(marked, " ")
+        coded = cut.flatten().dictionary_encode()
+        pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        numbers = np.fromiter(map(self.pieces.__getitem__, pieces), dtype=np.int32, count=len(pieces))
+        found, offsets = numbers[coded.indices.to_numpy()], cut.offsets.to_numpy()
+        whole = set(np.searchsorted(offsets, np.flatnonzero(found < 0), side="right").tolist())
+        return [found[x:y] if i not in whole else None for i, (x, y) in enumerate(zip(offsets, offsets[1:]), 1)]
+
+    def _learn_pieces(self) -> None:
+        if not self.new:
+            return
+        # Every piece begins with white space, the first of a text with the second newline of its mark, and ends without:
+        # so they are split as one text, and that newline is a pre-token.
+        first = np.array([p.startswith("\n\n") for p in self.new])
+        said = [p if p[0] == "\n" else " " + p for p in self.new]
+        said = [p[1:] if marked else p for p, marked in zip(said, first.tolist())] if first.any() else said
+        self.new.clear()
+        words = self.split.findall("".join(said))
+        ends = np.cumsum(np.fromiter(map(len, said), dtype=np.int64, count=len(said)))
+        self.piece_chars += int(ends[-1])
+        word_ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)))
+        begins = np.concatenate([[0], np.searchsorted(word_ends, ends, side="right")])
+        many = np.diff(begins) - first
+        flat = np.fromiter(map(self.numbers.__getitem__, words), dtype=np.int64, count=len(words))[ragged(begins[:-1] + first, many)]
+        ends = np.cumsum(many)
+        self._learn()
+        lengths = self.lengths[flat]
+        upto = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], ends])]
+        self.piece_starts = np.concatenate([self.piece_starts, upto[:-1] + len(self.piece_flat)])
+        self.piece_lengths = np.concatenate([self.piece_lengths, np.diff(upto)])
+        self.piece_flat = np.concatenate([self.piece_flat, self.flat[ragged(self.starts[flat], lengths)]])
+
     def encode(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
         """Token ids (int32) of each text; null is empty."""
-        group: list[np.ndarray] = []
+        group: list[str] = []
         chars = 0
 
         def finished() -> Iterator[np.ndarray]:
+            apart = [self._cuttable(text) for text in group]
+            cut = iter(self._cut([text for text, may in zip(group, apart) if may]) if any(apart) else [])
+            pieces = [next(cut) if may else None for may in apart]
+            words = [self._numbered(text) if own is None else None for text, own in zip(group, pieces)]
+            self._learn_pieces()
             self._learn()
-            for words in group:
-                yield self.flat[ragged(self.starts[words], self.lengths[words])]
+            for own, text_words in zip(pieces, words):
+                if own is None:
+                    yield self.flat[ragged(self.starts[text_words], self.lengths[text_words])]
+                else:
+                    yield self.piece_flat[ragged(self.piece_starts[own], self.piece_lengths[own])]
             group.clear()
             if len(self.numbers) > POOL_WORDS:
                 self._forget()
+            if len(self.pieces) > POOL_PIECES or self.piece_chars > POOL_CHARS:
+                self._forget_pieces()
 
         for text in texts:
-            group.append(self._numbered(text or ""))
+            group.append(text or "")
             chars += len(text or "")
             if chars >= GROUP_CHARS:
                 yield from finished()

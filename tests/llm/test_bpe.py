@@ -43,6 +43,44 @@ def test_same_ids_as_the_library(tokens, reference, monkeypatch):
         assert all(encoder.decode(bpe.np.array(ids, dtype="i4")) == (t or "").encode() for ids, t in zip(got, texts()))
 
 
+def test_white_space_between_pieces(tokens, reference, monkeypatch):
+    rng = random.Random(6)
+    parts = ["a", "b", " ", "  ", "\n", "\n\n", "\t", "\r\n", "é", "日本", "'s", "I'll", "'", "9", "…", "\x85", "\xa0", "\u3000",
+             "\x1c", " the", "word", ".", "'", "\n'", " \n", "🙂"]
+    mixed = ["".join(rng.choice(parts) for _ in range(rng.randrange(14))) for _ in range(5000)]
+    expected = [reference.encode_ordinary(t) for t in mixed]
+    for pieces, held, chars in ((1 << 19, 1 << 24, 1 << 21), (50, 1 << 24, 300), (1 << 19, 90, 300)):
+        monkeypatch.setattr(bpe, "POOL_PIECES", pieces)
+        monkeypatch.setattr(bpe, "POOL_CHARS", held)
+        monkeypatch.setattr(bpe, "GROUP_CHARS", chars)
+        encoder = Encoder(tokens, pair_table(tokens), public_tokenizers.PATTERN)
+        assert [ids.tolist() for ids in encoder.encode(mixed)] == expected
+    assert [ids.tolist() for ids in encoder.encode(["a b", "\ud800 b"])] == [reference.encode_ordinary(t) for t in ("a b", "? b")]
+
+
+def test_the_pattern_runs_on_a_piece_once(tokens, reference):
+    encoder = Encoder(tokens, pair_table(tokens), public_tokenizers.PATTERN)
+    heard, split = [], encoder.split
+
+    class Heard:
+        def findall(self, text):
+            heard.append(text)
+            return split.findall(text)
+
+    encoder.split = Heard()
+    text = "One text,\nof several pieces; said again: one text"
+    for _ in range(2):
+        assert [ids.tolist() for ids in encoder.encode([text] * 30)] == [reference.encode_ordinary(text)] * 30
+    assert sum(map(len, heard)) <= len(text) + 1
+
+
+def test_other_patterns_may_join_newlines_to_words(tokens):
+    pattern = r"""[^\s]+[\r\n]*|\s+"""
+    own = tiktoken.Encoding("o", pat_str=pattern, mergeable_ranks={t: i for i, t in enumerate(tokens)}, special_tokens={})
+    text = "one.\ntwo\nthree four"
+    assert [ids.tolist() for ids in Encoder(tokens, pair_table(tokens), pattern).encode([text])] == [own.encode_ordinary(text)]
+
+
 def test_columns(spark, reference, odd_documents, no_documents):
     tokenizer = Tokenizer(spark, PATH, public_tokenizers.PATTERN)
     ids = tokenizer.encode(F.col("text"))
