@@ -48,10 +48,9 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and whether decoding them gives the text again."""
     bounded_batches(spark)
     tokenizer = Tokenizer(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    encoded = docs.select("doc_id", "lang", "source", "text", tokenizer.encode(F.col("text")).alias("ids"))
-    read = encoded.withColumn("read", tokenizer.digest(F.col("ids")))
+    read = docs.select("doc_id", "lang", "source", "text", tokenizer.encode_and_digest(F.col("text")).alias("read"))
     same = F.col("read.decoded_sha256") == F.sha2(F.coalesce("text", F.lit("")), 256)
-    return read.select("doc_id", "lang", "source", "read.n_tokens", "ids", same.alias("round_trip"))
+    return read.select("doc_id", "lang", "source", "read.n_tokens", "read.ids", same.alias("round_trip"))
 
 
 STAGES = [

@@ -311,6 +311,34 @@ class Encoder:
         return self.token_bytes[ragged(self.token_starts[ids], self.token_lengths[ids])].tobytes()
 
 
+_DIGESTS = "n_tokens: bigint, ids_sha256: string, decoded_sha256: string"
+
+
+def _encoded(encoder: Encoder, texts: pa.Array) -> list[np.ndarray]:
+    return list(encoder.encode(raw.decode("utf-8", "replace") for raw in text_bytes(texts)))
+
+
+def _lists(rows: list[np.ndarray]) -> pa.Array:
+    offsets = np.zeros(len(rows) + 1, dtype=np.int32)
+    np.cumsum([len(row) for row in rows], out=offsets[1:])
+    flat = np.concatenate(rows) if rows else np.zeros(0, dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, type=pa.int32()))
+
+
+def _digests(encoder: Encoder, rows: Iterable[np.ndarray]) -> dict[str, pa.Array]:
+    """The columns ``_DIGESTS`` of ids."""
+    many, packed, text = [], [], []
+    for own in rows:
+        many.append(len(own))
+        packed.append(hashlib.sha256(own.astype("<u4").tobytes()).hexdigest())
+        text.append(hashlib.sha256(encoder.decode(own)).hexdigest())
+    return {
+        "n_tokens": pa.array(many, type=pa.int64()),
+        "ids_sha256": pa.array(packed, type=pa.string()),
+        "decoded_sha256": pa.array(text, type=pa.string()),
+    }
+
+
 class Tokenizer:
     """Column functions for one vocabulary.  The file is read by the driver alone; tasks get it by broadcast, which
     is bounded by the vocabulary (50,256 tokens: under 10 MB)."""
@@ -328,15 +356,25 @@ class Tokenizer:
         def bpe_encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             encoder = make()
             for texts in batches:
-                strings = (raw.decode("utf-8", "replace") for raw in text_bytes(texts))
-                rows = list(encoder.encode(strings))
-                offsets = np.zeros(len(rows) + 1, dtype=np.int32)
-                np.cumsum([len(row) for row in rows], out=offsets[1:])
-                flat = np.concatenate(rows) if rows else np.zeros(0, dtype=np.int32)
-                yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, type=pa.int32()))
+                yield _lists(_encoded(encoder, texts))
 
         return bpe_encode(text)
 
+    def encode_and_digest(self, text: Column) -> Column:
+        """STRUCT ids, n_tokens, ids_sha256, decoded_sha256: ``encode`` and ``digest`` of its ids in one pass.  Where a query
+        returns both as columns of their own, Spark encodes every text twice, in two Python workers per task."""
+        make = self._encoder
+
+        @F.arrow_udf(f"struct<ids: array<int>, {_DIGESTS}>")
+        def bpe_encode_and_digest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            encoder = make()
+            for texts in batches:
+                rows = _encoded(encoder, texts)
+                said = _digests(encoder, rows)
+                yield pa.StructArray.from_arrays([_lists(rows), *said.values()], names=["ids", *said])
+
+        return bpe_encode_and_digest(text)
+
     def decode(self, ids: Column) -> Column:
         """Bytes of an array of token ids as BINARY; null gives null."""
         make = self._encoder
@@ -355,19 +393,12 @@ class Tokenizer:
         """STRUCT n_tokens, ids_sha256 (ids as little-endian unsigned 32-bit integers), decoded_sha256."""
         make = self._encoder
 
-        @F.arrow_udf("struct<n_tokens: bigint, ids_sha256: string, decoded_sha256: string>")
+        @F.arrow_udf(f"struct<{_DIGESTS}>")
         def bpe_digest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             encoder = make()
+            none = np.zeros(0, dtype=np.int32)
             for rows in batches:
-                many, packed, text = [], [], []
-                for row in rows:
-                    own = row.values.to_numpy() if row.is_valid else np.zeros(0, dtype=np.int32)
-                    many.append(len(own))
-                    packed.append(hashlib.sha256(own.astype("<u4").tobytes()).hexdigest())
-                    text.append(hashlib.sha256(encoder.decode(own)).hexdigest())
-                yield pa.StructArray.from_arrays(
-                    [pa.array(many, type=pa.int64()), pa.array(packed, type=pa.string()), pa.array(text, type=pa.string())],
-                    names=["n_tokens", "ids_sha256", "decoded_sha256"],
-                )
+                said = _digests(encoder, (row.values.to_numpy() if row.is_valid else none for row in rows))
+                yield pa.StructArray.from_arrays(list(said.values()), names=list(said))
 
         return bpe_digest(ids)

@@ -92,6 +92,15 @@ def test_columns(spark, reference, odd_documents, no_documents):
     assert no_documents.select(ids).count() == 0
 
 
+def test_one_pass_gives_ids_and_digests(spark, odd_documents, no_documents):
+    tokenizer = Tokenizer(spark, PATH, public_tokenizers.PATTERN)
+    ids = tokenizer.encode(F.col("text"))
+    both = odd_documents.select("text", tokenizer.encode_and_digest(F.col("text")).alias("b"), ids.alias("i"), tokenizer.digest(ids).alias("d"))
+    for row in both.collect():
+        assert tuple(row["b"]) == (row["i"], *row["d"])
+    assert no_documents.select(tokenizer.encode_and_digest(F.col("text"))).count() == 0
+
+
 def test_ranks_must_be_dense(tmp_path):
     (tmp_path / "r").write_text("YQ== 0\nYg== 2\n")
     with pytest.raises(ValueError):

@@ -29,3 +29,9 @@ def test_odd_rows_go_through(spark, odd_documents, no_documents):
             if name != corpus_pipeline.STAGES[-1][0]:
                 assert out.columns == docs.columns
             out.collect()
+
+
+def test_texts_are_encoded_once(spark):
+    encoded = corpus_pipeline.encoding(spark, spark.read.parquet(f"{SF}/documents.parquet"), SF)
+    plan = encoded._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and plan.count("bpe_encode") == 1
