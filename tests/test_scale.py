@@ -4,6 +4,8 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
+from starloom.driver import queries
+from starloom.driver.bindings import Roles
 from starloom.plans import kpis
 
 _REPORT = "nombre STRING, n LONG, tasa DECIMAL(10,2)"
@@ -45,3 +47,15 @@ def test_compare_without_rows_on_a_side(spark):
     before, after, old, _ = _sides(spark)
     gone = kpis.compare(before, after.limit(0), ["nombre"]).collect()
     assert Counter(tuple(r) for r in gone) == Counter((*r, None, None) for r in old)
+
+
+def test_the_goals_sheet_broadcasts_no_products(spark, tmp_path):
+    """Files of a few MB hold millions of products, which a broadcast would gather on the driver."""
+    part = spark.range(40).select(
+        F.col("id").alias("p_partkey"), F.concat(F.lit("Brand#"), F.col("id") % 4).alias("p_brand"), F.lit(10.5).alias("p_retailprice"),
+        F.lit(3).alias("p_size"))
+    part.union(part.limit(1)).write.parquet(f"{tmp_path}/part.parquet")
+    spark.sql("SELECT timestamp'1996-03-01' AS o_orderdate UNION ALL SELECT timestamp'1997-03-01'").write.parquet(f"{tmp_path}/orders.parquet")
+    sheet = queries._text_goals(Roles(spark, str(tmp_path)))
+    assert sheet.count() == 2 * 39 + 2 * 4  # two years; the repeated product meets itself
+    assert "Broadcast" not in sheet._jdf.queryExecution().executedPlan().toString()
