@@ -2,11 +2,20 @@
 
 from collections import Counter
 
+from pathlib import Path
+
+import pytest
 from pyspark.sql import functions as F
 
+from fixture_data import changed_rows, changed_source, goals, source
 from starloom.driver import queries
 from starloom.driver.bindings import Roles
-from starloom.plans import kpis
+from starloom.plans import change_load, kpis
+from starloom.plans.change_load import run_change_load
+from starloom.plans.warehouse_load import run_load
+from starloom.schemas import PRIMARY_KEYS
+from starloom.session import lasting_tables, materialise, passing_tables, shared_dir
+from starloom.sources.store import WarehouseStore
 
 _REPORT = "nombre STRING, n LONG, tasa DECIMAL(10,2)"
 
@@ -59,3 +68,79 @@ def test_the_goals_sheet_broadcasts_no_products(spark, tmp_path):
     sheet = queries._text_goals(Roles(spark, str(tmp_path)))
     assert sheet.count() == 2 * 39 + 2 * 4  # two years; the repeated product meets itself
     assert "Broadcast" not in sheet._jdf.queryExecution().executedPlan().toString()
+
+
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _scratch(spark):
+    return {p.name for p in (Path(shared_dir(spark).removeprefix("file:")) / "starloom" / spark.sparkContext.applicationId).glob("*")}
+
+
+def _values(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_passing_tables_go_and_lasting_ones_stay(spark):
+    before = spark.conf.get(_CLEANUP)
+    with passing_tables(spark):
+        outer = materialise(spark.range(3), "outer")
+        with passing_tables(spark):
+            materialise(spark.range(3), "inner")
+            with lasting_tables():
+                kept = materialise(spark.range(5), "kept")
+        assert spark.conf.get(_CLEANUP) == "true"
+        assert outer.count() == 3 and not [n for n in _scratch(spark) if n.startswith("inner-")]
+    assert kept.count() == 5 and not [n for n in _scratch(spark) if n.startswith("outer-")]
+    assert spark.conf.get(_CLEANUP) == before
+    with pytest.raises(ZeroDivisionError), passing_tables(spark):
+        materialise(spark.range(3), "broken")
+        1 / 0
+    assert not [n for n in _scratch(spark) if n.startswith("broken-")] and spark.conf.get(_CLEANUP) == before
+
+
+@pytest.fixture(scope="module")
+def base(spark, tmp_path_factory):
+    """A loaded store, and the scratch tables that its load left."""
+    held = _scratch(spark)
+    store = WarehouseStore(spark, str(tmp_path_factory.mktemp("scale-base")))
+    run_load(store, {**source(spark), "metas": goals(spark)}, register_buckets=4, keep_kpis=True, with_metrics=False)
+    return store, _scratch(spark) - held
+
+
+def _changed(spark, base, folder):
+    store = WarehouseStore(spark, str(folder))
+    load = store.open_load()
+    load.adopt(base.paths())
+    load.publish()
+    after = changed_source(spark)
+    changes = {t: after[t] for t in changed_rows() if t in ("cliente", "contrato", "siniestro", "registro_contrato", "registro_siniestro")}
+    deletes = {"recomienda": source(spark)["recomienda"].limit(5).select(*PRIMARY_KEYS["recomienda"])}
+    run_change_load(store, changes, deletes)
+    return {t: _values(df) for t, df in store.tables().items() if not t.startswith("stg_")}
+
+
+def test_loads_leave_only_published_tables(spark, base, tmp_path, monkeypatch):
+    """Sorted keys, merges and rows of a batch lay on disk until the application ended.  Written by many queries (each year
+    and bucket by its own) the tables are the same."""
+    store, left = base
+    held = _scratch(spark)
+    found = _changed(spark, store, tmp_path / "all")
+    assert not left and _scratch(spark) == held
+    monkeypatch.setattr(change_load, "WRITE_ROWS", 1, raising=False)
+    assert _changed(spark, store, tmp_path / "each") == found
+
+
+def test_parts_are_emptied_before_others_appear(spark, tmp_path):
+    store = WarehouseStore(spark, str(tmp_path))
+    first = store.open_load()
+    layout = change_load.Layout.by_year("dia")
+    first.write_changed("t", spark.createDataFrame([(20200101, 1)], "dia INT, v INT"), layout)
+    first.publish()
+    load = store.open_load()
+    load.replace_parts("t", spark.createDataFrame([], "dia INT, v INT"), [2020])
+    load.replace_parts("t", spark.createDataFrame([(20210101, 2)], "dia INT, v INT"), [2021])
+    load.replace_parts("t", spark.createDataFrame([(20220101, 3)], "dia INT, v INT"), [2022])
+    load.publish()
+    assert _values(store.tables()["t"]) == [(20210101, 2), (20220101, 3)]
+    assert sorted(store.tables().parts("t")) == [2021, 2022]
